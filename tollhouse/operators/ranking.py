@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 # decimals a bucket has at most a million distinct values and a block a hundred thousand buckets.
 BUCKET_WIDTH = 10_000
 BUCKETS_PER_BLOCK = 100_000
-# A value shared by more than this fraction of a week is joined by broadcast.
-HOT_FRACTION = 0.001
-SALTS = 256
+# Values shared by more rows than this are joined in ``SALTS`` pieces. There are at most rows / HOT_ROWS
+# of them, which is what bounds the broadcast.
+HOT_ROWS = 100_000
+SALTS = 64
 
 
 def _above(by: Sequence[str], order: str) -> Column:
@@ -39,7 +40,7 @@ def rank_table(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     )
     buckets = values.groupBy(*by, "_block", "_bucket").agg(F.sum("_n").alias("_n"))
     blocks = buckets.groupBy(*by, "_block").agg(F.sum("_n").alias("_n"))
-    blocks = blocks.select(*by, "_block", _above(by, "_block").alias("_a2"), F.sum("_n").over(Window.partitionBy(*by)).alias("_all"))
+    blocks = blocks.select(*by, "_block", _above(by, "_block").alias("_a2"))
     buckets = buckets.withColumn("_a1", _above([*by, "_block"], "_bucket")).drop("_n")
     values = values.withColumn("_a0", _above([*by, "_block", "_bucket"], value))
 
@@ -47,10 +48,10 @@ def rank_table(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
     placed = (
         v.join(b, _same("v", "b", [*by, "_block", "_bucket"]))
         .join(k, _same("v", "k", [*by, "_block"]))
-        .select(*[F.col(f"v.{c}") for c in [*by, value, "_n"]], "_a0", "_a1", "_a2", "_all")
+        .select(*[F.col(f"v.{c}") for c in [*by, value, "_n"]], "_a0", "_a1", "_a2")
     )
     rank = F.col("_a2") + F.col("_a1") + F.col("_a0") + 1 + (F.col("_n") - 1) / 2
-    return placed.select(*by, value, "_n", "_all", rank.cast("double").alias("_rank"))
+    return placed.select(*by, value, "_n", rank.cast("double").alias("_rank"))
 
 
 def _same(left: str, right: str, names: Sequence[str]) -> Column:
@@ -64,20 +65,19 @@ def _same(left: str, right: str, names: Sequence[str]) -> Column:
 def with_rank(df: DataFrame, value: str, by: Sequence[str], name: str) -> DataFrame:
     """Add the mean rank of every row.
 
-    Values shared by many rows are few (their share of the week bounds their number), so their ranks
-    are broadcast; the remaining values are joined on the value itself, with the rows already ranked
-    scattered by a salt so that they do not meet in one task.
+    Rows are joined to their rank on the value. Where many rows share one, they are scattered by a
+    salt and its rank is repeated for each, so that they do not meet in one task.
     """
     by = list(by)
-    ranks = rank_table(df, value, by)
-    is_hot = F.col("_n") > F.col("_all") * HOT_FRACTION
-    hot = ranks.where(is_hot).select(*by, value, F.col("_rank").alias("_hot"))
-    cold = ranks.where(~is_hot).select(*by, value, F.lit(0).alias("_salt"), F.col("_rank").alias("_cold"))
-    first = df.alias("d").join(F.broadcast(hot.alias("h")), _same("d", "h", [*by, value]), "left").select("d.*", "_hot")
-    salt = F.when(F.col("_hot").isNotNull(), 1 + F.pmod(F.hash(*df.columns), F.lit(SALTS))).otherwise(0)
-    both = first.withColumn("_salt", salt).alias("d")
-    both = both.join(cold.alias("c"), _same("d", "c", [*by, value, "_salt"]), "left")
-    return both.select(*[F.col(f"d.{c}") for c in df.columns], F.coalesce("_hot", "_cold").alias(name))
+    is_hot = F.col("_n") > HOT_ROWS
+    counts = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
+    hot = F.broadcast(counts.where(is_hot).withColumn("_hot", F.lit(True)).alias("h"))
+    salt = F.when(F.col("_hot"), F.pmod(F.hash(*[F.col(f"d.{c}") for c in df.columns]), F.lit(SALTS))).otherwise(0)
+    salted = df.alias("d").join(hot, _same("d", "h", [*by, value]), "left").select("d.*", salt.alias("_salt")).alias("d")
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    ranks = rank_table(df, value, by).withColumn("_salt", F.explode(copies)).alias("r")
+    joined = salted.join(ranks, _same("d", "r", [*by, value, "_salt"]))
+    return joined.select(*[F.col(f"d.{c}") for c in df.columns], F.col("_rank").alias(name))
 
 
 def rank_of(few: DataFrame, ranks: DataFrame, value: str, by: Sequence[str], name: str) -> DataFrame:

@@ -170,12 +170,13 @@ def customer_counts_trial(t: Tables, weeks: Sequence[Week], profile: ServiceProf
 
 def customer_counts_freetier(t: Tables, weeks: Sequence[Week]) -> DataFrame:
     """External customers split by membership of the free tier."""
-    sums = in_weeks(t.weekly_charges, weeks).groupBy("year", "week", "account_id", "is_internal_flag")
-    charged = sums.agg(F.sum("billed_amount").alias("billed_amount"))
-    totals = charged.groupBy("year", "week", "account_id").agg(F.sum("billed_amount").alias("billed_amount"))
+    charged = in_weeks(t.weekly_charges, weeks).groupBy("year", "week", "account_id").agg(
+        F.sum("billed_amount").alias("billed_amount"),
+        F.max(external()).alias("external"),
+        F.max(internal()).alias("internal"),
+    )
     parts = (
-        _marks(charged, external=external(), internal=internal()),
-        _marks(totals, billed_zero=F.round("billed_amount", 2) == 0),
+        _marks(charged, external=F.col("external"), internal=F.col("internal"), billed_zero=F.round("billed_amount", 2) == 0),
         _list_marks(t, t.free_tier, weeks),
         *_joined_and_left(t, weeks),
         _marks(in_weeks(t.free_to_pay, weeks), converted=F.lit(True)),

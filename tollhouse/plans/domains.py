@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tollhouse.functions.calendar import Week
-from tollhouse.functions.measures import as_double, count_if, external, internal, ratio
+from tollhouse.functions.measures import as_double, count_if, external, internal, ratio, total
 from tollhouse.functions.text import matches
 from tollhouse.operators.accounts import only, with_company, without
 from tollhouse.operators.periods import earlier_weeks, in_weeks, one_row_per_week, spread_weeks
@@ -35,15 +35,25 @@ def domain_counts(t: Tables, weeks: Sequence[Week], profile: ServiceProfile) ->
     Where a resource belongs to several accounts, service A gives it to the least account id.
     """
     used = without(_charged_metering(t, weeks, profile, "usage_resource"), lab_accounts(t, profile))
-    resources = used.groupBy("year", "week", "is_internal_flag", "usage_resource").agg(F.min("account_id").alias("account_id"))
-    counts = resources.groupBy(*WEEK).agg(count_if(external()).alias("external_domain_count"), count_if(internal()).alias("internal_domain_count"))
-    owned = (used if profile.domains_per_account else resources).where(external())
-    customers = owned.groupBy("year", "week", "account_id").agg(F.count(F.lit(1)).alias("domains"))
-    sizes = customers.groupBy(*WEEK).agg(
-        count_if(F.col("domains") == 1).alias("one_domain_customer_count"),
-        count_if(F.col("domains") > 1).alias("multi_domain_customer_count"),
+    keys = [*WEEK, "is_internal_flag"]
+    n = F.col("n")
+    if profile.domains_per_account:
+        # count the rows of each resource and of each account in one go
+        tagged = F.array(F.struct(F.lit("resource").alias("kind"), F.col("usage_resource").alias("key")),
+                         F.struct(F.lit("account").alias("kind"), F.col("account_id").alias("key")))
+        counted = used.select(*keys, F.inline(tagged)).groupBy(*keys, "kind", "key").agg(F.count(F.lit(1)).alias("n"))
+        is_resource, is_customer, size = F.col("kind") == "resource", F.col("kind") == "account", F.lit(1)
+    else:
+        owned = used.groupBy(*keys, "usage_resource").agg(F.min("account_id").alias("account_id"))
+        counted = owned.groupBy(*keys, "account_id").agg(F.count(F.lit(1)).alias("n"))
+        is_resource, is_customer, size = F.lit(True), F.lit(True), n
+    weekly = counted.groupBy(*WEEK).agg(
+        total(size, external() & is_resource).alias("external_domain_count"),
+        total(size, internal() & is_resource).alias("internal_domain_count"),
+        count_if(external() & is_customer & (n == 1)).alias("one_domain_customer_count"),
+        count_if(external() & is_customer & (n > 1)).alias("multi_domain_customer_count"),
     )
-    return one_row_per_week(counts.join(sizes, list(WEEK), "left"), weeks)
+    return one_row_per_week(weekly, weeks)
 
 
 def instance_hours(t: Tables, weeks: Sequence[Week], profile: ServiceProfile) -> DataFrame:

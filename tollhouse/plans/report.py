@@ -12,12 +12,36 @@ from tollhouse.functions import calendar
 from tollhouse.functions.calendar import Week
 from tollhouse.plans import cost, credits, customers, directory, domains, revenue
 from tollhouse.profiles import ServiceProfile
+from tollhouse.operators.periods import earlier_weeks, in_weeks
 from tollhouse.sources import sinks
+from tollhouse.sources.stored import stored
 from tollhouse.sources.tables import Tables
 
 KEYS = ["year", "week", "metric"]
 
 
+def compacted(t: Tables, weeks: Sequence[Week]) -> Tables:
+    """The tables a report over ``weeks`` reads again and again, summed as far as the report allows.
+
+    One pass over the charges and one over the metering; the sums are kept in the shared folder.
+    Amounts and usage per account, resource, usage type and region are all the weekly reports need.
+    """
+    wanted = earlier_weeks(weeks, range(4))
+    charges = in_weeks(t.weekly_charges, wanted).groupBy(
+        "year", "week", "account_id", "is_internal_flag", "usage_type", "region", "operation", F.col("credit_id").isNotNull().alias("is_credit")
+    )
+    amounts = charges.agg(F.sum("billed_amount").alias("billed_amount"), F.max("credit_id").alias("credit_id"))
+    metering = in_weeks(t.weekly_metering, wanted).groupBy(
+        "year", "week", "account_id", "is_internal_flag", "usage_resource", "usage_type", "region", "operation"
+    )
+    usage = metering.agg(F.sum("usage_value").alias("usage_value"))
+    return t.replace(
+        weekly_charges=stored(amounts, "charges"),
+        weekly_metering=stored(usage, "metering"),
+        customer_directory=stored(directory.customer_directory(t), "directory"),
+    )
+
+
 def _tall(df: DataFrame) -> DataFrame:
     """One-row-per-week measures as rows."""
     names = [c for c in df.columns if c not in ("year", "week")]
@@ -110,16 +134,13 @@ def report_manifest(t: Tables, weeks: Sequence[Week], profile: ServiceProfile) -
 
 
 def report_run(t: Tables, weeks: Sequence[Week], profile: ServiceProfile, path: str) -> list[str]:
-    """Write every output of the weeks under ``path``; the directory of customers is computed once.
+    """Write every output of the weeks under ``path``.
 
     Running a week again replaces it, so a run that was interrupted is simply started again.
     """
-    kept = t.replace(customer_directory=directory.customer_directory(t)).persisted("customer_directory")
-    try:
-        written = []
-        for name, make in outputs(kept, weeks, profile).items():
-            sinks.write_weeks(make(), f"{path}/{name}")
-            written.append(f"{path}/{name}")
-        return written
-    finally:
-        kept.unpersist("customer_directory")
+    compact = compacted(t, weeks)
+    written = []
+    for name, make in outputs(compact, weeks, profile).items():
+        sinks.write_weeks(make(), f"{path}/{name}")
+        written.append(f"{path}/{name}")
+    return written

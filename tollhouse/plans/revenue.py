@@ -153,8 +153,12 @@ def top_customers(t: Tables, weeks: Sequence[Week], profile: ServiceProfile, k:
     """The largest payers with their rank this week and last; ranks are over all payers."""
     four = _four_weeks(t, weeks, profile)
     top = top_k(four, k, WEEK, [F.desc("charge_0"), F.col("account_id"), F.col("company")])
+    measured = four.unpivot(list(WEEK), ["charge_0", "charge_1"], "measure", "charge")
+    ranks = rank_table(measured, "charge", [*WEEK, "measure"])
     for back in (0, 1):
-        top = rank_of(top, rank_table(four, f"charge_{back}", WEEK), f"charge_{back}", WEEK, f"rank_{back}")
+        charge = f"charge_{back}"
+        of_charge = ranks.where(F.col("measure") == charge).withColumnRenamed("charge", charge)
+        top = rank_of(top, of_charge, charge, WEEK, f"rank_{back}")
     return doubles(top, *CHARGES).select("year", "week", "position", "rank_0", "rank_1", "account_id", "company", *reversed(CHARGES))
 
 

@@ -20,6 +20,20 @@ from tollhouse.operators.periods import literal_rows
 from tollhouse.profiles import SERVICE_A, ServiceProfile
 from tollhouse.sources.tables import Tables
 
+# Given, so that opening a table starts no job to infer them.
+SOURCE_SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
 FIRST_DAY = dt.date(1995, 12, 18)
 LAST_DAY = dt.date(1996, 2, 25)
 DAYS = calendar.day_range(FIRST_DAY, LAST_DAY)
@@ -51,6 +65,9 @@ USAGE_TYPES = {
     ],
 }
 UNIT_PRICES = ["0.0940", "0.1880", "0.2240", "0.1350", "0.0900", "0.0180", "0.0360"]
+OFFERING = "get(array('607996', '607997', '615324', '615325', '729920'), CAST(substr(o_orderpriority, 1, 1) AS INT) - 1)"
+# hundredths of cents per cent times the account's scale
+DIVISORS = ["10000000L", "1000000L", "100000L", "10000L", "1000L", "100L"]
 SCALES = ["0.00001", "0.0001", "0.001", "0.01", "0.1", "1"]
 PRODUCT_USAGE = [
     ("AmazonEC2", "BoxUsage:m3.large"),
@@ -110,6 +127,13 @@ def _pick(values: list[str], index: Column, kind: str = "string") -> Column:
     return F.get(F.array(*items), index.cast("int"))
 
 
+def _choose(values: list[str], index: str, kind: str = "", quote: str = "'") -> str:
+    """SQL text: the value at a position of a list."""
+    text = ", ".join(f"{quote}{v}{quote}" for v in values)
+    items = f"CAST(array({text}) AS ARRAY<{kind}>)" if kind else f"array({text})"
+    return f"get({items}, CAST({index} AS INT))"
+
+
 def _folded(ts: Column) -> Column:
     """A date of the source tables folded into the ten weeks."""
     days = F.datediff(ts.cast("date"), F.lit(dt.date(1995, 1, 1)))
@@ -132,7 +156,7 @@ class StarSchema:
         self._base = None
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self.spark.read.schema(SOURCE_SCHEMAS[name]).parquet(f"{self.sf_dir}/{name}.parquet")
 
     def table(self, name: str) -> DataFrame:
         return getattr(self, f"_{name}")()
@@ -144,61 +168,52 @@ class StarSchema:
         if self._base is not None:
             return self._base
         # nation has 25 rows at every scale
-        nation = F.broadcast(self.read("nation").select("n_nationkey", "n_regionkey"))
-        customer = self.read("customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        key = F.col("o_custkey")
-        by_order = (
-            self.read("orders")
-            .join(customer, key == F.col("c_custkey"))
-            .select(
-                "o_orderkey",
-                "o_custkey",
-                F.when(F.col("c_mktsegment") == "MACHINERY", "Y").otherwise("N").alias("is_internal_flag"),
-                _pick(REGION_PREFIXES, F.col("n_regionkey")).alias("region_prefix"),
-                _pick(REGION_CODES, F.col("n_regionkey")).alias("region"),
-                _pick(["607996", "607997", "615324", "615325", "729920"], F.substring("o_orderpriority", 1, 1).cast("int") - 1).alias("offering_id"),
-            )
+        nation = F.broadcast(self.read("nation"))
+        customer = self.read("customer").join(nation, F.expr("c_nationkey = n_nationkey"))
+        by_order = self.read("orders").join(customer, F.expr("o_custkey = c_custkey")).selectExpr(
+            "o_orderkey",
+            "o_custkey",
+            "CASE WHEN c_mktsegment = 'MACHINERY' THEN 'Y' ELSE 'N' END AS is_internal_flag",
+            f"{_choose(REGION_PREFIXES, 'n_regionkey')} AS region_prefix",
+            f"{_choose(REGION_CODES, 'n_regionkey')} AS region",
+            f"{OFFERING} AS offering_id",
         )
-        lines = self.read("lineitem").join(by_order, F.col("l_orderkey") == F.col("o_orderkey"))
-        kind = F.col("l_partkey") % 7
-        is_credit = (F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 1)
-        price = F.col("l_extendedprice").cast("decimal(12,2)")
-        discount = F.col("l_discount").cast("decimal(4,2)")
-        net = (1 - F.col("l_discount")).cast("decimal(4,2)")
-        scale = _pick(SCALES, F.floor(key / 5) % 6, "decimal(6,5)")
-        day = _folded(F.col("l_shipdate"))
-        self._base = lines.select(
+        lines = self.read("lineitem").join(by_order, F.expr("l_orderkey = o_orderkey")).selectExpr(
+            "*",
+            f"date_add(DATE '{FIRST_DAY}', pmod(datediff(CAST(l_shipdate AS DATE), DATE '1995-01-01'), 70)) AS usage_date",
+            f"concat(region_prefix, {_choose(USAGE_TYPES[self.profile.name], 'l_partkey % 7')}) AS usage_type",
+            "l_returnflag = 'R' AND l_linenumber = 1 AS is_credit",
+            # amounts in whole cents and hundredths, divided by a power of ten at the end
+            "CAST(round(l_extendedprice * 100) AS BIGINT) AS cents",
+            "CAST(round(l_discount * 100) AS BIGINT) AS off",
+            f"{_choose(DIVISORS, 'CAST(o_custkey div 5 % 6 AS INT)', quote='')} AS divisor",
+        )
+        self._base = lines.selectExpr(
             "o_custkey",
             "l_suppkey",
             "l_partkey",
             "l_returnflag",
             "l_linenumber",
-            day.alias("usage_date"),
-            F.year(day).alias("year"),
-            calendar.monday_week(day).alias("week"),
-            _account("o_custkey").alias("account_id"),
+            "usage_date",
+            "year(usage_date) AS year",
+            "CAST(floor((dayofyear(usage_date) + 6 - weekday(usage_date)) / 7) AS INT) AS week",
+            "lpad(CAST(o_custkey AS STRING), 12, '0') AS account_id",
             "is_internal_flag",
             "region_prefix",
             "region",
-            F.concat("region_prefix", _pick(USAGE_TYPES[self.profile.name], kind)).alias("usage_type"),
-            F.concat(F.lit("dom-"), key, F.lit("-"), F.col("l_suppkey") % 3).alias("usage_resource"),
-            (F.col("l_quantity") * 8).alias("usage_value"),
-            F.when(is_credit, F.concat(F.lit("CR"), F.col("l_orderkey") % 7)).alias("credit_id"),
-            F.when(is_credit, F.round(-price * discount * scale, 2))
-            .when(F.col("l_discount") == 0, F.lit(Decimal("0.00")))
-            .otherwise(F.round(price * net * scale, 2))
-            .cast("decimal(18,2)")
-            .alias("billed_amount"),
-            F.when(F.col("l_discount") == 0, F.lit(Decimal("0.0000")))
-            .otherwise(_pick(UNIT_PRICES, kind, "decimal(8,4)"))
-            .cast("decimal(8,4)")
-            .alias("price_per_unit"),
-            F.when(F.col("l_linestatus") == "F", "CSDomain:001").otherwise("CSDomain:002").alias("operation"),
+            "usage_type",
+            "concat('dom-', o_custkey, '-', l_suppkey % 3) AS usage_resource",
+            "l_quantity * 8 AS usage_value",
+            "CASE WHEN is_credit THEN concat('CR', l_orderkey % 7) END AS credit_id",
+            # half a cent is rounded away from zero
+            """CAST(CAST(CASE WHEN is_credit THEN -((cents * off + divisor div 2) div divisor)
+                              WHEN off = 0 THEN 0
+                              ELSE (cents * (100 - off) + divisor div 2) div divisor END AS DECIMAL(16,0)) * 0.01BD AS DECIMAL(18,2)) AS billed_amount""",
+            f"CASE WHEN l_discount = 0 THEN CAST(0 AS DECIMAL(8,4)) ELSE {_choose(UNIT_PRICES, 'l_partkey % 7', 'DECIMAL(8,4)')} END AS price_per_unit",
+            "CASE WHEN l_linestatus = 'F' THEN 'CSDomain:001' ELSE 'CSDomain:002' END AS operation",
             "offering_id",
-            F.when(is_credit, F.concat(F.lit("credit "), F.col("l_suppkey") % 9))
-            .when(F.col("l_tax") == 0.08, "Enterprise Discount")
-            .otherwise(F.concat("region_prefix", _pick(USAGE_TYPES[self.profile.name], kind)))
-            .alias("charge_item_desc"),
+            """CASE WHEN is_credit THEN concat('credit ', l_suppkey % 9) WHEN l_tax = 0.08D THEN 'Enterprise Discount'
+                    ELSE usage_type END AS charge_item_desc""",
         )
         return self._base
 
@@ -279,10 +294,9 @@ class StarSchema:
         )
 
     def _subscriptions(self) -> DataFrame:
-        offering = _pick(["607996", "607997", "615324", "615325", "729920"], F.substring("o_orderpriority", 1, 1).cast("int") - 1)
         return self.read("orders").select(
             _account("o_custkey").alias("account_id"),
-            offering.alias("offering_id"),
+            F.expr(OFFERING).alias("offering_id"),
             F.when(F.col("o_orderstatus") != "O", F.date_add(F.to_date("o_orderdate"), 30)).alias("end_date"),
         )
 
@@ -299,10 +313,11 @@ class StarSchema:
     def _presence(self, seen: DataFrame) -> DataFrame:
         """Per account and week: present in the week, present in the week before."""
         year, week = calendar.shifted_week(F.col("year"), F.col("week"), 1)
-        same = seen.select("year", "week", "account_id", "is_internal_flag", F.lit(1).alias("now"), F.lit(0).alias("before"))
-        later = seen.select(year.alias("year"), week.alias("week"), "account_id", "is_internal_flag", F.lit(0), F.lit(1))
-        both = same.union(later).groupBy("year", "week", "account_id", "is_internal_flag")
-        return both.agg(F.max("now").alias("now"), F.max("before").alias("before"))
+        here = F.struct(F.col("year"), F.col("week"), F.lit(1).alias("now"), F.lit(0).alias("before"))
+        next_ = F.struct(year.alias("year"), week.alias("week"), F.lit(0).alias("now"), F.lit(1).alias("before"))
+        both = seen.select("account_id", "is_internal_flag", F.inline(F.array(here, next_)))
+        grouped = both.groupBy("year", "week", "account_id", "is_internal_flag")
+        return grouped.agg(F.max("now").alias("now"), F.max("before").alias("before"))
 
     def _metered_weeks(self) -> DataFrame:
         return self._usage_base().select("year", "week", "account_id", "is_internal_flag").distinct()

@@ -1,0 +1,42 @@
+"""Intermediate tables kept in the cluster's shared folder.
+
+A report that reads the same sums many times writes them once. The table survives the loss of
+executors, and its lineage ends there.
+"""
+
+from __future__ import annotations
+
+import atexit
+import shutil
+import tempfile
+import uuid
+from functools import cache
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+@cache
+def _private_folder() -> str:
+    """For sessions without a checkpoint folder, which is to say local ones."""
+    path = tempfile.mkdtemp(prefix="tollhouse-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the session names in ``spark.checkpoint.dir``."""
+    folder = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir()
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    return _private_folder()
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back. Old tables there can be deleted at any time
+    after the reports that use them are done."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
