@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from tollhouse.functions.measures import as_double
 from tollhouse.functions.text import head, matches, rest
-from tollhouse.operators.accounts import only
 from tollhouse.profiles import ServiceProfile
 from tollhouse.sources.tables import Tables
 
@@ -35,12 +34,13 @@ def price_catalog(t: Tables) -> DataFrame:
 
 def price_matrix_new(t: Tables, profile: ServiceProfile) -> DataFrame:
     """Instance prices of a matrix (one column per region prefix) that are not on sale yet."""
-    matrix = t.price_matrix
-    long = matrix.unpivot("`Price.prefix`", [f"`{c}`" for c in matrix.columns if c != "Price.prefix"], "column", "price")
+    matrix = t.price_matrix.withColumnRenamed("Price.prefix", "type")
+    long = matrix.unpivot("type", [f"`{c}`" for c in matrix.columns if c != "type"], "column", "price")
     prefix = F.regexp_replace("column", "NA.", "")
     named = long.where(F.col("price") > 0).select(
         prefix.alias("prefix"),
-        F.concat(prefix, F.when(prefix == "", "").otherwise("-"), F.col("`Price.prefix`")).alias("usage_type"),
+        # the home region has no prefix and no dash
+        F.regexp_replace(F.concat_ws("-", prefix, "type"), "^-", "").alias("usage_type"),
         as_double("price", 4).alias("price"),
     )
     instances = named.where(matches(F.col("usage_type"), profile.instance_token))

@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 
 from tollhouse.functions.calendar import Week
 from tollhouse.functions.measures import external, internal, weeks_back
-from tollhouse.operators.accounts import marked, only, without
-from tollhouse.operators.periods import earlier_weeks, in_weeks, one_row_per_week, spread_weeks
+from tollhouse.operators.accounts import marked, without
+from tollhouse.operators.periods import earlier_weeks, in_weeks, one_row_per_week, spread_weeks, sunday_weeks
 from tollhouse.plans.directory import lab_accounts
-from tollhouse.plans.extracts import account_charges
+from tollhouse.plans.extracts import account_charges, charged_accounts
+from tollhouse.plans.revenue import external_gross
 from tollhouse.profiles import ServiceProfile
 from tollhouse.sources.tables import Tables
 
@@ -208,9 +209,6 @@ def customer_counts_freetier(t: Tables, weeks: Sequence[Week]) -> DataFrame:
 
 def compute_adoption(t: Tables, weeks: Sequence[Week]) -> DataFrame:
     """Accounts using compute in the week before, and how many of them use this service now."""
-    from tollhouse.operators.periods import sunday_weeks
-    from tollhouse.plans.extracts import charged_accounts
-
     # What counts as compute use.
     instance_use = F.col("biz_product_name").isin("EC2 Instance Usage", "EC2 RI Leases")
     activity = t.dim_activity.where((F.col("biz_product_group") == "EC2") & instance_use)
@@ -235,8 +233,6 @@ def compute_adoption(t: Tables, weeks: Sequence[Week]) -> DataFrame:
 
 def goal_lookup(t: Tables, weeks: Sequence[Week], profile: ServiceProfile) -> DataFrame:
     """Targets of each week next to what was reached."""
-    from tollhouse.plans.revenue import external_gross
-
     counts = customer_counts(t, weeks, profile).select("year", "week", "active_paying_count", "active_count")
     both = counts.join(external_gross(t, weeks), ["year", "week"], "left").fillna(0.0, ["revenue_external_gross"])
     goals = t.goals.select("year", "week", "paying_customer_goal", "active_customer_goal", "revenue_goal")

@@ -5,11 +5,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tollhouse.functions.measures import as_double, days_back, doubles, external, total
-from tollhouse.functions.text import matches, rest
+from tollhouse.functions.text import account_id, head, matches, rest
 from tollhouse.operators.accounts import only, with_company
 from tollhouse.operators.periods import earlier_days, in_days, spread_days
 from tollhouse.plans.directory import payer_map
@@ -150,22 +150,29 @@ def domain_config(t: Tables, days: Sequence[dt.date], profile: ServiceProfile, p
 
     ``round`` goes to the even number on halves, as the node counts always did.
     """
-    day = ["request_day"]
     usage = F.col("usage_type")
+    # a plan is a price list: numbering its lines by price lets the dearest type be found with max()
+    prices = price_plan(t, plan).where(F.col("price").isNotNull())
+    order = F.row_number().over(Window.orderBy("price", "usage_type"))
+    lines = prices.select("usage_type", order.alias("line"))
+    is_instance = matches(usage, profile.instance_token) & F.col("line").isNotNull()
+    is_storage = matches(usage, profile.categories["storage"])
+    sums = daily_metering(t, days).join(lines, "usage_type", "left").groupBy("request_day", "account_id", "usage_resource").agg(
+        F.sum(F.when(is_instance, F.col("usage_value"))).alias("hours"),
+        F.sum(F.when(is_storage, F.col("usage_value"))).alias("stored"),
+        F.max(F.when(is_instance, F.col("line"))).alias("line"),
+    )
     charged = daily_charges(t, days).select(F.col("computation_date").alias("request_day"), "account_id", "is_internal_flag").distinct()
-    # one row per resource and usage type before anything is joined
-    sums = daily_metering(t, days).groupBy("request_day", "account_id", "usage_resource", "usage_type").agg(F.sum("usage_value").alias("used"))
-    metered = sums.join(charged, ["request_day", "account_id"])
-    stored = metered.where(matches(usage, profile.categories["storage"]))
-    storage = stored.groupBy("request_day", "usage_resource").agg(F.sum("used").alias("stored"))
-    instances = metered.where(matches(usage, profile.instance_token)).join(price_plan(t, plan), "usage_type")
-    instances = instances.where(F.col("price").isNotNull())
-    by_owner = instances.groupBy("request_day", "usage_resource", "account_id", "is_internal_flag").agg(
-        F.max_by("usage_type", F.struct("price", "usage_type")).alias("dearest"), F.sum("used").alias("hours")
+    # by now a resource has one row per account that owns it
+    resource = Window.partitionBy("request_day", "usage_resource")
+    owned = sums.join(charged, ["request_day", "account_id"]).withColumns(
+        {"instance_hour": F.sum("hours").over(resource), "stored": F.sum("stored").over(resource)}
+    )
+    configured = (
+        owned.join(lines.withColumnRenamed("usage_type", "dearest"), "line")
+        .withColumn("instance_type", rest(F.col("dearest"), ":"))
+        .withColumn("node_count", F.bround(F.col("instance_hour") / 24))
     )
-    hours = by_owner.groupBy("request_day", "usage_resource").agg(F.sum("hours").alias("instance_hour"))
-    joined = by_owner.drop("hours").join(hours, [*day, "usage_resource"]).join(storage, [*day, "usage_resource"], "left")
-    configured = joined.withColumn("instance_type", rest(F.col("dearest"), ":")).withColumn("node_count", F.bround(F.col("instance_hour") / 24))
     built_in = _built_in(F.col("instance_type")) * F.col("node_count")
     return configured.select(
         "request_day",
@@ -189,8 +196,6 @@ def ephemeral_trend(t: Tables, last: dt.date, profile: ServiceProfile, n: int =
 
 def domain_config_cost(t: Tables, configs: DataFrame, profile: ServiceProfile, plan: int = PUBLIC_PLAN) -> DataFrame:
     """Configured resources of known accounts with the daily cost of their data nodes."""
-    from tollhouse.functions.text import account_id, head
-
     priced = (
         configs.withColumn("account_id", account_id(F.col("client_id")))
         .withColumn("usage_type", F.concat(F.lit(profile.instance_token + ":"), "data_node_type"))

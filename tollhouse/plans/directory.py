@@ -57,7 +57,12 @@ def customer_directory(t: Tables) -> DataFrame:
 
 
 def payer_map(t: Tables) -> DataFrame:
-    """The directory with one row per account, so that joining it cannot multiply revenue."""
+    """The directory with one row per account, so that joining it cannot multiply revenue.
+
+    A stored copy is taken from the tables, under the name ``payer_map``.
+    """
+    if "payer_map" in t:
+        return t["payer_map"]
     if "customer_directory" in t:
         return t["customer_directory"].groupBy("account_id").agg(
             F.max("payer_account_id").alias("payer_account_id"),
@@ -121,7 +126,7 @@ def customer_offering(t: Tables, weeks: Sequence[Week], offerings: Sequence[str]
 def lab_accounts(t: Tables, profile: ServiceProfile) -> DataFrame:
     """Accounts of training labs, known by their company name."""
     lab = matches(F.col("company"), profile.lab_pattern, ignore_case=True)
-    return customer_directory(t).where(lab).select("account_id").distinct()
+    return payer_map(t).where(lab).select("account_id")
 
 
 def excluded_accounts(t: Tables, profile: ServiceProfile) -> DataFrame:

@@ -30,7 +30,9 @@ def compacted(t: Tables, weeks: Sequence[Week]) -> Tables:
     charges = in_weeks(t.weekly_charges, wanted).groupBy(
         "year", "week", "account_id", "is_internal_flag", "usage_type", "region", "operation", F.col("credit_id").isNotNull().alias("is_credit")
     )
-    amounts = charges.agg(F.sum("billed_amount").alias("billed_amount"), F.max("credit_id").alias("credit_id"))
+    # the reports only ask whether there is a credit; max() of a text would turn this into a sort
+    credit = F.when(F.col("is_credit"), "credit").alias("credit_id")
+    amounts = charges.agg(F.sum("billed_amount").alias("billed_amount")).select("*", credit).drop("is_credit")
     metering = in_weeks(t.weekly_metering, wanted).groupBy(
         "year", "week", "account_id", "is_internal_flag", "usage_resource", "usage_type", "region", "operation"
     )
@@ -38,7 +40,7 @@ def compacted(t: Tables, weeks: Sequence[Week]) -> Tables:
     return t.replace(
         weekly_charges=stored(amounts, "charges"),
         weekly_metering=stored(usage, "metering"),
-        customer_directory=stored(directory.customer_directory(t), "directory"),
+        payer_map=stored(directory.payer_map(t), "payers"),
     )
 
 

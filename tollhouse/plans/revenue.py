@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from tollhouse.functions.calendar import Week
 from tollhouse.functions.measures import WEEKS_PER_MONTH, as_double, count_if, doubles, external, internal, total
 from tollhouse.functions.text import matches
-from tollhouse.operators.accounts import only, to_payer, with_company, without
+from tollhouse.operators.accounts import to_payer, with_company, without
 from tollhouse.operators.periods import earlier_weeks, in_weeks, one_row_per_week, spread_weeks
 from tollhouse.operators.ranking import rank_of, rank_table, top_k, with_rank
-from tollhouse.plans.directory import customer_directory, payer_map
+from tollhouse.plans.credits import credit_totals
+from tollhouse.plans.directory import payer_map
 from tollhouse.plans.extracts import account_charges
 from tollhouse.profiles import ServiceProfile
 from tollhouse.sources.tables import Tables
@@ -45,8 +46,6 @@ def external_gross(t: Tables, weeks: Sequence[Week]) -> DataFrame:
 
 def revenue_summary(t: Tables, weeks: Sequence[Week], profile: ServiceProfile) -> DataFrame:
     """External revenue before credits, internal revenue, credits, refunds and the target."""
-    from tollhouse.plans.credits import credit_totals
-
     revenue = _sums(t, weeks, revenue_external_gross=gross(), revenue_internal=internal())
     both = revenue.join(credit_totals(t, weeks, profile.product_code), list(WEEK), "left")
     return both.join(t.goals.select("year", "week", "revenue_goal"), list(WEEK), "left")
@@ -115,13 +114,14 @@ def top_internal(t: Tables, weeks: Sequence[Week]) -> DataFrame:
 
 def reseller_label(t: Tables, profile: ServiceProfile) -> DataFrame:
     """Paying resellers labelled with the first client (by account id) that is not a reseller itself."""
-    clients = customer_directory(t).where(
+    payers = payer_map(t)
+    clients = payers.where(
         F.col("payer_account_id").isNotNull()
         & F.col("company").isNotNull()
         & ~matches(F.col("company"), profile.reseller_pattern, ignore_case=True)
     )
     first = clients.groupBy("payer_account_id").agg(F.min_by("company", "account_id").alias("client"))
-    resellers = payer_map(t).where(matches(F.col("company"), profile.reseller_pattern, ignore_case=True))
+    resellers = payers.where(matches(F.col("company"), profile.reseller_pattern, ignore_case=True))
     return resellers.join(first.withColumnRenamed("payer_account_id", "account_id"), "account_id").select(
         "account_id", "company", "client", F.concat("company", F.lit(" - "), "client").alias("label")
     )

@@ -71,7 +71,6 @@ def suspended_domains(t: Tables, weeks: Sequence[Week], profile: ServiceProfile,
 
 def suspended_trend(t: Tables, weeks: Sequence[Week], profile: ServiceProfile, as_of: dt.date) -> DataFrame:
     """Suspended accounts' resources and their cost per week."""
-
     rows = _suspended(t, weeks, profile, as_of)
     resources = rows.groupBy("year", "week", "is_internal_flag", "account_id", "usage_resource").agg(F.sum("cost").alias("cost"))
     weekly = resources.groupBy("year", "week").agg(

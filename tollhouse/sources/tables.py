@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -77,7 +76,7 @@ class Tables:
     """Named DataFrames, built when first asked for.
 
     ``source`` gives the DataFrame of a logical table. Use ``replace`` to swap single tables, for
-    example for a stored customer directory.
+    example for stored copies of them.
     """
 
     def __init__(self, spark: SparkSession, source: Callable[[str], DataFrame], given: Mapping[str, DataFrame] | None = None):
@@ -101,15 +100,6 @@ class Tables:
     def replace(self, **frames: DataFrame) -> Tables:
         return Tables(self.spark, self._source, {**self._frames, **frames})
 
-    def persisted(self, *names: str) -> Tables:
-        """The same tables with the named ones kept in memory (spilling to disk) between reports."""
-        kept = {n: self[n].persist(StorageLevel.MEMORY_AND_DISK) for n in names}
-        return self.replace(**kept)
-
-    def unpersist(self, *names: str) -> None:
-        for n in names:
-            self[n].unpersist()
-
 
 def padded(df: DataFrame, columns: Iterable[str] = ("account_id", "payer_account_id")) -> DataFrame:
     """Repair ids that lost their leading zeros in a text file."""
