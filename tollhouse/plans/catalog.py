@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,13 +37,12 @@ def price_catalog(t: Tables) -> DataFrame:
 def price_matrix_new(t: Tables, profile: ServiceProfile) -> DataFrame:
     """Instance prices of a matrix (one column per region prefix) that are not on sale yet."""
     matrix = t.price_matrix.withColumnRenamed("Price.prefix", "type")
-    long = matrix.unpivot("type", [f"`{c}`" for c in matrix.columns if c != "type"], "column", "price")
-    prefix = F.regexp_replace("column", "NA.", "")
-    named = long.where(F.col("price") > 0).select(
-        prefix.alias("prefix"),
-        # the home region has no prefix and no dash
-        F.regexp_replace(F.concat_ws("-", prefix, "type"), "^-", "").alias("usage_type"),
-        as_double("price", 4).alias("price"),
-    )
+    prices = []
+    for column in matrix.columns[1:]:
+        prefix = re.sub("NA.", "", column)
+        usage_type = F.concat(F.lit(f"{prefix}-" if prefix else ""), "type")
+        prices.append(F.struct(F.lit(prefix).alias("prefix"), usage_type.alias("usage_type"), F.col(f"`{column}`").alias("price")))
+    long = matrix.select(F.inline(F.array(*prices))).where(F.col("price") > 0)
+    named = long.withColumn("price", as_double("price", 4))
     instances = named.where(matches(F.col("usage_type"), profile.instance_token))
     return instances.join(t.regions, "prefix", "left").join(t.current_products, "usage_type", "left_anti")
