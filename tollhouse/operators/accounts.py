@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 
 def without(df: DataFrame, accounts: DataFrame) -> DataFrame:
-    return df.join(accounts.select("account_id"), "account_id", "left_anti")
+    return df.join(accounts, "account_id", "left_anti")
 
 
 def only(df: DataFrame, accounts: DataFrame, keys=("account_id",)) -> DataFrame:

@@ -1,0 +1,17 @@
+"""Broadcasts that check the size first."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MAX_ROWS = 100_000
+
+
+def broadcast_if_small(lookup: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
+    """Hint a broadcast if the lookup has at most ``max_rows`` rows, else leave the join to Spark.
+
+    For price lists and account lists joined to row-level data: without the hint Spark may shuffle all
+    of the data before it learns how short the list is. Counting stops at the limit.
+    """
+    return F.broadcast(lookup) if lookup.limit(max_rows + 1).count() <= max_rows else lookup

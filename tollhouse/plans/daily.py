@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from tollhouse.functions.measures import as_double, days_back, doubles, external, total
 from tollhouse.functions.text import account_id, head, matches, rest
 from tollhouse.operators.accounts import only, with_company
+from tollhouse.operators.lookups import broadcast_if_small
 from tollhouse.operators.periods import earlier_days, in_days, spread_days
 from tollhouse.plans.directory import payer_map
-from tollhouse.plans.extracts import daily_charges, daily_metering, price_plan
+from tollhouse.plans.extracts import daily_charges, daily_metering, price_lookup, price_plan
 from tollhouse.profiles import ServiceProfile
 from tollhouse.sources.tables import Tables
 
@@ -69,7 +70,7 @@ def daily_usage_diff(t: Tables, days: Sequence[dt.date], plan: int = PUBLIC_PLAN
         F.coalesce(F.sum(F.when(days_back(0), F.col("usage"))), zero).alias("usage_today"),
     ).withColumn("diff", F.col("usage_today") - F.col("usage_yesterday"))
     paid = payer_map(t).where(F.col("payer_account_id").isNotNull()).select("account_id", "payer_account_id", "company")
-    priced = both.join(price_plan(t, plan), "usage_type", "left").join(paid, "account_id")
+    priced = both.join(price_lookup(t, plan), "usage_type", "left").join(paid, "account_id")
     cost = F.col("diff").cast("decimal(18,2)") * F.col("price")
     return doubles(priced.withColumn("charge_diff", cost), "price", "charge_diff", scale=4)
 
@@ -103,7 +104,8 @@ def payer_family_usage(t: Tables, accounts: DataFrame, since: dt.date) -> DataFr
 
 def reprice(t: Tables, days: Sequence[dt.date], plan: int = CUSTOM_PLAN) -> DataFrame:
     """Every charge line at the price of another plan."""
-    rows = daily_charges(t, days).join(price_plan(t, plan).withColumnRenamed("price", "price_unit_custom"), "usage_type", "left")
+    custom_prices = price_plan(t, plan).withColumnRenamed("price", "price_unit_custom")
+    rows = daily_charges(t, days).join(broadcast_if_small(custom_prices), "usage_type", "left")
     custom = F.col("price_unit_custom") * F.col("usage_value").cast("decimal(18,2)")
     both = rows.withColumn("custom_billed_amount", custom).withColumn("diff", F.col("billed_amount") - F.col("custom_billed_amount"))
     shown = both.select(
@@ -154,7 +156,7 @@ def domain_config(t: Tables, days: Sequence[dt.date], profile: ServiceProfile, p
     # a plan is a price list: numbering its lines by price lets the dearest type be found with max()
     prices = price_plan(t, plan).where(F.col("price").isNotNull())
     order = F.row_number().over(Window.orderBy("price", "usage_type"))
-    lines = prices.select("usage_type", order.alias("line"))
+    lines = broadcast_if_small(prices.select("usage_type", order.alias("line")))
     is_instance = matches(usage, profile.instance_token) & F.col("line").isNotNull()
     is_storage = matches(usage, profile.categories["storage"])
     sums = daily_metering(t, days).join(lines, "usage_type", "left").groupBy("request_day", "account_id", "usage_resource").agg(
@@ -200,7 +202,7 @@ def domain_config_cost(t: Tables, configs: DataFrame, profile: ServiceProfile, p
         configs.withColumn("account_id", account_id(F.col("client_id")))
         .withColumn("usage_type", F.concat(F.lit(profile.instance_token + ":"), "data_node_type"))
         .withColumn("nodes", head(F.col("data_node_count"), "x ").cast("int"))
-        .join(price_plan(t, plan), "usage_type")
+        .join(price_lookup(t, plan), "usage_type")
         .join(payer_map(t), "account_id")
     )
     cost = F.col("price") * 24 * F.col("nodes")

@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +12,7 @@ from tollhouse.functions import calendar
 from tollhouse.functions.calendar import Week
 from tollhouse.functions.text import rest
 from tollhouse.operators.accounts import without
+from tollhouse.operators.lookups import broadcast_if_small
 from tollhouse.operators.periods import in_days, in_weeks
 from tollhouse.profiles import ServiceProfile
 from tollhouse.sources.tables import Tables
@@ -39,7 +39,7 @@ def week_calendar(df: DataFrame, day: str) -> DataFrame:
 
 def weekly_charges(t: Tables, weeks: Sequence[Week]) -> DataFrame:
     """Charge lines of the weeks."""
-    return without(in_weeks(t.weekly_charges, weeks), t.test_accounts)
+    return without(in_weeks(t.weekly_charges, weeks), broadcast_if_small(t.test_accounts))
 
 
 def account_charges(t: Tables, weeks: Sequence[Week], *keys: str, where: Column | None = None) -> DataFrame:
@@ -94,5 +94,10 @@ def price_plan(t: Tables, plan: int) -> DataFrame:
     return t.price_plan.where(F.col("plan_id") == plan).select("usage_type", F.col("price_unit").alias("price"))
 
 
+def price_lookup(t: Tables, plan: int) -> DataFrame:
+    """The same for joining to rows."""
+    return broadcast_if_small(price_plan(t, plan))
+
+
 def instance_type() -> Column:
     return rest(F.col("usage_type"), ":")

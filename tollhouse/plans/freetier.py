@@ -12,6 +12,7 @@ from tollhouse.functions.calendar import Week
 from tollhouse.functions.measures import as_double, external, ratio, total
 from tollhouse.functions.text import matches
 from tollhouse.operators.accounts import without
+from tollhouse.operators.lookups import broadcast_if_small
 from tollhouse.operators.periods import in_weeks, one_row_per_week
 from tollhouse.plans.extracts import daily_charges, instance_type, price_list, price_plan
 from tollhouse.profiles import FREE_OFFERING, FREE_OFFERINGS
@@ -73,7 +74,8 @@ def freetier_month_rows(t: Tables, months: Sequence[Month]) -> DataFrame:
     labels = [f"{y}-{m:02d}" for y, m in months]
     month = F.date_format("computation_date", "yyyy-MM")
     free = external() & F.col("usage_type").contains("t2.micro") & (F.col("billed_amount") == 0) & month.isin(labels)
-    return without(t.daily_charges.where(free).withColumn("month", month), t.test_accounts).select(
+    tests = broadcast_if_small(t.test_accounts)
+    return without(t.daily_charges.where(free).withColumn("month", month), tests).select(
         "month", "account_id", "is_internal_flag", as_double("billed_amount").alias("billed_amount"), "usage_type", "usage_value",
         as_double("price_per_unit", 4).alias("price_per_unit"), "region", "credit_id", "charge_item_desc",
     )

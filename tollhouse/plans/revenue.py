@@ -196,7 +196,10 @@ def top_by_region(t: Tables, weeks: Sequence[Week], profile: ServiceProfile) ->
     keys = ["year", "week", "account_id", "region", "is_internal_flag"]
     rows = in_weeks(t.weekly_metering, weeks).where(F.col("usage_type").contains(profile.instance_token))
     resources = rows.select(*keys, "usage_resource").distinct()
-    ordered = contracted.join(resources, keys, "left").orderBy(
+    # an outer join could not split an account with very many resources; an inner join can
+    using = contracted.join(resources, keys)
+    idle = contracted.join(resources.select(*keys).distinct(), keys, "left_anti")
+    ordered = using.unionByName(idle, allowMissingColumns=True).orderBy(
         "year", "week", "region", "is_internal_flag", F.desc("billed_amount"), "account_id", "usage_resource"
     )
     return doubles(ordered, "billed_amount").select(

@@ -12,6 +12,7 @@ from tollhouse.functions.calendar import Week
 from tollhouse.functions.measures import as_double, count_if, external, internal, total
 from tollhouse.functions.text import account_id, head, matches, rest
 from tollhouse.operators.accounts import marked, without
+from tollhouse.operators.lookups import broadcast_if_small
 from tollhouse.operators.periods import in_weeks, one_row_per_week
 from tollhouse.plans.directory import lab_accounts
 from tollhouse.plans.extracts import charged_accounts, instance_type, price_list, weekly_metering
@@ -57,7 +58,7 @@ def _suspended(t: Tables, weeks: Sequence[Week], profile: ServiceProfile, as_of:
     metering = weekly_metering(t, weeks, profile).where(matches(F.col("usage_type"), profile.instance_token))
     idle = without(metering, lab_accounts(t, profile)).join(charged_accounts(t, weeks), ["year", "week", "account_id"], "left_anti")
     typed = idle.withColumn("usage_type", instance_type())
-    prices = price_list(t.price_wide).select("usage_type", "region", "price")
+    prices = broadcast_if_small(price_list(t.price_wide).select("usage_type", "region", "price"))
     priced = typed.join(prices, ["usage_type", "region"], "left").withColumn("cost", F.col("price") * F.col("sum_usage_value").cast("decimal(18,2)"))
     stopped = account_status(t, as_of).where(F.col("account_status_code") == SUSPENDED)
     return priced.join(stopped, "account_id")
