@@ -29,7 +29,6 @@ def _rank(value: str) -> str:
     )
 
 
-REST_OF = "regexp_replace({}, '^[^{}]*{}?', '')"
 KIND = "regexp_replace(usage_type, '^[^:]*:?', '')"
 EXT, INT = "is_internal_flag = 'N'", "is_internal_flag = 'Y'"
 GROSS = "is_internal_flag = 'N' AND credit_id IS NULL"
@@ -92,14 +91,6 @@ COUNTED_NEW = "(SELECT * FROM new_active_customers WHERE account_id NOT IN (SELE
 COUNTED_LOST = COUNTED_NEW.replace("new_active", "new_inactive")
 
 
-def _pick(source: str, back: int, cond: str) -> str:
-    return f"(SELECT account_id FROM {source} c WHERE c.year = w.year AND c.week = w.week AND back = {back} AND {cond})"
-
-
-def _scalar(sql: str) -> str:
-    return f"(SELECT count(DISTINCT account_id) FROM ({sql}))"
-
-
 def customer_counts() -> str:
     """Counts by joining one row per account, class and age."""
     return f"""

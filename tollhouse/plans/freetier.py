@@ -14,7 +14,7 @@ from tollhouse.functions.text import matches
 from tollhouse.operators.accounts import without
 from tollhouse.operators.lookups import broadcast_if_small
 from tollhouse.operators.periods import in_weeks, one_row_per_week
-from tollhouse.plans.extracts import daily_charges, instance_type, price_list, price_plan
+from tollhouse.plans.extracts import daily_charges, price_list, price_plan
 from tollhouse.profiles import FREE_OFFERING, FREE_OFFERINGS
 from tollhouse.sources.tables import Tables
 

@@ -17,6 +17,7 @@ from tollhouse.plans.credits import credit_totals
 from tollhouse.plans.directory import payer_map
 from tollhouse.plans.extracts import account_charges
 from tollhouse.profiles import ServiceProfile
+from tollhouse.sources.stored import stored
 from tollhouse.sources.tables import Tables
 
 WEEK = ("year", "week")
@@ -151,7 +152,7 @@ def four_week_revenue(t: Tables, weeks: Sequence[Week], profile: ServiceProfile)
 
 def top_customers(t: Tables, weeks: Sequence[Week], profile: ServiceProfile, k: int = 100) -> DataFrame:
     """The largest payers with their rank this week and last; ranks are over all payers."""
-    four = _four_weeks(t, weeks, profile)
+    four = stored(_four_weeks(t, weeks, profile), "four_weeks")
     top = top_k(four, k, WEEK, [F.desc("charge_0"), F.col("account_id"), F.col("company")])
     measured = four.unpivot(list(WEEK), ["charge_0", "charge_1"], "measure", "charge")
     ranks = rank_table(measured, "charge", [*WEEK, "measure"])
@@ -164,7 +165,7 @@ def top_customers(t: Tables, weeks: Sequence[Week], profile: ServiceProfile, k:
 
 def gainers_losers(t: Tables, weeks: Sequence[Week], profile: ServiceProfile, k: int = 30) -> DataFrame:
     """The payers whose revenue rose and fell most against the week before."""
-    four = _four_weeks(t, weeks, profile).withColumn("diff", F.col("charge_0") - F.col("charge_1"))
+    four = stored(_four_weeks(t, weeks, profile), "four_weeks").withColumn("diff", F.col("charge_0") - F.col("charge_1"))
     ties = [F.col("account_id"), F.col("company")]
     gainers = top_k(four, k, WEEK, [F.desc("diff"), *ties]).withColumn("section", F.lit("gainer"))
     losers = top_k(four, k, WEEK, [F.asc("diff"), *ties]).withColumn("section", F.lit("loser"))
