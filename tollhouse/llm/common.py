@@ -23,15 +23,17 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """The rows of ``df`` written to the shared checkpoint folder, with the lineage cut there.
-
-    The folder is the cluster's own (``spark.checkpoint.dir``); one is made only where none is set, as in tests.
-    """
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in ``spark.checkpoint.dir``; one is made only where none is set, as in tests."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoints-"))
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+    return context.getCheckpointDir()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The rows of ``df`` written to the shared folder, with the lineage cut there."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -23,7 +23,7 @@ def _stars(links: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def components(links: DataFrame, left: str, right: str) -> DataFrame:
-    """(node, root): each node that has a link, with the smallest node it can reach.
+    """(node, root): each node that has a link, with the smallest node it can reach. Nodes are of any type with an order.
 
     Links may come in either direction and repeatedly; a link of a node with itself, or with a null end, counts for
     nothing, and no links give no rows. The rounds grow with the logarithm of the longest path. Each round is stored, so
@@ -33,8 +33,8 @@ def components(links: DataFrame, left: str, right: str) -> DataFrame:
     links = links.where(a != b).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct()
     links, before = stored(links), None
     while True:
-        # the links settle into stars: equal counts and equal sums of the small ends mean that a round changed nothing
-        now = links.agg(F.count(F.lit(1)), F.sum(F.col("b").cast("decimal(38,0)")), F.sum(F.col("a").cast("decimal(38,0)"))).first()
+        # the links settle into stars: equal counts and equal sums of hashes mean that a round changed nothing
+        now = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before or now[0] == 0:
             break
         before, links = now, stored(_stars(links))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollhouse.llm import bin_packing, exact_dedup, hilbert_shards, html_text, oracles, quality_rules, simhash, url_rules
+from tollhouse.llm import bin_packing, exact_dedup, hilbert_shards, html_text, nbsvm, oracles, paragraph_dedup, piece_codec, quality_rules, simhash, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +42,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality(table(spark, sf_dir, "documents"))
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_codec.encoded(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"), kind="bpe")
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.simhash_groups(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
     return groups.select("doc_id", F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id")
@@ -65,6 +69,17 @@ def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extracted(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = nbsvm.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "quality")
+    return scores.select("doc_id", "held_out", "score", "predicted")
+
+
+def op10_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each span of words that a document loses."""
+    spans = paragraph_dedup.substring_removals(table(spark, sf_dir, "documents"))
+    return spans.select("doc_id", F.inline("spans")).select("doc_id", F.col("first").alias("first_word"), F.col("n").alias("n_words"), F.col("keep_id").alias("keep_doc_id"))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
@@ -74,5 +89,17 @@ def oracle_sql() -> dict[str, str]:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_exact_dedup, op2_quality_rules, op4_simhash, op5_hilbert_shards, op6_url_filter, op7_bin_packing, op8_html_text)
+    f.__name__: f
+    for f in (
+        op1_exact_dedup,
+        op2_quality_rules,
+        op3_sentencepiece,
+        op4_simhash,
+        op5_hilbert_shards,
+        op6_url_filter,
+        op7_bin_packing,
+        op8_html_text,
+        op9_quality_classifier,
+        op10_paragraph_dedup,
+    )
 }
