@@ -103,6 +103,10 @@ class Trie:
             if x.owner is not None:
                 _write(out, key, x.owner)
                 self.strings -= 1
+            if x.spill is not None:
+                for below, owner in _read(x.spill):
+                    _write(out, below, owner)
+                x.spill.close()
         # what hangs below may not move again; its first byte stays here as the way to the file
         child.spill, child.children, child.owner, child.label = out, {}, None, child.label[:1]
         self.size -= size - NODE_BYTES
