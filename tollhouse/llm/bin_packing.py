@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -21,46 +23,49 @@ from pyspark.sql import functions as F
 
 from tollhouse.llm.common import ranked, stored, text_or_empty
 
-#: The tokenizer's words that one task remembers with their ids; the rest are encoded each time.
-CACHED_WORDS = 250_000
-#: Texts of these characters only are cut into the tokenizer's words by WORDS; others go to the tokenizer whole.
+# How the byte-level tokenizer cuts a text into words before it merges bytes.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Texts of these characters only take the fast way: both libraries class them alike (a test goes through them all).
 PLAIN = re.compile("[\0-ɏ]*")
-#: The byte-level tokenizer's cutting pattern, with letters and numbers as they are up to U+024F.
-WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_²³¹¼-¾]+| ?[\d²³¹¼-¾]+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
-#: Controls that Python's \s takes for white space and the tokenizer does not.
-ODD_CONTROLS = re.compile("[\x1c-\x1f]")
+#: Characters from which on a text takes the slow way: the fast way's cutting needs stack for very long words.
+LONG = 200_000
+
+
+def byte_ranks(tokenizer) -> dict[bytes, int]:
+    """The tokenizer's pieces as bytes with their ids, which are in the order of the merges. A byte is written as
+    its own character if that is printable Latin-1, else as the next free one from U+0100 on."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    byte_of = {chr(b): b for b in own}
+    byte_of |= {chr(0x100 + i): b for i, b in enumerate(b for b in range(256) if b not in set(own))}
+    added = set(tokenizer.get_added_tokens_decoder())
+    return {bytes(byte_of[c] for c in piece): i for piece, i in tokenizer.get_vocab(with_added_tokens=False).items() if i not in added}
 
 
 class Encoder:
-    """Ids of byte-level BPE texts as little-endian 32-bit bytes, by ``tokenizers``, with a bounded memory of words.
+    """Ids of byte-level BPE texts as little-endian 32-bit bytes.
 
-    The tokenizer cuts a text into words first and never joins over a cut, so a text's ids are its words' ids in a row.
+    The file is read by ``tokenizers``. Its pieces and merges are handed to the faster merging of ``tiktoken`` for texts of
+    plain characters; all others are encoded by ``tokenizers`` itself. The ids are the same.
     """
 
-    def __init__(self, tokenizer_path: str, cached: int = CACHED_WORDS):
+    def __init__(self, tokenizer_path: str):
+        import tiktoken
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.cached = Tokenizer.from_file(tokenizer_path), cached
+        self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known: dict[str, bytes] = {}
-
-    def _encode(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        self.fast = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=byte_ranks(self.tokenizer), special_tokens={}).encode_ordinary
 
     def encode(self, text: str) -> bytes:
-        if not PLAIN.fullmatch(text) or ODD_CONTROLS.search(text):
-            return self._encode(text.encode("utf-8", "replace").decode())
-        words, known = WORDS.findall(text), self.known
-        new = {w for w in words if w not in known}
-        if new:
-            found = dict(zip(new, (np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(list(new), add_special_tokens=False))))
-            room = self.cached - len(known)
-            if room >= len(found):
-                known.update(found)
-            else:
-                known.update(list(found.items())[: max(room, 0)])
-                return b"".join([known.get(w) or found[w] for w in words])
-        return b"".join([known[w] for w in words])
+        if len(text) < LONG and PLAIN.fullmatch(text):
+            return array("I", self.fast(text)).tobytes()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+
+@lru_cache(maxsize=1)
+def encoder(tokenizer_path: str) -> Encoder:
+    """The encoder of this worker, kept from task to task."""
+    return Encoder(tokenizer_path)
 
 
 def cut(length: int, capacity: int) -> list[tuple[int, int]]:
@@ -79,15 +84,14 @@ def pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int = 10
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = None
+        encode = encoder(tokenizer_path).encode
         for batch in batches:
-            encoder = encoder or Encoder(tokenizer_path)
             rows: list[list] = [[], [], [], [], [], []]
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = memoryview(encoder.encode(text.as_py()) + end)
+                ids = memoryview(encode(text.as_py()) + end)
                 for i, (start, n) in enumerate(cut(len(ids) // 4, capacity)):
                     own = ids[4 * start : 4 * (start + n)]
-                    for column, x in zip(rows, (doc, i, start, n, zlib.crc32(own), own)):
+                    for column, x in zip(rows, (doc, i, start, n, zlib.crc32(own), own if with_ids else None)):
                         column.append(x)
             columns = [pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int32()), *(pa.array(c, pa.int64()) for c in rows[2:5])]
             names = ["_id", "piece", "start", "length", "ids_crc32"]
