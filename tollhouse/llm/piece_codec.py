@@ -13,7 +13,9 @@ best way to a place is the one whose last step joins such a pair.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +25,8 @@ from pyspark.sql import functions as F
 from tollhouse.llm.common import text_or_empty
 
 SPACE = "▁"
-#: Words and pairs of pieces that one task remembers.
-CACHED_WORDS, CACHED_PAIRS = 400_000, 1_000_000
+#: Words and pairs of pieces that one worker remembers.
+CACHED_WORDS, CACHED_PAIRS = 500_000, 1_000_000
 #: Ids in a batch that is given back to Spark, about.
 BATCH_IDS = 1 << 21
 
@@ -53,11 +55,15 @@ class PieceModel:
             for c in p:
                 node = node.setdefault(c, {})
             node[""] = i
+        #: Characters that stand next to each other in some piece: a way through the lattice can be cut between others.
+        self.neighbours = {p[n : n + 2] for p in self.ids for n in range(len(p) - 1)}
         self.text_of = {i: p for p, i in self.ids.items()}
         self.score_of = {i: self.scores[p] for p, i in self.ids.items()}
         self.size = sp.vocab_size()
         #: Whether no piece reaches over the start of a word; every way through the lattice then meets there.
         self.words_apart = not any(SPACE in p[1:] and p.strip(SPACE) for p in self.ids)
+        line_end = "\n" if not any("\n" in p for p in self.ids) else ""  # then a word of its own
+        self.words = re.compile(f"{SPACE}*[^{SPACE}{line_end}]+|{SPACE}+" + ("|\n" if line_end else ""))
         self.bytes_of = [b""] * sp.vocab_size()
         for p, i in self.ids.items():
             self.bytes_of[i] = p.replace(SPACE, " ").encode()
@@ -151,6 +157,45 @@ class PieceModel:
         if n > base:
             yield self._way(begins, pieces, base, n)
 
+    def _short(self, word: str) -> list[int]:
+        """The same search for merging in a word that fits the window. From each place, pieces lead to places; a place
+        keeps the first that fits, which is the only one."""
+        tree, pairs, longest, size, n = self.tree, self.pairs, self.longest, self.size, len(word)
+        begins, pieces = [-1] * (n + 1), [-1] * (n + 1)
+        for start in range(n):
+            node, end, before = tree, start, pieces[start]
+            for c in word[start : start + longest]:
+                node, end = node.get(c), end + 1
+                if node is None:
+                    break
+                i = node.get("")
+                if i is not None and begins[end] < 0:
+                    fits = before == -1 or pairs.get(before << 22 | i)
+                    if fits is None:
+                        fits = self.joins(before, i)
+                    if fits:
+                        begins[end], pieces[end] = start, i
+            if begins[start + 1] < 0:  # a character that is no piece
+                begins[start + 1], pieces[start + 1] = start, size + ord(word[start])
+        return self._way(begins, pieces, 0, n)
+
+    def _word(self, word: str) -> bytes:
+        """The ids of a word that is not remembered: of its parts, cut where no piece reaches over."""
+        if len(word) > 4 * self.longest or self.kind != "bpe":
+            return array("i", self.ids_of(self.search(word))).tobytes()
+        neighbours, known = self.neighbours, self.known
+        cuts = [i for i in range(1, len(word)) if word[i - 1 : i + 1] not in neighbours]
+        out = []
+        for a, b in zip([0, *cuts], [*cuts, len(word)]):
+            part = word[a:b]
+            ids = known.get(part)
+            if ids is None:
+                ids = array("i", self.ids_of([self._short(part)])).tobytes()
+                if len(known) < self.cached:
+                    known[part] = ids
+            out.append(ids)
+        return b"".join(out)
+
     @staticmethod
     def _way(begins: list[int], pieces: list[int], base: int, end: int) -> list[int]:
         out = []
@@ -159,7 +204,7 @@ class PieceModel:
             end = begins[end - base]
         return out[::-1]
 
-    def ids_of(self, runs: Iterator[list[int]]) -> Iterator[int]:
+    def ids_of(self, runs: Iterable[list[int]]) -> Iterator[int]:
         """Ids, with a character that is no piece as its bytes, or as unknown if the model has no bytes."""
         after_unknown = False
         for run in runs:
@@ -177,10 +222,10 @@ class PieceModel:
         line, known, out = self.reader.normalize(text), self.known, []
         if not self.words_apart:
             return np.fromiter(self.ids_of(self.search(line)), np.int32)
-        for word in re.findall(f"{SPACE}*[^{SPACE}]+|{SPACE}+", line):
+        for word in self.words.findall(line):
             ids = known.get(word)
             if ids is None:
-                ids = np.fromiter(self.ids_of(self.search(word)), np.int32).tobytes()
+                ids = self._word(word)
                 if len(known) < self.cached and len(word) <= 64:
                     known[word] = ids
             out.append(ids)
@@ -192,6 +237,12 @@ class PieceModel:
         return text[1:] if text[:1] == " " else text
 
 
+@lru_cache(maxsize=1)
+def piece_model(path: str, kind: str) -> PieceModel:
+    """The model of this worker, kept from task to task with the words it remembers."""
+    return PieceModel(path, kind)
+
+
 def encoded(docs: DataFrame, model_path: str, kind: str = "bpe", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_ids long, ids array<int>, round_trip boolean): each row's ids, and whether decoding them gives the text back
     (with U+2581, which stands for a space in pieces, read as one).
@@ -201,7 +252,7 @@ def encoded(docs: DataFrame, model_path: str, kind: str = "bpe", id_col: str = "
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, rows, size = None, [], 0
+        model, rows, size = piece_model(model_path, kind), [], 0
 
         def batch_of(rows: list) -> pa.RecordBatch:
             names = ["_id", "n_ids", "ids", "round_trip"]
@@ -210,7 +261,6 @@ def encoded(docs: DataFrame, model_path: str, kind: str = "bpe", id_col: str = "
             return pa.RecordBatch.from_arrays(columns, names=names)
 
         for batch in batches:
-            model = model or PieceModel(model_path, kind)
             for doc, value in zip(batch.column(0).to_pylist(), batch.column(1)):
                 text = value.as_py()
                 ids = model.encode(text)
@@ -230,9 +280,8 @@ def decoded(rows: DataFrame, model_path: str, kind: str = "bpe", id_col: str = "
     """(id, text): the text of each row's ids; null ids give an empty text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = None
+        model = piece_model(model_path, kind)
         for batch in batches:
-            model = model or PieceModel(model_path, kind)
             texts = [model.decode([i for i in x or [] if i is not None]) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=["_id", "text"])
 
