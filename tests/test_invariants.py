@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tollhouse import SERVICE_A
+from tollhouse.sources.fixtures import SERVICE_A
 from tollhouse.plans import cost, credits, domains, revenue
 from tollhouse.sources.fixtures import WEEKS
 

@@ -1,16 +1,99 @@
 """Some registered queries against their SQL (``check.py`` compares all), and the shape of the plans."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry
 import check
 from tests.conftest import SF_DIR
+from tollhouse.plans import credits, customers, directory, domains, freetier, status
+from tollhouse.sources.fixtures import AS_OF, SERVICE_A, WEEKS
+from tollhouse.sources.tables import parquet_tables
 
 SAMPLE = ["size_bands", "top_customers", "customer_counts_trial", "credits_legacy", "domain_config", "exposed_by_account", "price_matrix_new"]
 
 
-def test_every_query_has_sql():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+REPORTS = [*entry.SERVICE_A_QUERIES, *entry.SERVICE_B_QUERIES]
+
+
+def test_every_report_has_sql():
+    assert set(REPORTS) <= entry.oracle_sql().keys() <= entry.queries().keys()
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_building_a_report_starts_no_job_and_gathers_nothing_in_one_task(spark):
+    spark.sparkContext.setJobGroup("building", "reports")
+    for name in REPORTS:
+        plan = plan_of(entry.queries()[name](spark, SF_DIR))
+        # a one-row total at the end is the only thing that comes together
+        alone = [line for line in plan.split("\n") if "SinglePartition" in line]
+        totals = name in ("exposed_stats", "report_run", "report_run_b")
+        assert totals or not alone, (name, alone)
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("building")) == []
+    spark.sparkContext.setJobGroup("", "")
+
+
+@pytest.fixture(scope="module")
+def partitioned(spark, star, tmp_path_factory):
+    """The fixture's facts as partitioned Parquet."""
+    root = str(tmp_path_factory.mktemp("facts"))
+    for name in ("weekly_charges", "weekly_metering"):
+        star[name].write.partitionBy("year", "week").parquet(f"{root}/{name}")
+    for name, day in (("revenue_fact", "computation_date"), ("daily_charges", "computation_date"), ("compute_fact", "week_begin_date")):
+        star[name].write.partitionBy(day).parquet(f"{root}/{name}")
+    for name in ("accounts", "test_accounts", "dim_products", "dim_accounts", "dim_activity", "dim_compute_accounts", "goals",
+                 "account_history", "subscriptions", "price_wide", "exposed_domains", "support_contracts", "impacted_accounts"):
+        star[name].write.parquet(f"{root}/{name}")
+    return parquet_tables(spark, root)
+
+
+def partition_filters(df):
+    return re.findall(r"PartitionFilters: \[(.*?)\], PushedFilters", plan_of(df))
+
+
+@pytest.mark.parametrize(
+    "report, column",
+    [
+        (lambda t: credits.credit_totals(t, [(1996, 6)], "AmazonES"), "computation_date"),
+        (lambda t: credits.credits_kpi(t, [(1996, 6)], "AmazonES"), "computation_date"),
+        (lambda t: customers.compute_adoption(t, [(1996, 6)]), "week_begin_date"),
+        (lambda t: freetier.freetier_month_rows(t, [(1996, 1)]), "computation_date"),
+        (lambda t: freetier.monthly_revenue(t, [(1996, 1)]), "computation_date"),
+    ],
+)
+def test_facts_are_pruned_by_date(partitioned, report, column):
+    facts = [f for f in partition_filters(report(partitioned)) if column in f]
+    assert facts and all(">=" in f and "<=" in f for f in facts), facts
+
+
+def test_a_week_reads_one_week_of_metering(spark, partitioned, tmp_path):
+    path = str(tmp_path / "metered")
+    full = directory.payer_map(partitioned)
+    t = partitioned
+    for week in WEEKS:
+        t = directory.store_metered_accounts(partitioned, [week], path)
+    assert t.metered_accounts.count() == partitioned.weekly_metering.select("year", "week", "account_id").distinct().count()
+    assert sorted(map(str, directory.payer_map(t).collect())) == sorted(map(str, full.collect()))
+    plan = plan_of(domains.domain_counts(t, [(1996, 6)], SERVICE_A))
+    scans = [line for line in plan.split("\n") if "FileScan" in line and "usage_resource" in line]
+    assert scans and all("1996" in s and "PartitionFilters" in s for s in scans)
+    assert "weekly_metering" in plan and plan.count("weekly_metering") == len(scans)
+
+
+def test_no_sorted_aggregates_over_the_history(partitioned):
+    t, weeks = partitioned, [(1996, 6)]
+    reports = [
+        status.account_status(t, AS_OF),
+        status.suspended_domains(t, weeks, SERVICE_A, AS_OF),
+        status.exposed_by_account(t, weeks, AS_OF),
+        domains.domain_counts(t, weeks, SERVICE_A),
+    ]
+    for report in reports:
+        assert "SortAggregate" not in plan_of(report)
 
 
 @pytest.mark.parametrize("name", SAMPLE)

@@ -4,8 +4,9 @@ import datetime as dt
 from decimal import Decimal as D
 
 import pytest
+from pyspark.sql import functions as F
 
-from tollhouse import SERVICE_A
+from tollhouse.sources.fixtures import SERVICE_A
 from tollhouse.plans import cost, credits, customers, daily, directory, domains, freetier, revenue, status
 
 WEEK = (1996, 6)
@@ -125,17 +126,19 @@ def test_suspension_dates(tables):
     }
 
 
-def test_many_exposed_resources_are_split_without_loss(tables):
+def test_many_exposed_resources_have_one_shape_and_no_loss(tables):
     day = dt.date(1996, 1, 1)
     t = tables(
-        exposed_domains=[dict(domain=f"1:d{i}", region="IAD") for i in range(50)],
+        exposed_domains=[dict(domain=f"1:d{i}", region="IAD") for i in range(1500)],
         account_history=[record(1, "Active", day, None, "Y")],
         weekly_charges=[charge(1, "1.00")],
     )
-    rows = status.exposed_by_account(t, [WEEK], day, per_row=10).collect()
-    names = [n for r in rows for n in r.arns.split("|")]
-    assert len(rows) > 1 and len(names) == len(set(names)) == 50
-    assert "arn:aws:es:IAD:000000000001:domain/d7" in names
+    names = {r.arn for r in status.exposed_by_account(t, [WEEK], day).collect()}
+    assert len(names) == 1500 and "arn:aws:es:IAD:000000000001:domain/d7" in names
+    joined = status.exposed_joined(t, [WEEK], day).collect()
+    assert len(joined) == 16 and sorted(n for r in joined for n in r.arns.split("|")) == sorted(names)
+    few = t.replace(exposed_domains=t.exposed_domains.limit(2))
+    assert sum(len(r.arns.split("|")) for r in status.exposed_joined(few, [WEEK], day).collect()) == 2
 
 
 def test_free_hours_are_capped(tables):
@@ -171,3 +174,78 @@ def test_day_against_the_day_before(tables):
     t = tables(daily_charges=[row | dict(computation_date=d, billed_amount=D("2.00")), row | dict(computation_date=d - dt.timedelta(days=1), billed_amount=D("5.00"))])
     got = {r.computation_date: (r.charge_yesterday, r.charge_today, r["diff"]) for r in daily.daily_gainers(t, [d, d + dt.timedelta(days=1)]).collect()}
     assert got == {d: (5.0, 2.0, -3.0), d + dt.timedelta(days=1): (2.0, 0.0, -2.0)}
+
+
+def test_contracts_are_shown_for_external_accounts_only(tables):
+    t = tables(
+        accounts=[account(1), account(2)],
+        weekly_charges=[charge(1, "5.00"), charge(2, "7.00", is_internal_flag="Y")],
+        weekly_metering=[metered(1, "a"), metered(2, "b", is_internal_flag="Y")],
+        support_contracts=[dict(account_id=acct(n), product_name=p) for n in (1, 2) for p in ("Business", "Enterprise", "NULL")],
+    )
+    rows = sorted((r.account_id, r.usage_resource, r.service_contract or "") for r in revenue.top_by_region(t, [WEEK], SERVICE_A).collect())
+    assert rows == [(acct(1), "a", "Business"), (acct(1), "a", "Enterprise"), (acct(2), "b", "")]
+
+
+def daily_row(n, resource, usage, day=dt.date(1996, 1, 1), kind="ESInstance:m3.large"):
+    return dict(request_day=day, account_id=acct(n), usage_type=kind, usage_value=usage, usage_resource=resource)
+
+
+def test_usage_without_a_resource_configures_nothing(tables):
+    day = dt.date(1996, 1, 1)
+    t = tables(
+        daily_metering=[daily_row(1, None, 24.0), daily_row(2, None, 48.0), daily_row(1, "r", 24.5), daily_row(1, "r", 23.5, kind="ESInstance:r3.large")],
+        daily_charges=[dict(computation_date=day, account_id=acct(n), is_internal_flag="N") for n in (1, 2)],
+        price_plan=[dict(plan_id=2, usage_type=u, price_unit=D("0.5")) for u in ("ESInstance:m3.large", "ESInstance:r3.large")],
+    )
+    (r,) = daily.domain_config(t, [day], SERVICE_A).collect()
+    # of equally dear types the last by name; built-in storage of two nodes
+    assert (r.usage_resource, r.instance_type, r.instance_hour, r.node_count, r.storage_type, r.storage_size) == ("r", "r3.large", 48.0, 2.0, "ephemeral", 64.0)
+
+
+def test_usage_without_a_resource_is_not_compared(tables):
+    day = dt.date(1996, 1, 2)
+    t = tables(
+        accounts=[account(1, payer=2), account(2)],
+        weekly_metering=[metered(1)],
+        daily_metering=[daily_row(1, None, 5.0, day), daily_row(1, "r", 0.1, day), daily_row(1, "r", 0.2, day), daily_row(1, "r", 1.0, day - dt.timedelta(days=1))],
+    )
+    (r,) = daily.daily_usage_diff(t, [day]).collect()
+    assert (r.usage_resource, r.usage_yesterday, r.usage_today, r.price) == ("r", 1.0, 0.3, None)
+
+
+def test_rows_without_a_resource_are_new_only_once(tables):
+    t = tables(weekly_metering=[metered(1, None, week=5), metered(1, None), metered(1, "old", week=5), metered(1, "old"), metered(1, "new")])
+    assert [r.usage_resource for r in domains.new_domains(t, [WEEK], SERVICE_A).collect()] == ["new"]
+    t = tables(weekly_metering=[metered(1, None), metered(1, "old", week=5)])
+    assert [r.usage_resource for r in domains.new_domains(t, [WEEK], SERVICE_A).collect()] == [None]
+
+
+def test_rows_without_a_resource_count_as_one_resource_of_nobody(tables):
+    t = tables(
+        accounts=[account(1), account(2)],
+        weekly_metering=[metered(1, None), metered(2, None), metered(2, "b")],
+        weekly_charges=[charge(1, "1.00"), charge(2, "1.00")],
+    )
+    (r,) = domains.domain_counts(t, [WEEK], SERVICE_A).collect()
+    assert (r.external_domain_count, r.one_domain_customer_count, r.multi_domain_customer_count) == (2, 1, 0)
+
+
+def test_a_late_refund_adds_no_second_row_to_a_week(spark, tables):
+    have = credits.credits_kpi(tables(), [(1996, 5)], "AmazonRDS").withColumn("credits_amount", F.lit(-7.0))
+    got = credits.credits_history(tables(), (1996, 7), "AmazonRDS", 2, have).collect()
+    assert sorted((r.year, r.week, r.credits_amount) for r in got) == [(1996, 5, -7.0), (1996, 6, 0.0)]
+
+
+def test_patterns_must_be_given(tables):
+    from tollhouse import SERVICE_A as bare
+
+    with pytest.raises(ValueError, match="lab_pattern"):
+        directory.lab_accounts(tables(), bare)
+
+
+def test_ranks_of_fractional_usage(tables):
+    lives = [dict(account_id=acct(n), company="c", is_internal_flag="N", min_request_year=1996, min_request_week=6) for n in (1, 2, 3)]
+    use = [metered(1, "a", usage_value=0.1), metered(1, "b", usage_value=0.2), metered(2, "c", usage_value=0.3), metered(3, "d", usage_value=9.0)]
+    got = {r.account_id: (r.sum_usage_value, r.rank) for r in revenue.new_customers(tables(active_date=lives, weekly_metering=use), [WEEK], SERVICE_A).collect()}
+    assert got == {acct(1): (0.3, 2.5), acct(2): (0.3, 2.5), acct(3): (9.0, 1.0)}

@@ -1,9 +1,10 @@
 import datetime as dt
 
-from tollhouse import SERVICE_A
+import pytest
+
+from tollhouse.sources.fixtures import SERVICE_A
 from tollhouse.plans import report
 from tollhouse.sources import files, sinks
-from tollhouse.sources.stored import shared_folder, stored
 from tollhouse.sources.tables import csv_tables, parquet_tables
 
 
@@ -83,15 +84,32 @@ def test_read_through_computes_only_what_is_missing(spark, tmp_path):
 
 def test_one_directory_per_region(spark, tmp_path):
     path = tmp_path / "regions"
-    sinks.write_by_region(spark.createDataFrame([("IAD", "N", "a"), ("PDX", "Y", "b")], "region string, is_internal_flag string, x string"), str(path))
-    assert (path / "region=IAD" / "is_internal_flag=N").is_dir() and (path / "region=PDX" / "is_internal_flag=Y").is_dir()
+    data = [(1996, 6, "IAD", "N", "a"), (1996, 6, "PDX", "Y", "b")]
+    sinks.write_by_region(spark.createDataFrame(data, "year int, week int, region string, is_internal_flag string, x string"), str(path))
+    week = path / "year=1996" / "week=6"
+    assert (week / "region=IAD" / "is_internal_flag=N").is_dir() and (week / "region=PDX" / "is_internal_flag=Y").is_dir()
+
+
+def test_files_per_week_are_bounded(spark, tmp_path):
+    df = spark.range(500).selectExpr("1996 AS year", "6 AS week", "id").repartition(40)
+    sinks.write_weeks(df, str(tmp_path / "w"))
+    assert len(list((tmp_path / "w").glob("*/*/*.parquet"))) <= sinks.FILES_PER_KEY
+    sinks.write_csv(df, str(tmp_path / "c"))
+    assert spark.read.csv(str(tmp_path / "c"), header=True).count() == 500
+
+
+def test_what_is_there(spark, tmp_path, star):
+    assert not sinks.exists(spark, str(tmp_path / "none"))
+    star.test_accounts.write.parquet(str(tmp_path / "test_accounts"))
+    t = parquet_tables(spark, str(tmp_path))
+    assert "test_accounts" in t and "payer_map" not in t and "payer_map" in t.replace(payer_map=star.test_accounts)
 
 
-def test_stored_tables_go_to_the_sessions_folder(spark):
-    kept = stored(spark.range(3).toDF("x"), "t")
-    assert kept.inputFiles()[0].startswith("file://" + shared_folder(spark))
-    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
-    assert rows(kept) == [(0,), (1,), (2,)]
+def test_wide_prices_keep_their_types(spark, tmp_path):
+    (tmp_path / "p.csv").write_text("product,client_product_code,usage_type,IAD,PDX\nx,EC2,t,0.1,\n")
+    got = files.read_price_csv(spark, str(tmp_path / "p.csv"))
+    assert [f.dataType.typeName() for f in got.schema] == ["string"] * 3 + ["decimal"] * 2
+    assert [(str(r.IAD), r.PDX) for r in got.collect()] == [("0.1000", None)]
 
 
 def test_tables_from_parquet(spark, tmp_path, star):
@@ -101,7 +119,14 @@ def test_tables_from_parquet(spark, tmp_path, star):
 
 def test_report_run_writes_every_output(spark, star, tmp_path):
     written = report.report_run(star, [(1996, 6)], SERVICE_A, str(tmp_path))
-    assert len(written) == 8
+    assert len(written) == 9
+    lists = spark.read.csv(f"{tmp_path}/top_customers", header=True)
+    assert "company" in lists.columns and lists.count() > 0
+    assert list((tmp_path / "top_by_region").glob("year=1996/week=6/region=*/is_internal_flag=*/*.csv"))
+    n = lists.count()
+    report.report_run(star, [(1996, 6)], SERVICE_A, str(tmp_path))  # again: nothing twice
+    assert spark.read.csv(f"{tmp_path}/top_customers", header=True).count() == n
+    assert spark.read.parquet(f"{tmp_path}/compute_adoption").count() == 1
     metrics = spark.read.parquet(f"{tmp_path}/weekly_metrics")
     assert {(r.year, r.week) for r in metrics.select("year", "week").distinct().collect()} == {(1996, 6)}
     again = report.weekly_metrics_history(star, (1996, 6), SERVICE_A, 1, metrics)
@@ -115,3 +140,9 @@ def test_in_days_uses_a_range_only_when_it_may(spark):
     df = spark.createDataFrame([(x,) for x in d], "day date")
     assert in_days(df, "day", d[:3]).count() == 3
     assert in_days(df, "day", [d[0], d[4]]).count() == 2
+    assert in_days(df, "day", []).count() == 0
+
+
+def test_far_weeks_are_refused(spark, star, tmp_path):
+    with pytest.raises(ValueError):
+        report.report_run(star, [(1996, 6)], SERVICE_A, str(tmp_path), as_of=dt.date(1999, 1, 1))

@@ -27,6 +27,14 @@ def total(amount: Column | str, when: Column | None = None) -> Column:
     return F.coalesce(F.sum(value), F.lit(0))
 
 
+def usage_total(usage: Column | str = "usage_value", when: Column | None = None) -> Column:
+    """Sum of usage: added as decimals, so that it does not depend on the order of addition, and given as a double."""
+    value = col(usage).cast("decimal(18,6)")
+    if when is not None:
+        value = F.when(when, value)
+    return F.sum(value).cast("double")
+
+
 def count_if(cond: Column) -> Column:
     return F.count(F.when(cond, 1))
 

@@ -38,6 +38,8 @@ def in_weeks(df: DataFrame, weeks: Iterable[Week]) -> DataFrame:
 def in_days(df: DataFrame, day: str, days: Iterable[dt.date]) -> DataFrame:
     """Rows of the given days; consecutive days become a range, which scans prune best."""
     days = sorted(set(days))
+    if not days:
+        return df.where(F.lit(False))
     if (days[-1] - days[0]).days + 1 == len(days):
         return df.where(F.col(day).between(F.lit(days[0]), F.lit(days[-1])))
     return df.where(F.col(day).isin(days))

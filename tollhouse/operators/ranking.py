@@ -11,10 +11,6 @@ from pyspark.sql import functions as F
 # decimals a bucket has at most a million distinct values and a block a hundred thousand buckets.
 BUCKET_WIDTH = 10_000
 BUCKETS_PER_BLOCK = 100_000
-# Values shared by more rows than this are joined in ``SALTS`` pieces. There are at most rows / HOT_ROWS
-# of them, which is what bounds the broadcast.
-HOT_ROWS = 100_000
-SALTS = 64
 
 
 def _above(by: Sequence[str], order: str) -> Column:
@@ -28,7 +24,7 @@ def rank_table(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
 
     Rows are first counted per distinct value, so no value is too frequent. Ranks are running counts
     over blocks, then over the buckets of a block, then over the values of a bucket: each window
-    sees a bounded group, whatever the number of rows.
+    sees a bounded group, whatever the number of rows. Values must have two decimals at most.
     """
     by = list(by)
     bucket = F.floor(F.col(value).cast("double") / BUCKET_WIDTH)
@@ -63,20 +59,10 @@ def _same(left: str, right: str, names: Sequence[str]) -> Column:
 
 
 def with_rank(df: DataFrame, value: str, by: Sequence[str], name: str) -> DataFrame:
-    """Add the mean rank of every row.
-
-    Rows are joined to their rank on the value. Where many rows share one, they are scattered by a
-    salt and its rank is repeated for each, so that they do not meet in one task.
-    """
+    """Add the mean rank of every row, joined on the value; a value that many rows share is an inner join's
+    skewed key, which Spark splits."""
     by = list(by)
-    is_hot = F.col("_n") > HOT_ROWS
-    counts = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
-    hot = F.broadcast(counts.where(is_hot).withColumn("_hot", F.lit(True)).alias("h"))
-    salt = F.when(F.col("_hot"), F.pmod(F.hash(*[F.col(f"d.{c}") for c in df.columns]), F.lit(SALTS))).otherwise(0)
-    salted = df.alias("d").join(hot, _same("d", "h", [*by, value]), "left").select("d.*", salt.alias("_salt")).alias("d")
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    ranks = rank_table(df, value, by).withColumn("_salt", F.explode(copies)).alias("r")
-    joined = salted.join(ranks, _same("d", "r", [*by, value, "_salt"]))
+    joined = df.alias("d").join(rank_table(df, value, by).alias("r"), _same("d", "r", [*by, value]))
     return joined.select(*[F.col(f"d.{c}") for c in df.columns], F.col("_rank").alias(name))
 
 

@@ -2,11 +2,49 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+
 from tollhouse.oracles.tables_sql import with_tables
-from tollhouse.plans.daily import BUILT_IN_STORAGE
-from tollhouse.profiles import CUSTOMER_OFFERINGS, SERVICE_A, SERVICE_B, SUBSCRIPTION_OFFERINGS, ServiceProfile
 from tollhouse.sources import fixtures as fx
 
+# Tokens and rules of the services, written here a second time, so that a wrong one shows.
+CUSTOMER_OFFERINGS = ("607996", "615324", "729920", "615325", "607997", "631467")
+SUBSCRIPTION_OFFERINGS = ("607996", "607997", "615324", "615325", "729920")
+BUILT_IN_STORAGE = {
+    "m3.medium": 4, "m3.large": 32, "m3.xlarge": 80, "m3.2xlarge": 160,
+    "r3.large": 32, "r3.xlarge": 80, "r3.2xlarge": 160, "r3.4xlarge": 320, "r3.8xlarge": 640,
+    "i2.xlarge": 800, "i2.2xlarge": 1600, "i2.4xlarge": 3200, "i2.8xlarge": 6400,
+}
+
+
+@dataclass(frozen=True)
+class ServiceProfile:
+    product_code: str
+    instance_token: str
+    categories: dict = field(hash=False)
+    generations: dict = field(hash=False)
+    metering_instances_only: bool
+    metering_by_operation: bool
+    domains_per_account: bool
+    default_compute_type: str
+    monitor_prefix: str
+    full_cost_model: bool
+
+
+SERVICE_A = ServiceProfile("AmazonES", "ESInstance", {"instance": "ESInstance", "transfer": "-Out", "storage": "Storage|PIOPS"}, {}, True, False, False, "", "CW:", True)
+SERVICE_B = ServiceProfile(
+    "AmazonCloudSearch",
+    "SearchInstance",
+    {"upload": "DocumentBatchUpload", "index": "IndexDocuments", "instance": "SearchInstance", "transfer": "Out-Bytes"},
+    {"2011": "CSDomain:001", "2013": "CSDomain:002"},
+    False,
+    True,
+    True,
+    "m1.small",
+    "",
+    False,
+)
+
 AS_OF = f"DATE '{fx.AS_OF}'"
 
 
@@ -33,6 +71,7 @@ KIND = "regexp_replace(usage_type, '^[^:]*:?', '')"
 EXT, INT = "is_internal_flag = 'N'", "is_internal_flag = 'Y'"
 GROSS = "is_internal_flag = 'N' AND credit_id IS NULL"
 
+# Region prefixes and airport codes, both ways.
 AIRPORT = (
     "CASE {0} WHEN '' THEN 'IAD' WHEN 'USW2' THEN 'PDX' WHEN 'USW1' THEN 'SFO' WHEN 'EU' THEN 'DUB' WHEN 'APN1' THEN 'NRT'"
     " WHEN 'APS1' THEN 'SIN' WHEN 'APS2' THEN 'SYD' WHEN 'APS3' THEN 'BOM' WHEN 'SAE1' THEN 'GRU' WHEN 'EUC1' THEN 'FRA'"
@@ -164,6 +203,12 @@ TRIAL = f"""
            any_value(g.paying_customer_goal) AS paying_customer_goal, any_value(g.active_customer_goal) AS active_customer_goal
     FROM weeks JOIN f USING (year, week) {GOALS} GROUP BY year, week"""
 
+TRIAL_COLUMNS = [
+    "active_count", "customer_2011", "customer_2013", "active_paying_count", "free_trial_count", "active_count_internal", "new_free_active_count",
+    "new_paying_active_count", "new_active_count_internal", "new_free_inactive_count", "new_paying_inactive_count", "new_inactive_count_internal",
+    "convert_to_paying_count", "new_active_count", "new_inactive_count", "paying_customer_goal", "active_customer_goal",
+]
+
 FREETIER = f"""
     , ft AS (SELECT m.year, m.week, account_id, back FROM free_tier f JOIN week_map m ON f.year = m.src_year AND f.week = m.src_week AND m.back < 2 WHERE {EXT}),
     n AS (SELECT * FROM new_active_customers), l AS (SELECT * FROM new_inactive_customers),
@@ -216,14 +261,14 @@ def goal_lookup() -> str:
 
 def domain_counts(p: ServiceProfile) -> str:
     owner = (
-        "SELECT DISTINCT year, week, account_id, usage_resource FROM used WHERE is_internal_flag = 'N'"
+        "SELECT DISTINCT year, week, account_id, usage_resource FROM used WHERE is_internal_flag = 'N' AND usage_resource IS NOT NULL"
         if p.domains_per_account
-        else "SELECT year, week, usage_resource, min(account_id) AS account_id FROM used WHERE is_internal_flag = 'N' GROUP BY ALL"
+        else "SELECT year, week, usage_resource, min(account_id) AS account_id FROM used WHERE is_internal_flag = 'N' AND usage_resource IS NOT NULL GROUP BY ALL"
     )
     return f"""
     , used AS (SELECT * FROM metering WHERE usage_type LIKE '%{p.instance_token}%' AND account_id NOT IN (SELECT account_id FROM lab_accounts)
                AND (year, week, account_id) IN (SELECT (year, week, account_id) FROM charged_accounts)),
-    c AS (SELECT year, week, count(DISTINCT CASE WHEN {EXT} THEN usage_resource END) AS external_domain_count, count(DISTINCT CASE WHEN {INT} THEN usage_resource END) AS internal_domain_count FROM used GROUP BY ALL),
+    c AS (SELECT year, week, count(DISTINCT CASE WHEN {EXT} THEN coalesce(usage_resource, 'none') END) AS external_domain_count, count(DISTINCT CASE WHEN {INT} THEN coalesce(usage_resource, 'none') END) AS internal_domain_count FROM used GROUP BY ALL),
     o AS (SELECT year, week, account_id, count(*) AS n FROM ({owner}) GROUP BY ALL),
     s AS (SELECT year, week, count(CASE WHEN n = 1 THEN 1 END) AS one_domain_customer_count, count(CASE WHEN n > 1 THEN 1 END) AS multi_domain_customer_count FROM o GROUP BY ALL)
     SELECT year, week, {_zeroed(["external_domain_count", "internal_domain_count", "one_domain_customer_count", "multi_domain_customer_count"])}
@@ -263,7 +308,7 @@ def domain_usage(p):
 
 
 NEW_DOMAINS = """
-    (SELECT * FROM ({0}) x WHERE (year, week, usage_resource) NOT IN (SELECT (w.year, w.week, y.usage_resource) FROM week_map w JOIN ({0}) y ON y.year = w.src_year AND y.week = w.src_week AND w.back = 1))"""
+    (SELECT * FROM ({0}) x WHERE (year, week, coalesce(usage_resource, 'none')) NOT IN (SELECT (w.year, w.week, coalesce(y.usage_resource, 'none')) FROM week_map w JOIN ({0}) y ON y.year = w.src_year AND y.week = w.src_week AND w.back = 1))"""
 
 
 def new_domains(p):
@@ -277,7 +322,7 @@ def new_domain_mix(p, weeks):
     )
     inside = " OR ".join(f"(year = {y} AND week = {w})" for y, w in weeks)
     return f"""
-    , c AS (SELECT year, week, {KIND} AS instance_type, count(DISTINCT (usage_resource, usage_type)) AS n FROM {NEW_DOMAINS.format(weekly_metering(p))} WHERE {inside} GROUP BY ALL),
+    , c AS (SELECT year, week, {KIND} AS instance_type, count(DISTINCT (coalesce(usage_resource, 'none'), usage_type)) AS n FROM {NEW_DOMAINS.format(weekly_metering(p))} WHERE {inside} GROUP BY ALL),
     s AS (SELECT *, CAST(sum(n) OVER (PARTITION BY year, week) AS DOUBLE) AS total FROM c)
     SELECT instance_type, {columns} FROM s GROUP BY instance_type"""
 
@@ -370,8 +415,8 @@ def top_by_region(p):
     return f"""
     , ag AS (SELECT year, week, account_id, region, is_internal_flag, sum(billed_amount) AS b FROM charges WHERE region IS NOT NULL GROUP BY ALL),
     res AS (SELECT DISTINCT year, week, account_id, region, is_internal_flag, usage_resource FROM weekly_metering WHERE usage_type LIKE '%{p.instance_token}%')
-    SELECT ag.year, ag.week, ag.region, ag.is_internal_flag, ag.account_id, company, CASE WHEN ag.{EXT} THEN product_name END AS service_contract, usage_resource, {_dbl('b')} AS billed_amount
-    FROM ag LEFT JOIN payers ON payers.account_id = ag.account_id LEFT JOIN (SELECT * FROM support_contracts WHERE product_name <> 'NULL') s ON s.account_id = ag.account_id
+    SELECT ag.year, ag.week, ag.region, ag.is_internal_flag, ag.account_id, company, product_name AS service_contract, usage_resource, {_dbl('b')} AS billed_amount
+    FROM ag LEFT JOIN payers ON payers.account_id = ag.account_id LEFT JOIN (SELECT * FROM support_contracts WHERE product_name <> 'NULL') s ON s.account_id = ag.account_id AND ag.is_internal_flag = 'N'
     LEFT JOIN res ON res.year = ag.year AND res.week = ag.week AND res.account_id = ag.account_id AND res.region = ag.region AND res.is_internal_flag = ag.is_internal_flag"""
 
 
@@ -384,9 +429,10 @@ DROPPED = f"""
 
 def new_customers(p):
     return f"""
-    , x AS (SELECT a.year, a.week, a.account_id, company, count(DISTINCT usage_resource) AS sum_domain_count, sum(usage_value) AS sum_usage_value
+    , x AS (SELECT a.year, a.week, a.account_id, company, count(DISTINCT usage_resource) AS sum_domain_count, CAST(sum(CAST(v AS DECIMAL(18,2))) AS DOUBLE) AS sum_usage_value
             FROM (SELECT min_request_year AS year, min_request_week AS week, account_id, company FROM active_date WHERE {EXT} AND {REAL}) a
-            JOIN weekly_metering m ON m.year = a.year AND m.week = a.week AND m.account_id = a.account_id AND usage_type LIKE '%{p.instance_token}%' GROUP BY ALL)
+            JOIN (SELECT year, week, account_id, usage_resource, sum(usage_value) AS v FROM weekly_metering WHERE usage_type LIKE '%{p.instance_token}%' GROUP BY ALL) m
+                 ON m.year = a.year AND m.week = a.week AND m.account_id = a.account_id GROUP BY ALL)
     SELECT year, week, account_id, company, sum_domain_count, sum_usage_value, CAST({_rank('sum_usage_value')} AS DOUBLE) AS rank FROM x"""
 
 
@@ -505,7 +551,7 @@ DIFF_COLUMNS = f"{_dbl('y')} AS charge_yesterday, {_dbl('t')} AS charge_today, {
 PLAN = "(SELECT usage_type, price_unit AS price FROM price_plan WHERE plan_id = {})"
 FAMILY = """(SELECT account_id FROM support_contracts UNION SELECT p.account_id FROM payers p WHERE p.payer_account_id IN
     (SELECT coalesce(q.payer_account_id, s.account_id) FROM support_contracts s LEFT JOIN payers q ON q.account_id = s.account_id))"""
-SINCE = "DATE '1996-01-01'"
+SINCE = "DATE '1995-12-18'"
 
 DAILY = {
     "daily_gainers": f"SELECT computation_date, account_id, {DIFF_COLUMNS}, company FROM {_diff('account_id')} LEFT JOIN payers USING (account_id)",
@@ -514,7 +560,7 @@ DAILY = {
         SELECT request_day, account_id, usage_resource, usage_type, y AS usage_yesterday, t AS usage_today, t - y AS diff, {_dbl('price', 4)} AS price, payer_account_id, company,
                {_dbl('CAST(t - y AS DECIMAL(18,2)) * price', 4)} AS charge_diff
         FROM (SELECT request_day, account_id, usage_resource, usage_type, coalesce(sum(CASE WHEN back = 1 THEN v END), 0) AS y, coalesce(sum(CASE WHEN back = 0 THEN v END), 0) AS t
-              FROM (SELECT request_day + back AS request_day, back, account_id, usage_resource, usage_type, sum(usage_value) AS v FROM daily_metering CROSS JOIN (VALUES (0), (1)) b(back) GROUP BY ALL)
+              FROM (SELECT request_day + back AS request_day, back, account_id, usage_resource, usage_type, sum(usage_value) AS v FROM daily_metering CROSS JOIN (VALUES (0), (1)) b(back) WHERE usage_resource IS NOT NULL GROUP BY ALL)
               WHERE request_day <= DATE '{fx.LAST_DAY}' GROUP BY ALL) LEFT JOIN {PLAN.format(2)} USING (usage_type) JOIN payers USING (account_id) WHERE payer_account_id IS NOT NULL""",
     "account_daily_charge": f"SELECT computation_date, account_id, {_dbl('b')} AS billed_amount, company FROM (SELECT computation_date, account_id, sum(billed_amount) AS b FROM daily_charges WHERE {EXT} GROUP BY ALL) LEFT JOIN payers USING (account_id)",
     "payer_family_charges": f"SELECT computation_date, charge_item_desc, account_id, payer_account_id, usage_type, usage_value, offering_id, {_dbl('billed_amount')} AS billed_amount, {_dbl('price_per_unit', 4)} AS price_per_unit, region, is_internal_flag, credit_id FROM daily_charges WHERE computation_date >= {SINCE} AND account_id IN {FAMILY}",
@@ -532,7 +578,7 @@ DAILY = {
 BUILT_IN = "(VALUES " + ", ".join(f"('{k}', {v})" for k, v in BUILT_IN_STORAGE.items()) + ") e(instance_type, built_in)"
 CONFIG = f"""
     , ch AS (SELECT DISTINCT computation_date AS request_day, account_id, is_internal_flag FROM daily_charges),
-    m AS (SELECT daily_metering.*, is_internal_flag FROM daily_metering JOIN ch USING (request_day, account_id)),
+    m AS (SELECT daily_metering.*, is_internal_flag FROM daily_metering JOIN ch USING (request_day, account_id) WHERE usage_resource IS NOT NULL),
     st AS (SELECT request_day, usage_resource, sum(usage_value) AS stored FROM m WHERE regexp_matches(usage_type, 'Storage|PIOPS') GROUP BY ALL),
     i AS (SELECT m.*, price FROM m JOIN {PLAN.format(2)} USING (usage_type) WHERE usage_type LIKE '%ESInstance%'),
     h AS (SELECT request_day, usage_resource, sum(usage_value) AS instance_hour FROM i GROUP BY ALL),
@@ -573,8 +619,8 @@ def suspended_domains(p):
 def suspended_trend(p):
     return f"""
     , x AS {IDLE.format(weekly_metering(p))}
-    SELECT w.year, w.week, count(DISTINCT CASE WHEN {INT} THEN account_id || usage_resource END) AS internal_count, count(DISTINCT CASE WHEN {EXT} THEN account_id || usage_resource END) AS external_count,
-           {_dbl(_sum_if(INT, 'cost'), 4)} AS internal_cost, {_dbl(_sum_if(EXT, 'cost'), 4)} AS external_cost FROM weeks w LEFT JOIN x ON x.year = w.year AND x.week = w.week GROUP BY w.year, w.week"""
+    SELECT w.year, w.week, count(DISTINCT CASE WHEN {INT} THEN account_id || coalesce(usage_resource, 'none') END) AS internal_count, count(DISTINCT CASE WHEN {EXT} THEN account_id || coalesce(usage_resource, 'none') END) AS external_count,
+           {_dbl(_sum_if(INT, 'cost'), 4)} AS internal_cost, {_dbl(_sum_if(EXT, 'cost'), 4)} AS external_cost, count(CASE WHEN x.account_id IS NOT NULL AND price IS NULL THEN 1 END) AS unpriced_rows FROM weeks w LEFT JOIN x ON x.year = w.year AND x.week = w.week GROUP BY w.year, w.week"""
 
 
 EXPOSED = f"""
@@ -589,15 +635,16 @@ STATUSES = {
     "exposed_domains": f"SELECT * FROM {EXPOSED}",
     "exposed_stats": f"SELECT count(*) AS exposed, count(CASE WHEN account_status_code = 'Suspended' THEN 1 END) AS suspended, count(CASE WHEN account_status_code = 'Active' AND {EXT} THEN 1 END) AS active_external FROM {EXPOSED}",
     "exposed_unsupported": f"SELECT * FROM {UNSUPPORTED}",
-    "exposed_by_account": f"SELECT account_id, 0 AS part, string_agg(arn, '|' ORDER BY arn) AS arns FROM {UNSUPPORTED} WHERE impacted IS NULL GROUP BY ALL",
+    "exposed_by_account": f"SELECT account_id, arn FROM {UNSUPPORTED} WHERE impacted IS NULL",
+    "exposed_joined": f"SELECT account_id, substr(md5(arn), 1, 1) AS part, string_agg(arn, '|' ORDER BY arn) AS arns FROM {UNSUPPORTED} WHERE impacted IS NULL GROUP BY ALL",
 }
 
 # -- free tier and catalogues ----------------------------------------------------------------------
 
 MONTH = "strftime(computation_date, '%Y-%m')"
 FREE_ROWS = f"(SELECT {MONTH} AS month, * FROM daily_charges WHERE {EXT} AND usage_type LIKE '%t2.micro%' AND billed_amount = 0 AND {REAL})"
-MONTH_COST = f"""(SELECT month, {_dbl('sum(CAST(h AS DECIMAL(20,2)) * price)', 4)} AS cost FROM (SELECT month, region, sum(usage_value) AS h FROM {FREE_ROWS} GROUP BY ALL)
-    JOIN price_list USING (region) WHERE usage_type = 't2.micro' GROUP BY month)"""
+MONTH_COST = f"""(SELECT month, {_dbl('coalesce(sum(CAST(h AS DECIMAL(20,2)) * price), 0)', 4)} AS cost, count(CASE WHEN price IS NULL THEN 1 END) AS unpriced_rows FROM (SELECT month, region, sum(usage_value) AS h FROM {FREE_ROWS} GROUP BY ALL)
+    LEFT JOIN (SELECT region, price FROM price_list WHERE usage_type = 't2.micro') USING (region) GROUP BY month)"""
 MONTHLY = f"(SELECT {MONTH} AS month, {_dbl('sum(billed_amount)')} AS revenue FROM daily_charges WHERE {EXT} GROUP BY 1)"
 HOURS = "CAST(usage_value AS DECIMAL(18,2))"
 
@@ -614,24 +661,26 @@ def _tracked(name: str) -> str:
 
 FREE = {
     "freetier_daily_cost": f"""
-        SELECT computation_date, revenue, current_cost, new_cost, current_cost / nullif(revenue, 0) AS ratio FROM (
-            SELECT computation_date, {_dbl('sum(billed_amount)')} AS revenue, {_free_cost('p.price')} AS current_cost, {_free_cost('q.price')} AS new_cost
+        SELECT computation_date, revenue, current_cost, new_cost, unpriced_rows, current_cost / nullif(revenue, 0) AS ratio FROM (
+            SELECT computation_date, {_dbl('sum(billed_amount)')} AS revenue, {_free_cost('p.price')} AS current_cost, {_free_cost('q.price')} AS new_cost,
+                   count(DISTINCT CASE WHEN free AND (p.price IS NULL OR q.price IS NULL) THEN d.usage_type END) AS unpriced_rows
             FROM (SELECT *, regexp_matches(usage_type, 't2.micro') AND offering_id = '607996' AND price_per_unit = 0 AS free FROM daily_charges WHERE {EXT}) d
             LEFT JOIN {PLAN.format(2)} p ON p.usage_type = d.usage_type LEFT JOIN {PLAN.format(2)} q ON q.usage_type = replace(d.usage_type, 't2.micro', 't2.small') GROUP BY computation_date)""",
-    "freetier_track": f"SELECT computation_date, {_tracked('t2.small')}, {_tracked('t2.micro')} FROM daily_charges LEFT JOIN {PLAN.format(2)} USING (usage_type) WHERE {EXT} AND offering_id IN ('607996', '615324') GROUP BY computation_date",
+    "freetier_track": f"SELECT computation_date, {_tracked('t2.small')}, {_tracked('t2.micro')}, count(DISTINCT CASE WHEN regexp_matches(usage_type, 't2.small|t2.micro') AND price_per_unit = 0 AND price IS NULL THEN usage_type END) AS unpriced_rows FROM daily_charges LEFT JOIN {PLAN.format(2)} USING (usage_type) WHERE {EXT} AND offering_id IN ('607996', '615324') GROUP BY computation_date",
     "freetier_month_rows": f"SELECT month, account_id, is_internal_flag, {_dbl('billed_amount')} AS billed_amount, usage_type, usage_value, {_dbl('price_per_unit', 4)} AS price_per_unit, region, credit_id, charge_item_desc FROM {FREE_ROWS}",
     "freetier_month_cost": f"SELECT * FROM {MONTH_COST}",
     "monthly_revenue": f"SELECT * FROM {MONTHLY}",
-    "freetier_month_report": f"SELECT month, cost, revenue FROM {MONTH_COST} LEFT JOIN {MONTHLY} USING (month)",
+    "freetier_month_report": f"SELECT month, cost, unpriced_rows, revenue FROM {MONTH_COST} LEFT JOIN {MONTHLY} USING (month)",
     "freetier_members": "SELECT account_id, year, week FROM free_tier",
     "t2small_free_cost": f"""
         , f AS (SELECT DISTINCT year, week, account_id FROM free_tier),
         t AS (SELECT * FROM weekly_charges WHERE {EXT} AND usage_type LIKE '%t2.small%' AND (year, week, account_id) IN (SELECT (year, week, account_id) FROM f)),
         p AS (SELECT DISTINCT year, week, region, price_per_unit FROM t),
         u AS (SELECT year, week, account_id, region, least(sum(usage_value), 168) AS h FROM t GROUP BY ALL),
+        q AS (SELECT year, week, count(CASE WHEN price_per_unit IS NULL THEN 1 END) AS unpriced_rows FROM p GROUP BY ALL),
         c AS (SELECT year, week, {_dbl('sum(CAST(h AS DECIMAL(18,2)) * price_per_unit)', 4)} AS cost, count(DISTINCT account_id) AS t2small_user_count FROM u JOIN p USING (year, week, region) GROUP BY ALL),
         n AS (SELECT year, week, count(*) AS freetier_count FROM f GROUP BY ALL)
-        SELECT year, week, coalesce(cost, 0) AS cost, coalesce(freetier_count, 0) AS freetier_count, coalesce(t2small_user_count, 0) AS t2small_user_count FROM weeks LEFT JOIN n USING (year, week) LEFT JOIN c USING (year, week)""",
+        SELECT year, week, coalesce(cost, 0) AS cost, coalesce(freetier_count, 0) AS freetier_count, coalesce(t2small_user_count, 0) AS t2small_user_count, coalesce(unpriced_rows, 0) AS unpriced_rows FROM weeks LEFT JOIN n USING (year, week) LEFT JOIN c USING (year, week) LEFT JOIN q USING (year, week)""",
     "price_catalog": f"""
         SELECT description, usage_type, {_dbl('price_unit', 4)} AS price_unit, usage_unit, replace(replace(split_part(usage_type, ':', 1), 'BoxUsage', ''), '-', '') AS region, {KIND} AS instance_type
         FROM price_catalog_raw WHERE description LIKE '%Linux%' AND usage_type LIKE '%BoxUsage%' AND description NOT LIKE '%Dedicated%'
@@ -663,13 +712,18 @@ def _named(sql: str, name: str, value: str, text: str = "CAST(NULL AS VARCHAR)")
 def weekly_metrics(p) -> str:
     bands = [f"customer_{b}_{m}" for b in ("micro", "S", "M", "L", "XL", "above_XL") for m in ("count", "revenue")]
     categories = [f"revenue_{n}{s}" for s in ("", "_internal") for n in p.categories]
-    counts = [*COUNT_COLUMNS, "new_active_count", "new_inactive_count", "paying_customer_goal", "active_customer_goal"]
+    categories += [f"revenue_{n}" for n in p.generations]
+    counts_sql, counts = customer_counts() + COUNTS_SELECT, [*COUNT_COLUMNS, "new_active_count", "new_inactive_count", "paying_customer_goal", "active_customer_goal"]
+    if p.domains_per_account:
+        counts_sql, counts = TRIAL, TRIAL_COLUMNS
+    by_usage = {f"revenue_{n}{s}": cond for n, x in p.categories.items() for s, cond in (("", f"{GROSS} AND regexp_matches(usage_type, '{x}')"), ("_internal", f"{INT} AND regexp_matches(usage_type, '{x}')"))}
+    by_usage |= {f"revenue_{n}": f"{GROSS} AND operation = '{op}'" for n, op in p.generations.items()}
     return " UNION ALL ".join(
         [
             _tall(domain_counts(p), ["external_domain_count", "internal_domain_count", "one_domain_customer_count", "multi_domain_customer_count"]),
-            _tall(customer_counts() + COUNTS_SELECT, counts),
+            _tall(counts_sql, counts),
             _tall(revenue_summary(p), ["revenue_external_gross", "revenue_internal", "credit_amount", "refund_amount", "revenue_goal"]),
-            _tall(revenue_by_category(p), categories),
+            _tall(_per_week(by_usage), categories),
             _tall(size_bands(), bands),
             _named(_top_five(PAYER_REVENUE), "'top_external_customer_' || position", "billed_amount", "label"),
             _named(TOP_INTERNAL, "'top_internal_customer_' || position", "billed_amount", "label"),
@@ -699,6 +753,7 @@ def report_manifest(p) -> str:
         "customer_list": CUSTOMER_LIST,
         "top_by_region": top_by_region(p),
         "weekly_metrics": weekly_metrics(p),
+        "compute_adoption": ADOPTION,
     }
     return " UNION ALL ".join(f"SELECT '{n}' AS output, count(*) AS row_count FROM {_flat(sql)}" for n, sql in outputs.items())
 
@@ -741,7 +796,7 @@ def texts() -> dict[str, str]:
         "credits_legacy": CREDITS_LEGACY,
         "credit_totals": credit_totals(a.product_code),
         "credits_kpi": credits_kpi("AmazonRDS"),
-        "credits_history": credits_kpi("AmazonRDS", fx.WEEKS[-9:-1]),
+        "credits_history": credits_kpi("AmazonRDS", fx.WEEKS[:-1]),
         "product_cost": product_cost(a),
         "cost_margin": cost_margin(a),
         "cost_breakdown_history": product_cost(a, fx.WEEKS),
@@ -751,7 +806,7 @@ def texts() -> dict[str, str]:
         "suspended_trend": suspended_trend(a),
         **FREE,
         "weekly_metrics": weekly_metrics(a),
-        "weekly_metrics_history": weekly_metrics_history(a, fx.WEEKS[-6:]),
+        "weekly_metrics_history": weekly_metrics_history(a, fx.WEEKS),
         "report_run": report_manifest(a),
     }
     of_b = {
@@ -764,5 +819,15 @@ def texts() -> dict[str, str]:
         "product_cost_b": product_cost(b),
         "cost_margin_b": cost_margin(b),
         "suspended_domains_b": suspended_domains(b),
+        "weekly_metrics_b": weekly_metrics(b),
+        "top_customers_b": TOP_CUSTOMERS,
+        "gainers_losers_b": GAINERS,
+        "credits_refunds_b": credits_refunds(b.product_code),
+        "size_bands_b": size_bands(),
+        "instance_revenue_b": instance_revenue(b),
+        "region_customers_b": region_customers(b),
+        "region_revenue_b": REGION_REVENUE,
+        "revenue_summary_b": revenue_summary(b),
+        "report_run_b": report_manifest(b),
     }
     return {n: with_tables(s) for n, s in plain.items()} | {n: with_tables(s, "B") for n, s in of_b.items()}

@@ -46,8 +46,8 @@ def _tables(service: str) -> dict[str, str]:
                    CAST(year(usage_date) AS INTEGER) AS year, CAST(strftime(usage_date, '%W') AS INTEGER) AS week,
                    lpad(CAST(o_custkey AS VARCHAR), 12, '0') AS account_id, is_internal_flag, region_prefix, region,
                    region_prefix || kind AS usage_type,
-                   'dom-' || o_custkey || '-' || (l_suppkey % 3) AS usage_resource,
-                   l_quantity * 8 AS usage_value,
+                   CASE WHEN l_partkey % 23 <> 0 THEN 'dom-' || o_custkey || '-' || (l_suppkey % 3) END AS usage_resource,
+                   l_quantity * 8 + CAST(l_linenumber AS DOUBLE) / 10 AS usage_value,
                    CASE WHEN is_credit THEN 'CR' || (l_orderkey % 7) END AS credit_id,
                    CAST(CASE WHEN is_credit THEN round(-p * d * scale, 2) WHEN l_discount = 0 THEN 0 ELSE round(p * n * scale, 2) END AS DECIMAL(18,2)) AS billed_amount,
                    CAST(CASE WHEN l_discount = 0 THEN 0 ELSE unit END AS DECIMAL(8,4)) AS price_per_unit,
@@ -65,11 +65,18 @@ def _tables(service: str) -> dict[str, str]:
                          CAST(l_extendedprice AS DECIMAL(12,2)) AS p, CAST(l_discount AS DECIMAL(4,2)) AS d, CAST(1 - l_discount AS DECIMAL(4,2)) AS n,
                          {offering} AS offering_id
                   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)""",
-        "billed": "SELECT * FROM usage_base WHERE o_custkey % 11 <> 0",
-        "weekly_charges": "SELECT year, week, account_id, is_internal_flag, billed_amount, usage_type, region, operation, credit_id, charge_item_desc, offering_id, usage_value, price_per_unit FROM billed",
-        "weekly_metering": "SELECT year, week, account_id, usage_value, is_internal_flag, usage_resource, usage_type, region, operation FROM usage_base",
-        "daily_charges": "SELECT usage_date AS computation_date, charge_item_desc, account_id, CASE WHEN o_custkey % 5 <> 0 THEN lpad(CAST(o_custkey - o_custkey % 5 AS VARCHAR), 12, '0') END AS payer_account_id, usage_type, usage_value, offering_id, billed_amount, price_per_unit, region, is_internal_flag, credit_id FROM billed",
-        "daily_metering": "SELECT usage_date AS request_day, account_id, usage_type, usage_value, usage_resource, operation FROM usage_base",
+        "event_usage": f"""
+            SELECT usage_date, CAST(year(usage_date) AS INTEGER) AS year, CAST(strftime(usage_date, '%W') AS INTEGER) AS week, lpad(CAST(user_id AS VARCHAR), 12, '0') AS account_id,
+                   CASE WHEN c_mktsegment = 'MACHINERY' THEN 'Y' ELSE 'N' END AS is_internal_flag,
+                   coalesce({_list(fx.REGION_CODES)}[n_regionkey + 1], 'IAD') AS region,
+                   coalesce({_list(fx.REGION_PREFIXES)}[n_regionkey + 1], '') || {_list(usage_types)}[event_id % 7 + 1] AS usage_type,
+                   'dom-' || user_id || '-e' AS usage_resource, value AS usage_value, 'CSDomain:002' AS operation
+            FROM (SELECT *, {folded.format("ts")} AS usage_date FROM events) e LEFT JOIN (customer JOIN nation ON c_nationkey = n_nationkey) ON user_id = c_custkey""",
+        "all_usage": "SELECT year, week, usage_date, account_id, usage_value, is_internal_flag, usage_resource, usage_type, region, operation FROM usage_base UNION ALL SELECT year, week, usage_date, account_id, usage_value, is_internal_flag, usage_resource, usage_type, region, operation FROM event_usage",
+        "weekly_charges": "SELECT year, week, account_id, is_internal_flag, billed_amount, usage_type, region, operation, credit_id, charge_item_desc, offering_id, usage_value, price_per_unit FROM usage_base",
+        "weekly_metering": "SELECT year, week, account_id, usage_value, is_internal_flag, usage_resource, usage_type, region, operation FROM all_usage",
+        "daily_charges": "SELECT usage_date AS computation_date, charge_item_desc, account_id, CASE WHEN o_custkey % 5 <> 0 THEN lpad(CAST(o_custkey - o_custkey % 5 AS VARCHAR), 12, '0') END AS payer_account_id, usage_type, usage_value, offering_id, billed_amount, price_per_unit, region, is_internal_flag, credit_id FROM usage_base",
+        "daily_metering": "SELECT usage_date AS request_day, account_id, usage_type, usage_value, usage_resource, operation FROM all_usage",
         "product_weekly_charges": f"SELECT year, week, {_list(p for p, _ in fx.PRODUCT_USAGE)}[l_suppkey % {len(fx.PRODUCT_USAGE)} + 1] AS client_product_code, account_id, region_prefix || {_list(u for _, u in fx.PRODUCT_USAGE)}[l_suppkey % {len(fx.PRODUCT_USAGE)} + 1] AS usage_type, usage_value, billed_amount FROM usage_base",
         "accounts": """
             SELECT lpad(CAST(c_custkey AS VARCHAR), 12, '0') AS account_id,
@@ -88,9 +95,9 @@ def _tables(service: str) -> dict[str, str]:
                    CASE WHEN rn = 1 THEN 'Y' ELSE 'N' END AS current_record_flag
             FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS DATE) DESC, o_orderkey DESC) AS rn FROM orders)""",
         "subscriptions": f"SELECT lpad(CAST(o_custkey AS VARCHAR), 12, '0') AS account_id, {offering} AS offering_id, CASE WHEN o_orderstatus <> 'O' THEN CAST(o_orderdate AS DATE) + 30 END AS end_date FROM orders",
-        "support_contracts": "SELECT lpad(CAST(c_custkey AS VARCHAR), 12, '0') AS account_id, CASE WHEN c_custkey % 19 = 0 THEN 'NULL' ELSE 'Business' END AS product_name FROM customer WHERE c_acctbal > 5000",
-        "metered_weeks": "SELECT DISTINCT year, week, account_id, is_internal_flag FROM usage_base",
-        "free_weeks": "SELECT DISTINCT year, week, account_id, is_internal_flag FROM billed WHERE price_per_unit = 0",
+        "support_contracts": "SELECT lpad(CAST(c_custkey AS VARCHAR), 12, '0') AS account_id, CASE WHEN c_custkey % 19 = 0 THEN 'NULL' ELSE 'Business' END AS product_name FROM customer WHERE c_acctbal > 5000 UNION ALL SELECT lpad(CAST(c_custkey AS VARCHAR), 12, '0'), 'Enterprise' FROM customer WHERE c_acctbal > 5000 AND c_custkey % 4 = 0",
+        "metered_weeks": "SELECT DISTINCT year, week, account_id, is_internal_flag FROM all_usage",
+        "free_weeks": "SELECT DISTINCT year, week, account_id, is_internal_flag FROM usage_base WHERE price_per_unit = 0",
         "new_active_customers": "SELECT * FROM metered_weeks m WHERE NOT EXISTS (SELECT 1 FROM week_map w JOIN metered_weeks p ON p.year = w.src_year AND p.week = w.src_week WHERE w.back = 1 AND w.year = m.year AND w.week = m.week AND p.account_id = m.account_id AND p.is_internal_flag = m.is_internal_flag)",
         "new_inactive_customers": "SELECT w.year, w.week, p.account_id, p.is_internal_flag FROM week_map w JOIN metered_weeks p ON p.year = w.src_year AND p.week = w.src_week AND w.back = 1 WHERE NOT EXISTS (SELECT 1 FROM metered_weeks m WHERE m.year = w.year AND m.week = w.week AND m.account_id = p.account_id AND m.is_internal_flag = p.is_internal_flag)",
         "free_tier": "SELECT * FROM free_weeks",
@@ -138,8 +145,8 @@ def _tables(service: str) -> dict[str, str]:
             JOIN {_values(matrix)} v(class, name) USING (class)
             CROSS JOIN {_values([(i, p.rstrip("-")) for i, p in enumerate(fx.REGION_PREFIXES)])} r(i, prefix)""",
         "regions": f"SELECT * FROM {_values([(p.rstrip('-'), c) for p, c in zip(fx.REGION_PREFIXES, fx.REGION_CODES)])} v(prefix, region)",
-        "current_products": "SELECT DISTINCT usage_type FROM billed",
-        "exposed_list": "SELECT DISTINCT account_id, usage_resource AS domain_name, region FROM usage_base WHERE l_partkey % 50 = 0",
+        "current_products": "SELECT DISTINCT usage_type FROM usage_base",
+        "exposed_list": "SELECT DISTINCT account_id, usage_resource AS domain_name, region FROM usage_base WHERE l_partkey % 50 = 0 AND usage_resource IS NOT NULL",
         "domain_configs": f"SELECT lpad(CAST(user_id AS VARCHAR), 12, '0') AS account_id, 'conf-' || event_id AS domain, {_list(fx.NODE_TYPES)}[event_id % {len(fx.NODE_TYPES)} + 1] AS data_node_type, CAST(json_extract_string(props, '$.k') AS INTEGER) AS data_node_count FROM events",
         # -- relations most reports share ---------------------------------------------------------
         "metered_accounts": "SELECT * FROM accounts WHERE account_id IN (SELECT account_id FROM weekly_metering)",
@@ -160,6 +167,8 @@ def _tables(service: str) -> dict[str, str]:
 def with_tables(sql: str, service: str = "A") -> str:
     """Prefix a query with the common table expressions it uses, directly or not."""
     tables = _tables(service)
+    # usage is added up in decimals
+    sql = sql.replace("sum(usage_value)", "CAST(sum(CAST(usage_value AS DECIMAL(18,6))) AS DOUBLE)")
     needed: set[str] = set()
 
     def visit(text: str) -> None:

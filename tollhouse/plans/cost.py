@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tollhouse.functions import calendar
 from tollhouse.functions.calendar import Week
-from tollhouse.functions.measures import WEEKS_PER_MONTH, as_double, ratio, total
+from tollhouse.functions.measures import WEEKS_PER_MONTH, as_double, ratio, total, usage_total
 from tollhouse.functions.text import HOME_REGION, head, matches, region, rest
 from tollhouse.operators.accounts import without
 from tollhouse.operators.periods import in_weeks, one_row_per_week
@@ -82,7 +82,7 @@ def _weekly_cost(t: Tables, weeks: Sequence[Week], profile: ServiceProfile) -> D
     """All components in decimals, and the revenue of the week."""
     rows = in_weeks(t.product_weekly_charges, weeks).dropna(subset=["client_product_code", "usage_type", "usage_value", "billed_amount"])
     usage = rows.groupBy("year", "week", "client_product_code", "usage_type").agg(
-        F.sum("usage_value").cast("decimal(20,2)").alias("usage_value"), F.sum("billed_amount").alias("billed_amount")
+        usage_total().cast("decimal(20,2)").alias("usage_value"), F.sum("billed_amount").alias("billed_amount")
     )
     cost = F.col("price") * F.col("usage_value")
     names = list(_components(profile))

@@ -16,7 +16,7 @@ from tollhouse.functions.calendar import Week
 from tollhouse.functions.measures import as_double, count_if, doubles, total
 from tollhouse.functions.text import matches
 from tollhouse.operators.accounts import to_payer, with_company
-from tollhouse.operators.periods import one_row_per_week, sunday_weeks
+from tollhouse.operators.periods import in_days, one_row_per_week, sunday_weeks
 from tollhouse.operators.ranking import top_k_and_rest
 from tollhouse.plans.directory import payer_map
 from tollhouse.plans.extracts import account_charges
@@ -36,8 +36,10 @@ def _amortised(t: Tables, weeks: Sequence[Week], product: str) -> DataFrame:
     """Fact rows of the product in the weeks' days, with amortised amounts."""
     days = F.broadcast(sunday_weeks(t.spark, weeks, "computation_date"))
     products = t.dim_products.where(F.col("product_code") == product)
+    wanted = [d for w in weeks for d in calendar.sunday_week_days(w)]
     return (
-        t.revenue_fact.join(days, "computation_date")
+        in_days(t.revenue_fact, "computation_date", wanted)
+        .join(days, "computation_date")
         .join(products, "product_seq_id")
         .withColumn("credit", F.col("billed_amount") * F.col("amortization_factor"))
         .withColumn("refund", F.col("refund_amount") * F.col("amortization_factor"))
@@ -118,8 +120,8 @@ def credits_kpi(t: Tables, weeks: Sequence[Week], product: str) -> DataFrame:
 
 
 def credits_history(t: Tables, last: Week, product: str, n: int = 10, history: DataFrame | None = None) -> DataFrame:
-    """The same for the ``n`` weeks before ``last``, added to the history, each week once."""
+    """The same for the ``n`` weeks before ``last``, added to the history; a week that it holds stays as it is."""
     new = credits_kpi(t, calendar.span(calendar.shift(last, -1), n), product)
     if history is None:
         return new
-    return history.unionByName(new).distinct()
+    return history.unionByName(new.join(history.select(*WEEK).distinct(), list(WEEK), "left_anti"))

@@ -11,10 +11,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tollhouse.functions import calendar
 from tollhouse.functions.calendar import Week
 from tollhouse.functions.measures import external, internal, weeks_back
 from tollhouse.operators.accounts import marked, without
-from tollhouse.operators.periods import earlier_weeks, in_weeks, one_row_per_week, spread_weeks, sunday_weeks
+from tollhouse.operators.periods import earlier_weeks, in_days, in_weeks, one_row_per_week, spread_weeks, sunday_weeks
 from tollhouse.plans.directory import lab_accounts
 from tollhouse.plans.extracts import account_charges, charged_accounts
 from tollhouse.plans.revenue import external_gross
@@ -218,8 +219,10 @@ def compute_adoption(t: Tables, weeks: Sequence[Week]) -> DataFrame:
         & (F.col("account_status_code") == "Active")
     )
     days = F.broadcast(sunday_weeks(t.spark, weeks, "week_begin_date", back=1))
+    wanted = [d for w in weeks for d in calendar.sunday_week_days(calendar.shift(w, -1))]
     used = (
-        t.compute_fact.where(F.col("is_compromised_flag") == "N")
+        in_days(t.compute_fact, "week_begin_date", wanted)
+        .where(F.col("is_compromised_flag") == "N")
         .join(activity, "activity_type_id", "left_semi")
         .join(days, "week_begin_date")
         .select("year", "week", "account_seq_id")

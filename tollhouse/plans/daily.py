@@ -8,13 +8,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tollhouse.functions.measures import as_double, days_back, doubles, external, total
+from tollhouse.functions.measures import as_double, days_back, doubles, external, total, usage_total
 from tollhouse.functions.text import account_id, head, matches, rest
 from tollhouse.operators.accounts import only, with_company
-from tollhouse.operators.lookups import broadcast_if_small
 from tollhouse.operators.periods import earlier_days, in_days, spread_days
 from tollhouse.plans.directory import payer_map
-from tollhouse.plans.extracts import daily_charges, daily_metering, price_lookup, price_plan
+from tollhouse.plans.extracts import daily_charges, daily_metering, price_plan
 from tollhouse.profiles import ServiceProfile
 from tollhouse.sources.tables import Tables
 
@@ -61,16 +60,17 @@ def daily_charge_type_diff(t: Tables, days: Sequence[dt.date]) -> DataFrame:
 def daily_usage_diff(t: Tables, days: Sequence[dt.date], plan: int = PUBLIC_PLAN) -> DataFrame:
     """Usage per resource and type of accounts somebody else pays for, day against day before, priced."""
     keys = ["account_id", "usage_resource", "usage_type"]
-    rows = in_days(t.daily_metering, "request_day", earlier_days(days, (0, 1)))
-    sums = rows.groupBy("request_day", *keys).agg(F.sum("usage_value").alias("usage"))
+    # rows without a resource belong to nothing that could be compared
+    rows = in_days(t.daily_metering, "request_day", earlier_days(days, (0, 1))).dropna(subset=[*keys, "usage_value"])
+    sums = rows.groupBy("request_day", *keys).agg(usage_total().alias("usage"))
     spread = spread_days(sums, "request_day", days, (0, 1)).groupBy("request_day", *keys)
     zero = F.lit(0.0)
     both = spread.agg(
-        F.coalesce(F.sum(F.when(days_back(1), F.col("usage"))), zero).alias("usage_yesterday"),
-        F.coalesce(F.sum(F.when(days_back(0), F.col("usage"))), zero).alias("usage_today"),
+        F.coalesce(usage_total("usage", days_back(1)), zero).alias("usage_yesterday"),
+        F.coalesce(usage_total("usage", days_back(0)), zero).alias("usage_today"),
     ).withColumn("diff", F.col("usage_today") - F.col("usage_yesterday"))
     paid = payer_map(t).where(F.col("payer_account_id").isNotNull()).select("account_id", "payer_account_id", "company")
-    priced = both.join(price_lookup(t, plan), "usage_type", "left").join(paid, "account_id")
+    priced = both.join(price_plan(t, plan), "usage_type", "left").join(paid, "account_id")
     cost = F.col("diff").cast("decimal(18,2)") * F.col("price")
     return doubles(priced.withColumn("charge_diff", cost), "price", "charge_diff", scale=4)
 
@@ -105,7 +105,7 @@ def payer_family_usage(t: Tables, accounts: DataFrame, since: dt.date) -> DataFr
 def reprice(t: Tables, days: Sequence[dt.date], plan: int = CUSTOM_PLAN) -> DataFrame:
     """Every charge line at the price of another plan."""
     custom_prices = price_plan(t, plan).withColumnRenamed("price", "price_unit_custom")
-    rows = daily_charges(t, days).join(broadcast_if_small(custom_prices), "usage_type", "left")
+    rows = daily_charges(t, days).join(custom_prices, "usage_type", "left")
     custom = F.col("price_unit_custom") * F.col("usage_value").cast("decimal(18,2)")
     both = rows.withColumn("custom_billed_amount", custom).withColumn("diff", F.col("billed_amount") - F.col("custom_billed_amount"))
     shown = both.select(
@@ -147,32 +147,37 @@ def _built_in(instance: Column) -> Column:
     return F.try_element_at(F.create_map(*pairs), instance)
 
 
+def _over(usage: str, window) -> Column:
+    """Sum of usage over a window, added as decimals."""
+    return F.sum(F.col(usage).cast("decimal(18,6)")).over(window).cast("double")
+
+
 def domain_config(t: Tables, days: Sequence[dt.date], profile: ServiceProfile, plan: int = PUBLIC_PLAN) -> DataFrame:
     """Per resource and day: dearest instance type, number of nodes, size and kind of storage.
 
     ``round`` goes to the even number on halves, as the node counts always did.
     """
     usage = F.col("usage_type")
-    # a plan is a price list: numbering its lines by price lets the dearest type be found with max()
-    prices = price_plan(t, plan).where(F.col("price").isNotNull())
-    order = F.row_number().over(Window.orderBy("price", "usage_type"))
-    lines = broadcast_if_small(prices.select("usage_type", order.alias("line")))
-    is_instance = matches(usage, profile.instance_token) & F.col("line").isNotNull()
+    # rows without a resource configure nothing; what is left is summed per type before prices are looked up
+    rows = daily_metering(t, days).dropna(subset=["account_id", "usage_resource", "usage_type", "usage_value"])
+    by_type = rows.groupBy("request_day", "account_id", "usage_resource", "usage_type").agg(usage_total().alias("usage"))
+    priced = by_type.join(price_plan(t, plan).where(F.col("price").isNotNull()), "usage_type", "left")
+    is_instance = matches(usage, profile.instance_token) & F.col("price").isNotNull()
     is_storage = matches(usage, profile.categories["storage"])
-    sums = daily_metering(t, days).join(lines, "usage_type", "left").groupBy("request_day", "account_id", "usage_resource").agg(
-        F.sum(F.when(is_instance, F.col("usage_value"))).alias("hours"),
-        F.sum(F.when(is_storage, F.col("usage_value"))).alias("stored"),
-        F.max(F.when(is_instance, F.col("line"))).alias("line"),
+    sums = priced.groupBy("request_day", "account_id", "usage_resource").agg(
+        usage_total("usage", is_instance).alias("hours"),
+        usage_total("usage", is_storage).alias("stored"),
+        F.max(F.when(is_instance, F.struct("price", "usage_type"))).alias("dearest"),
     )
     charged = daily_charges(t, days).select(F.col("computation_date").alias("request_day"), "account_id", "is_internal_flag").distinct()
     # by now a resource has one row per account that owns it
     resource = Window.partitionBy("request_day", "usage_resource")
     owned = sums.join(charged, ["request_day", "account_id"]).withColumns(
-        {"instance_hour": F.sum("hours").over(resource), "stored": F.sum("stored").over(resource)}
+        {"instance_hour": _over("hours", resource), "stored": _over("stored", resource)}
     )
     configured = (
-        owned.join(lines.withColumnRenamed("usage_type", "dearest"), "line")
-        .withColumn("instance_type", rest(F.col("dearest"), ":"))
+        owned.where(F.col("dearest").isNotNull())
+        .withColumn("instance_type", rest(F.col("dearest.usage_type"), ":"))
         .withColumn("node_count", F.bround(F.col("instance_hour") / 24))
     )
     built_in = _built_in(F.col("instance_type")) * F.col("node_count")
@@ -202,7 +207,7 @@ def domain_config_cost(t: Tables, configs: DataFrame, profile: ServiceProfile, p
         configs.withColumn("account_id", account_id(F.col("client_id")))
         .withColumn("usage_type", F.concat(F.lit(profile.instance_token + ":"), "data_node_type"))
         .withColumn("nodes", head(F.col("data_node_count"), "x ").cast("int"))
-        .join(price_lookup(t, plan), "usage_type")
+        .join(price_plan(t, plan), "usage_type")
         .join(payer_map(t), "account_id")
     )
     cost = F.col("price") * 24 * F.col("nodes")

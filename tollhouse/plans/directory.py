@@ -12,6 +12,7 @@ from tollhouse.functions.calendar import Week
 from tollhouse.functions.text import matches
 from tollhouse.operators.periods import in_weeks
 from tollhouse.profiles import CUSTOMER_OFFERINGS, SUBSCRIPTION_OFFERINGS, ServiceProfile
+from tollhouse.sources import sinks
 from tollhouse.sources.tables import Tables
 
 
@@ -19,6 +20,20 @@ def _flag() -> Column:
     return F.when(F.col("internal") == "external", "N").otherwise("Y")
 
 
+def metered_accounts(t: Tables) -> DataFrame:
+    """Accounts that were ever metered: from the stored weekly lists, if there are any, else from all of the metering."""
+    source = t["metered_accounts"] if "metered_accounts" in t else t.weekly_metering
+    return source.select("account_id").distinct()
+
+
+def store_metered_accounts(t: Tables, weeks: Sequence[Week], path: str) -> Tables:
+    """Adds the weeks that ``path`` lacks to its lists of metered accounts, reading the metering of these weeks only, and
+    returns the tables with the whole of the lists."""
+    lists = lambda todo: in_weeks(t.weekly_metering, todo).select("year", "week", "account_id").distinct()
+    sinks.read_through(t.spark, path, weeks, lists)
+    return t.replace(metered_accounts=t.spark.read.parquet(path))
+
+
 def customer_directory(t: Tables) -> DataFrame:
     """Every metered account with its payer and company, and every payer as a row of its own.
 
@@ -27,7 +42,7 @@ def customer_directory(t: Tables) -> DataFrame:
     """
     if "customer_directory" in t:
         return t["customer_directory"]
-    metered = t.weekly_metering.select("account_id").distinct()
+    metered = metered_accounts(t)
     dim = t.accounts.select("account_id", "payer_account_id", "company", _flag().alias("is_internal_flag"))
     known = dim.join(metered, "account_id", "left_semi")
     payers = dim.select(
@@ -70,7 +85,7 @@ def payer_map(t: Tables) -> DataFrame:
             F.max("is_internal_flag").alias("is_internal_flag"),
         )
     # the account dimension has one row per account already: keep metered accounts and their payers
-    metered = t.weekly_metering.select("account_id").distinct().withColumn("is_metered", F.lit(True))
+    metered = metered_accounts(t).withColumn("is_metered", F.lit(True))
     dim = t.accounts.select("account_id", "payer_account_id", "company", _flag().alias("is_internal_flag"))
     dim = dim.join(metered, "account_id", "left")
     other = F.when(F.col("is_metered") & (F.col("account_id") != F.col("payer_account_id")), F.col("payer_account_id"))
@@ -125,7 +140,7 @@ def customer_offering(t: Tables, weeks: Sequence[Week], offerings: Sequence[str]
 
 def lab_accounts(t: Tables, profile: ServiceProfile) -> DataFrame:
     """Accounts of training labs, known by their company name."""
-    lab = matches(F.col("company"), profile.lab_pattern, ignore_case=True)
+    lab = matches(F.col("company"), profile.required("lab_pattern"), ignore_case=True)
     return payer_map(t).where(lab).select("account_id")
 
 

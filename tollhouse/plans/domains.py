@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tollhouse.functions.calendar import Week
-from tollhouse.functions.measures import as_double, count_if, external, internal, ratio, total
+from tollhouse.functions.measures import as_double, count_if, external, internal, ratio, total, usage_total
 from tollhouse.functions.text import matches
 from tollhouse.operators.accounts import only, with_company, without
 from tollhouse.operators.periods import earlier_weeks, in_weeks, one_row_per_week, spread_weeks
@@ -24,7 +24,7 @@ def _charged_metering(t: Tables, weeks: Sequence[Week], profile: ServiceProfile,
     """Usage per (week, account, flag, *keys) of accounts that were charged that week."""
     rows = in_weeks(t.weekly_metering, weeks).where(F.col("usage_type").contains(profile.instance_token))
     rows = rows.withColumn("instance_type", instance_type())
-    usage = rows.groupBy("year", "week", "account_id", "is_internal_flag", *keys).agg(F.sum("usage_value").alias("sum_usage_value"))
+    usage = rows.groupBy("year", "week", "account_id", "is_internal_flag", *keys).agg(usage_total().alias("sum_usage_value"))
     # charged accounts hold no test accounts
     return only(usage, charged_accounts(t, weeks), ("year", "week", "account_id"))
 
@@ -39,14 +39,18 @@ def domain_counts(t: Tables, weeks: Sequence[Week], profile: ServiceProfile) ->
     n = F.col("n")
     if profile.domains_per_account:
         # count the rows of each resource and of each account in one go
-        tagged = F.array(F.struct(F.lit("resource").alias("kind"), F.col("usage_resource").alias("key")),
-                         F.struct(F.lit("account").alias("kind"), F.col("account_id").alias("key")))
+        # (rows without a resource count as one resource, and as nobody's)
+        resource = F.struct(F.lit("resource").alias("kind"), F.col("usage_resource").alias("key"))
+        account = F.struct(F.lit("account").alias("kind"), F.col("account_id").alias("key"))
+        tagged = F.when(F.col("usage_resource").isNull(), F.array(resource)).otherwise(F.array(resource, account))
         counted = used.select(*keys, F.inline(tagged)).groupBy(*keys, "kind", "key").agg(F.count(F.lit(1)).alias("n"))
         is_resource, is_customer, size = F.col("kind") == "resource", F.col("kind") == "account", F.lit(1)
     else:
-        owned = used.groupBy(*keys, "usage_resource").agg(F.min("account_id").alias("account_id"))
-        counted = owned.groupBy(*keys, "account_id").agg(F.count(F.lit(1)).alias("n"))
-        is_resource, is_customer, size = F.lit(True), F.lit(True), n
+        # ids are compared as numbers: the least of texts would need a sort of the large table
+        owned = used.groupBy(*keys, "usage_resource").agg(F.min(F.col("account_id").cast("bigint")).alias("account"))
+        nobody = F.when(F.col("usage_resource").isNotNull(), F.col("account"))
+        counted = owned.groupBy(*keys, nobody.alias("account")).agg(F.count(F.lit(1)).alias("n"))
+        is_resource, is_customer, size = F.lit(True), F.col("account").isNotNull(), n
     weekly = counted.groupBy(*WEEK).agg(
         total(size, external() & is_resource).alias("external_domain_count"),
         total(size, internal() & is_resource).alias("internal_domain_count"),
@@ -56,29 +60,38 @@ def domain_counts(t: Tables, weeks: Sequence[Week], profile: ServiceProfile) ->
     return one_row_per_week(weekly, weeks)
 
 
+def metering_sums(t: Tables, weeks: Sequence[Week], profile: ServiceProfile) -> DataFrame:
+    """Usage of charged accounts per region and instance type: what hours and customers are both read from."""
+    return _charged_metering(t, weeks, profile, "region", "instance_type")
+
+
+def revenue_sums(t: Tables, weeks: Sequence[Week]) -> DataFrame:
+    """External amounts per account, region and usage type: what both revenues below are read from."""
+    return account_charges(t, weeks, "region", "usage_type", where=external() & F.col("billed_amount").isNotNull())
+
+
 def instance_hours(t: Tables, weeks: Sequence[Week], profile: ServiceProfile) -> DataFrame:
     """External hours by instance type."""
-    usage = _charged_metering(t, weeks, profile, "instance_type").where(external())
-    return usage.groupBy("year", "week", "instance_type").agg(F.sum("sum_usage_value").alias("hours"))
+    usage = metering_sums(t, weeks, profile).where(external())
+    return usage.groupBy("year", "week", "instance_type").agg(usage_total("sum_usage_value").alias("hours"))
 
 
 def instance_revenue(t: Tables, weeks: Sequence[Week], profile: ServiceProfile) -> DataFrame:
     """External billed amount by instance type."""
-    rows = external() & matches(F.col("usage_type"), profile.instance_token) & F.col("billed_amount").isNotNull()
-    sums = account_charges(t, weeks, "usage_type", where=rows).withColumn("instance_type", instance_type())
+    sums = revenue_sums(t, weeks).where(matches(F.col("usage_type"), profile.instance_token)).withColumn("instance_type", instance_type())
     return sums.groupBy("year", "week", "instance_type").agg(as_double(F.sum("billed_amount")).alias("revenue"))
 
 
 def region_customers(t: Tables, weeks: Sequence[Week], profile: ServiceProfile) -> DataFrame:
     """Distinct external accounts by region."""
-    usage = _charged_metering(t, weeks, profile, "region").where(external() & F.col("region").isNotNull())
+    usage = metering_sums(t, weeks, profile).where(external() & F.col("region").isNotNull())
+    usage = usage.select("year", "week", "account_id", "region").distinct()
     return usage.groupBy("year", "week", "region").agg(F.count(F.lit(1)).alias("customer_count"))
 
 
 def region_revenue(t: Tables, weeks: Sequence[Week]) -> DataFrame:
     """External billed amount by region."""
-    rows = external() & F.col("region").isNotNull() & F.col("billed_amount").isNotNull()
-    sums = account_charges(t, weeks, "region", where=rows)
+    sums = revenue_sums(t, weeks).where(F.col("region").isNotNull())
     return sums.groupBy("year", "week", "region").agg(as_double(F.sum("billed_amount")).alias("revenue"))
 
 
@@ -108,17 +121,20 @@ def customer_diff(t: Tables, weeks: Sequence[Week]) -> DataFrame:
 
 
 def domain_usage(t: Tables, weeks: Sequence[Week], profile: ServiceProfile) -> DataFrame:
-    """Hours per resource and instance type, most first."""
+    """Hours per resource and instance type."""
     rows = in_weeks(t.weekly_metering, weeks).where(F.col("usage_type").contains(profile.instance_token))
-    sums = rows.groupBy("year", "week", "usage_resource", "usage_type").agg(F.sum("usage_value").alias("hours"))
-    return sums.withColumn("instance_type", instance_type()).orderBy("year", "week", F.desc("hours"), "usage_resource", "usage_type")
+    sums = rows.groupBy("year", "week", "usage_resource", "usage_type").agg(usage_total().alias("hours"))
+    return sums.withColumn("instance_type", instance_type())
 
 
 def new_domains(t: Tables, weeks: Sequence[Week], profile: ServiceProfile) -> DataFrame:
     """Metering rows of resources that were not metered the week before."""
     metering = weekly_metering(t, earlier_weeks(weeks, (0, 1)), profile)
-    before = spread_weeks(metering.select("year", "week", "usage_resource").distinct(), weeks, (1,)).drop("back")
-    return in_weeks(metering, weeks).join(before, ["year", "week", "usage_resource"], "left_anti")
+    before = spread_weeks(metering.select("year", "week", "usage_resource").distinct(), weeks, (1,)).drop("back").alias("b")
+    now = in_weeks(metering, weeks).alias("n")
+    # rows without a resource are not new if there were such rows before
+    same = [F.col(f"n.{c}") == F.col(f"b.{c}") for c in WEEK]
+    return now.join(before, [*same, F.col("n.usage_resource").eqNullSafe(F.col("b.usage_resource"))], "left_anti")
 
 
 def new_domain_shares(t: Tables, weeks: Sequence[Week], profile: ServiceProfile) -> DataFrame:

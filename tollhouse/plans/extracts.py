@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from tollhouse.functions import calendar
 from tollhouse.functions.calendar import Week
+from tollhouse.functions.measures import usage_total
 from tollhouse.functions.text import rest
 from tollhouse.operators.accounts import without
-from tollhouse.operators.lookups import broadcast_if_small
 from tollhouse.operators.periods import in_days, in_weeks
 from tollhouse.profiles import ServiceProfile
 from tollhouse.sources.tables import Tables
@@ -39,7 +39,7 @@ def week_calendar(df: DataFrame, day: str) -> DataFrame:
 
 def weekly_charges(t: Tables, weeks: Sequence[Week]) -> DataFrame:
     """Charge lines of the weeks."""
-    return without(in_weeks(t.weekly_charges, weeks), broadcast_if_small(t.test_accounts))
+    return without(in_weeks(t.weekly_charges, weeks), t.test_accounts)
 
 
 def account_charges(t: Tables, weeks: Sequence[Week], *keys: str, where: Column | None = None) -> DataFrame:
@@ -66,13 +66,13 @@ def weekly_metering(t: Tables, weeks: Sequence[Week], profile: ServiceProfile) -
     if profile.metering_instances_only:
         rows = rows.where(F.col("usage_type").contains(profile.instance_token))
     keys = [*METERING_KEYS, *(["operation"] if profile.metering_by_operation else [])]
-    return without(rows.groupBy(*keys).agg(F.sum("usage_value").alias("sum_usage_value")), t.test_accounts)
+    return without(rows.groupBy(*keys).agg(usage_total().alias("sum_usage_value")), t.test_accounts)
 
 
 def weekly_usage_by_domain(t: Tables, weeks: Sequence[Week]) -> DataFrame:
     """Usage summed per account, resource and region."""
     keys = [k for k in METERING_KEYS if k != "usage_type"]
-    return in_weeks(t.weekly_metering, weeks).groupBy(*keys).agg(F.sum("usage_value").alias("sum_usage_value"))
+    return in_weeks(t.weekly_metering, weeks).groupBy(*keys).agg(usage_total().alias("sum_usage_value"))
 
 
 def daily_charges(t: Tables, days: Sequence[dt.date]) -> DataFrame:
@@ -94,10 +94,5 @@ def price_plan(t: Tables, plan: int) -> DataFrame:
     return t.price_plan.where(F.col("plan_id") == plan).select("usage_type", F.col("price_unit").alias("price"))
 
 
-def price_lookup(t: Tables, plan: int) -> DataFrame:
-    """The same for joining to rows."""
-    return broadcast_if_small(price_plan(t, plan))
-
-
 def instance_type() -> Column:
     return rest(F.col("usage_type"), ":")

@@ -8,12 +8,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tollhouse.functions.calendar import Week
-from tollhouse.functions.measures import as_double, external, ratio, total
+from tollhouse.functions.calendar import Week, day_range
+from tollhouse.functions.measures import as_double, external, ratio, total, usage_total
 from tollhouse.functions.text import matches
 from tollhouse.operators.accounts import without
-from tollhouse.operators.lookups import broadcast_if_small
-from tollhouse.operators.periods import in_weeks, one_row_per_week
+from tollhouse.operators.periods import in_days, in_weeks, one_row_per_week
 from tollhouse.plans.extracts import daily_charges, price_list, price_plan
 from tollhouse.profiles import FREE_OFFERING, FREE_OFFERINGS
 from tollhouse.sources.tables import Tables
@@ -48,6 +47,7 @@ def freetier_daily_cost(t: Tables, days: Sequence[dt.date], plan: int = PUBLIC_P
         as_double(F.sum("revenue")).alias("revenue"),
         (as_double(total(F.col("hours") * F.col("now")), 4) / MARKUP).alias("current_cost"),
         (as_double(total(F.col("hours") * F.col("then")), 4) / MARKUP).alias("new_cost"),
+        F.count_if((F.col("hours") > 0) & (F.col("now").isNull() | F.col("then").isNull())).alias("unpriced_rows"),
     )
     return daily.withColumn("ratio", ratio(F.col("current_cost"), F.col("revenue")))
 
@@ -59,7 +59,8 @@ def freetier_track(t: Tables, days: Sequence[dt.date], plan: int = PUBLIC_PLAN)
         total("billed_amount").alias("billed"), total(_hours(), F.col("price_per_unit") == 0).alias("hours")
     )
     priced = sums.join(price_plan(t, plan), "usage_type", "left")
-    aggs = []
+    small = matches(F.col("usage_type"), "t2.small|t2.micro")
+    aggs = [F.count_if(small & (F.col("hours") > 0) & F.col("price").isNull()).alias("unpriced_rows")]
     for name, pattern in {"t2_small": "t2.small", "t2_micro": "t2.micro"}.items():
         here = matches(F.col("usage_type"), pattern)
         aggs += [
@@ -69,35 +70,41 @@ def freetier_track(t: Tables, days: Sequence[dt.date], plan: int = PUBLIC_PLAN)
     return priced.groupBy("computation_date").agg(*aggs)
 
 
+def _month_days(months: Sequence[Month]) -> list[dt.date]:
+    ends = [(dt.date(y, m, 1), dt.date(y + m // 12, m % 12 + 1, 1) - dt.timedelta(days=1)) for y, m in months]
+    return [d for first, last in ends for d in day_range(first, last)]
+
+
 def freetier_month_rows(t: Tables, months: Sequence[Month]) -> DataFrame:
     """External charge lines of the smallest instance that cost nothing, by month."""
-    labels = [f"{y}-{m:02d}" for y, m in months]
     month = F.date_format("computation_date", "yyyy-MM")
-    free = external() & F.col("usage_type").contains("t2.micro") & (F.col("billed_amount") == 0) & month.isin(labels)
-    tests = broadcast_if_small(t.test_accounts)
-    return without(t.daily_charges.where(free).withColumn("month", month), tests).select(
+    free = external() & F.col("usage_type").contains("t2.micro") & (F.col("billed_amount") == 0)
+    rows = in_days(t.daily_charges, "computation_date", _month_days(months)).where(free).withColumn("month", month)
+    return without(rows, t.test_accounts).select(
         "month", "account_id", "is_internal_flag", as_double("billed_amount").alias("billed_amount"), "usage_type", "usage_value",
         as_double("price_per_unit", 4).alias("price_per_unit"), "region", "credit_id", "charge_item_desc",
     )
 
 
 def freetier_month_cost(t: Tables, months: Sequence[Month], instance: str = "t2.micro") -> DataFrame:
-    """Those hours at the regional price; regions without a price do not count."""
+    """Those hours at the regional price; regions without a price do not count and are numbered in ``unpriced_rows``."""
     rows = freetier_month_rows(t, months).where(F.col("region").isNotNull())
-    hours = rows.groupBy("month", "region").agg(F.sum("usage_value").cast("decimal(20,2)").alias("hours"))
+    hours = rows.groupBy("month", "region").agg(usage_total().cast("decimal(20,2)").alias("hours"))
     prices = price_list(t.price_wide).where((F.col("usage_type") == instance) & F.col("price").isNotNull())
-    return hours.join(prices, "region").groupBy("month").agg(as_double(F.sum(F.col("hours") * F.col("price")), 4).alias("cost"))
+    priced = hours.join(prices.select("region", "price"), "region", "left").groupBy("month")
+    return priced.agg(as_double(total(F.col("hours") * F.col("price")), 4).alias("cost"), F.count_if(F.col("price").isNull()).alias("unpriced_rows"))
 
 
-def monthly_revenue(t: Tables) -> DataFrame:
-    """External revenue by month."""
+def monthly_revenue(t: Tables, months: Sequence[Month] | None = None) -> DataFrame:
+    """External revenue by month, of the given months or of all."""
     month = F.date_format("computation_date", "yyyy-MM").alias("month")
-    return t.daily_charges.where(external()).groupBy(month).agg(as_double(F.sum("billed_amount")).alias("revenue"))
+    rows = t.daily_charges if months is None else in_days(t.daily_charges, "computation_date", _month_days(months))
+    return rows.where(external()).groupBy(month).agg(as_double(F.sum("billed_amount")).alias("revenue"))
 
 
 def freetier_month_report(t: Tables, months: Sequence[Month]) -> DataFrame:
     """Cost of the free hours next to the month's revenue."""
-    return freetier_month_cost(t, months).join(monthly_revenue(t), "month", "left")
+    return freetier_month_cost(t, months).join(monthly_revenue(t, months), "month", "left")
 
 
 def freetier_members(t: Tables) -> DataFrame:
@@ -113,14 +120,17 @@ def t2small_free_cost(t: Tables, weeks: Sequence[Week]) -> DataFrame:
     members = in_weeks(t.free_tier, weeks).select("year", "week", "account_id").distinct()
     keys = ["year", "week", "account_id", "region"]
     rows = in_weeks(t.weekly_charges, weeks).where(external() & F.col("usage_type").contains("t2.small"))
-    sums = rows.groupBy(*keys, "price_per_unit").agg(F.sum("usage_value").alias("usage"))
+    sums = rows.groupBy(*keys, "price_per_unit").agg(usage_total().alias("usage"))
     free = sums.join(members, ["year", "week", "account_id"], "left_semi")
-    prices = free.select("year", "week", "region", "price_per_unit").distinct()
-    used = free.groupBy(*keys).agg(F.least(F.sum("usage"), F.lit(float(FREE_HOURS))).cast("decimal(18,2)").alias("free_amount"))
-    priced = used.join(prices, ["year", "week", "region"])
-    cost = priced.groupBy("year", "week", "account_id").agg(F.sum(F.col("free_amount") * F.col("price_per_unit")).alias("cost"))
-    weekly = cost.groupBy("year", "week").agg(
-        as_double(F.sum("cost"), 4).alias("cost"), F.count(F.lit(1)).alias("t2small_user_count")
-    )
+    prices = free.select("year", "week", "region", "price_per_unit").distinct().groupBy("year", "week", "region")
+    prices = prices.agg(F.sum("price_per_unit").alias("price"), F.count_if(F.col("price_per_unit").isNull()).alias("unpriced"))
+    used = free.groupBy(*keys).agg(F.least(usage_total("usage"), F.lit(float(FREE_HOURS))).cast("decimal(18,2)").alias("free_amount"))
+    # hours are added up per region before they meet its few prices; accounts are counted apart
+    hours = used.groupBy("year", "week", "region").agg(F.sum("free_amount").alias("hours"))
+    cost = hours.join(prices, ["year", "week", "region"]).groupBy("year", "week")
+    cost = cost.agg(as_double(F.sum(F.col("hours") * F.col("price")), 4).alias("cost"), F.sum("unpriced").alias("unpriced_rows"))
+    users = free.where(F.col("region").isNotNull()).select("year", "week", "account_id").distinct()
+    users = users.groupBy("year", "week").agg(F.count(F.lit(1)).alias("t2small_user_count"))
+    weekly = cost.join(users, ["year", "week"])
     counts = members.groupBy("year", "week").agg(F.count(F.lit(1)).alias("freetier_count"))
     return one_row_per_week(counts.join(weekly, ["year", "week"], "left"), weeks)

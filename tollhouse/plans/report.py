@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import datetime as dt
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -10,11 +11,11 @@ from pyspark.sql import functions as F
 
 from tollhouse.functions import calendar
 from tollhouse.functions.calendar import Week
+from tollhouse.functions.measures import usage_total
 from tollhouse.plans import cost, credits, customers, directory, domains, revenue
 from tollhouse.profiles import ServiceProfile
 from tollhouse.operators.periods import earlier_weeks, in_weeks
 from tollhouse.sources import sinks
-from tollhouse.sources.stored import stored
 from tollhouse.sources.tables import Tables
 
 KEYS = ["year", "week", "metric"]
@@ -23,8 +24,7 @@ KEYS = ["year", "week", "metric"]
 def compacted(t: Tables, weeks: Sequence[Week]) -> Tables:
     """The tables a report over ``weeks`` reads again and again, summed as far as the report allows.
 
-    One pass over the charges and one over the metering; the sums are kept in the shared folder.
-    Amounts and usage per account, resource, usage type and region are all the weekly reports need.
+    One pass over the charges and one over the metering. Amounts and usage per account, resource, usage type and region are all the weekly reports need.
     """
     wanted = earlier_weeks(weeks, range(4))
     charges = in_weeks(t.weekly_charges, wanted).groupBy(
@@ -36,12 +36,19 @@ def compacted(t: Tables, weeks: Sequence[Week]) -> Tables:
     metering = in_weeks(t.weekly_metering, wanted).groupBy(
         "year", "week", "account_id", "is_internal_flag", "usage_resource", "usage_type", "region", "operation"
     )
-    usage = metering.agg(F.sum("usage_value").alias("usage_value"))
-    return t.replace(
-        weekly_charges=stored(amounts, "charges"),
-        weekly_metering=stored(usage, "metering"),
-        payer_map=stored(directory.payer_map(t), "payers"),
-    )
+    usage = metering.agg(usage_total().alias("usage_value"))
+    return t.replace(weekly_charges=amounts, weekly_metering=usage, payer_map=directory.payer_map(t))
+
+
+def stored_inputs(t: Tables, weeks: Sequence[Week], path: str) -> Tables:
+    """``compacted`` tables written under ``path`` and read back; a run started again replaces them."""
+    compact = compacted(t, weeks)
+    kept = {}
+    for name in ("weekly_charges", "weekly_metering", "payer_map"):
+        frame = compact[name]
+        frame.write.mode("overwrite").parquet(f"{path}/{name}")
+        kept[name] = t.spark.read.schema(frame.schema).parquet(f"{path}/{name}")
+    return t.replace(**kept)
 
 
 def _tall(df: DataFrame) -> DataFrame:
@@ -68,9 +75,6 @@ def _positions(df: DataFrame, prefix: str) -> DataFrame:
 
 def weekly_metrics(t: Tables, weeks: Sequence[Week], profile: ServiceProfile) -> DataFrame:
     """Every metric of every week as (year, week, metric, value, text)."""
-    by_usage = revenue.revenue_by_category(t, weeks, profile)
-    if profile.generations:
-        by_usage = by_usage.join(revenue.revenue_by_generation(t, weeks, profile), ["year", "week"])
     if profile.domains_per_account:
         counts = customers.customer_counts_trial(t, weeks, profile)
     else:
@@ -78,8 +82,7 @@ def weekly_metrics(t: Tables, weeks: Sequence[Week], profile: ServiceProfile) ->
     parts = [
         _tall(domains.domain_counts(t, weeks, profile)),
         _tall(counts),
-        _tall(revenue.revenue_summary(t, weeks, profile)),
-        _tall(by_usage),
+        _tall(revenue.revenue_metrics(t, weeks, profile)),
         _tall(revenue.size_bands(t, weeks)),
         _positions(revenue.top_external(t, weeks), "top_external_customer"),
         _positions(revenue.top_internal(t, weeks), "top_internal_customer"),
@@ -112,37 +115,43 @@ def weeks_side_by_side(metrics: DataFrame, weeks: Sequence[Week]) -> DataFrame:
     return labelled.groupBy("metric").pivot("label", labels).agg(F.max("value"))
 
 
-def outputs(t: Tables, weeks: Sequence[Week], profile: ServiceProfile) -> dict[str, Callable[[], DataFrame]]:
-    """Name of each output -> how to compute it."""
+def lists(t: Tables, weeks: Sequence[Week], profile: ServiceProfile) -> dict[str, DataFrame]:
+    """The lists of a run, by name."""
     return {
-        "gainer_loser": lambda: revenue.gainers_losers(t, weeks, profile),
-        "top_customers": lambda: revenue.top_customers(t, weeks, profile),
-        "credits": lambda: credits.credits_refunds(t, weeks, profile.product_code),
-        "new_customers": lambda: revenue.new_customers(t, weeks, profile),
-        "dropped_customers": lambda: revenue.dropped_customers(t, weeks),
-        "customer_list": lambda: revenue.customer_list(t, weeks),
-        "top_by_region": lambda: revenue.top_by_region(t, weeks, profile),
-        "weekly_metrics": lambda: weekly_metrics(t, weeks, profile),
+        "gainer_loser": revenue.gainers_losers(t, weeks, profile),
+        "top_customers": revenue.top_customers(t, weeks, profile),
+        "credits": credits.credits_refunds(t, weeks, profile.product_code),
+        "new_customers": revenue.new_customers(t, weeks, profile),
+        "dropped_customers": revenue.dropped_customers(t, weeks),
+        "customer_list": revenue.customer_list(t, weeks),
     }
 
 
 def report_manifest(t: Tables, weeks: Sequence[Week], profile: ServiceProfile) -> DataFrame:
     """Rows each output of a run has."""
-    counts = [
-        make().agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("output"), "row_count")
-        for name, make in outputs(t, weeks, profile).items()
-    ]
+    outputs = lists(t, weeks, profile) | {
+        "top_by_region": revenue.top_by_region(t, weeks, profile),
+        "weekly_metrics": weekly_metrics(t, weeks, profile),
+        "compute_adoption": customers.compute_adoption(t, weeks),
+    }
+    counts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("output"), "row_count") for name, df in outputs.items()]
     return reduce(DataFrame.union, counts)
 
 
-def report_run(t: Tables, weeks: Sequence[Week], profile: ServiceProfile, path: str) -> list[str]:
-    """Write every output of the weeks under ``path``.
+def report_run(t: Tables, weeks: Sequence[Week], profile: ServiceProfile, path: str, as_of: dt.date | None = None) -> list[str]:
+    """Write every output of the weeks under ``path``: lists as CSV by week, accounts by region and flag, and the metrics
+    and the adoption counts added to their histories.
 
-    Running a week again replaces it, so a run that was interrupted is simply started again.
+    Running a week again replaces its lists and leaves its history as it is, so a run that was interrupted is simply
+    started again. With ``as_of`` given, weeks more than 500 days away from it are refused.
     """
-    compact = compacted(t, weeks)
-    written = []
-    for name, make in outputs(compact, weeks, profile).items():
-        sinks.write_weeks(make(), f"{path}/{name}")
-        written.append(f"{path}/{name}")
-    return written
+    if as_of is not None:
+        calendar.check_near([calendar.tuesday(w) for w in weeks], as_of, 500)
+    inputs = stored_inputs(t, weeks, f"{path}/inputs")
+    written = lists(inputs, weeks, profile)
+    for name, df in written.items():
+        sinks.write_week_lists(df, f"{path}/{name}")
+    sinks.write_by_region(revenue.top_by_region(inputs, weeks, profile), f"{path}/top_by_region")
+    sinks.append_history(weekly_metrics(inputs, weeks, profile), f"{path}/weekly_metrics")
+    sinks.append_history(customers.compute_adoption(inputs, weeks), f"{path}/compute_adoption")
+    return [f"{path}/{name}" for name in (*written, "top_by_region", "weekly_metrics", "compute_adoption")]

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tollhouse.functions.calendar import Week
-from tollhouse.functions.measures import WEEKS_PER_MONTH, as_double, count_if, doubles, external, internal, total
+from tollhouse.functions.measures import WEEKS_PER_MONTH, as_double, count_if, doubles, external, internal, total, usage_total
 from tollhouse.functions.text import matches
 from tollhouse.operators.accounts import to_payer, with_company, without
 from tollhouse.operators.periods import earlier_weeks, in_weeks, one_row_per_week, spread_weeks
@@ -17,7 +17,6 @@ from tollhouse.plans.credits import credit_totals
 from tollhouse.plans.directory import payer_map
 from tollhouse.plans.extracts import account_charges
 from tollhouse.profiles import ServiceProfile
-from tollhouse.sources.stored import stored
 from tollhouse.sources.tables import Tables
 
 WEEK = ("year", "week")
@@ -45,6 +44,23 @@ def external_gross(t: Tables, weeks: Sequence[Week]) -> DataFrame:
     return _sums(t, weeks, revenue_external_gross=gross())
 
 
+def _categories(profile: ServiceProfile) -> dict[str, Column]:
+    usage = F.col("usage_type")
+    sums = {f"revenue_{n}": gross() & matches(usage, p) for n, p in profile.categories.items()}
+    return sums | {f"revenue_{n}_internal": internal() & matches(usage, p) for n, p in profile.categories.items()}
+
+
+def _generations(profile: ServiceProfile) -> dict[str, Column]:
+    return {f"revenue_{n}": gross() & (F.col("operation") == op) for n, op in profile.generations.items()}
+
+
+def revenue_metrics(t: Tables, weeks: Sequence[Week], profile: ServiceProfile) -> DataFrame:
+    """What ``revenue_summary``, ``revenue_by_category`` and ``revenue_by_generation`` give, in one pass over the charges."""
+    sums = {"revenue_external_gross": gross(), "revenue_internal": internal(), **_categories(profile), **_generations(profile)}
+    both = _sums(t, weeks, **sums).join(credit_totals(t, weeks, profile.product_code), list(WEEK), "left")
+    return both.join(t.goals.select("year", "week", "revenue_goal"), list(WEEK), "left")
+
+
 def revenue_summary(t: Tables, weeks: Sequence[Week], profile: ServiceProfile) -> DataFrame:
     """External revenue before credits, internal revenue, credits, refunds and the target."""
     revenue = _sums(t, weeks, revenue_external_gross=gross(), revenue_internal=internal())
@@ -54,14 +70,11 @@ def revenue_summary(t: Tables, weeks: Sequence[Week], profile: ServiceProfile) -
 
 def revenue_by_category(t: Tables, weeks: Sequence[Week], profile: ServiceProfile) -> DataFrame:
     """External (before credits) and internal revenue by usage category; categories may overlap."""
-    usage = F.col("usage_type")
-    sums = {f"revenue_{n}": gross() & matches(usage, p) for n, p in profile.categories.items()}
-    sums |= {f"revenue_{n}_internal": internal() & matches(usage, p) for n, p in profile.categories.items()}
-    return _sums(t, weeks, **sums)
+    return _sums(t, weeks, **_categories(profile))
 
 
 def revenue_by_generation(t: Tables, weeks: Sequence[Week], profile: ServiceProfile) -> DataFrame:
-    return _sums(t, weeks, **{f"revenue_{n}": gross() & (F.col("operation") == op) for n, op in profile.generations.items()})
+    return _sums(t, weeks, **_generations(profile))
 
 
 def _payer_revenue(t: Tables, weeks: Sequence[Week]) -> DataFrame:
@@ -119,10 +132,10 @@ def reseller_label(t: Tables, profile: ServiceProfile) -> DataFrame:
     clients = payers.where(
         F.col("payer_account_id").isNotNull()
         & F.col("company").isNotNull()
-        & ~matches(F.col("company"), profile.reseller_pattern, ignore_case=True)
+        & ~matches(F.col("company"), profile.required("reseller_pattern"), ignore_case=True)
     )
     first = clients.groupBy("payer_account_id").agg(F.min_by("company", "account_id").alias("client"))
-    resellers = payers.where(matches(F.col("company"), profile.reseller_pattern, ignore_case=True))
+    resellers = payers.where(matches(F.col("company"), profile.required("reseller_pattern"), ignore_case=True))
     return resellers.join(first.withColumnRenamed("payer_account_id", "account_id"), "account_id").select(
         "account_id", "company", "client", F.concat("company", F.lit(" - "), "client").alias("label")
     )
@@ -140,7 +153,7 @@ def _four_weeks(t: Tables, weeks: Sequence[Week], profile: ServiceProfile) -> Da
     named = to_payer(with_company(four, payers).where(F.col("company").isNotNull()), payers)
     sums = named.groupBy("year", "week", "account_id", "company").agg(*[F.sum(c).alias(c) for c in CHARGES])
     clients = reseller_label(t, profile).select("account_id", "client")
-    is_reseller = matches(F.col("company"), profile.reseller_pattern, ignore_case=True) & F.col("client").isNotNull()
+    is_reseller = matches(F.col("company"), profile.required("reseller_pattern"), ignore_case=True) & F.col("client").isNotNull()
     label = F.when(is_reseller, F.concat("company", F.lit(" - "), "client")).otherwise(F.col("company"))
     return sums.join(clients, "account_id", "left").select("year", "week", "account_id", label.alias("company"), *CHARGES)
 
@@ -152,7 +165,7 @@ def four_week_revenue(t: Tables, weeks: Sequence[Week], profile: ServiceProfile)
 
 def top_customers(t: Tables, weeks: Sequence[Week], profile: ServiceProfile, k: int = 100) -> DataFrame:
     """The largest payers with their rank this week and last; ranks are over all payers."""
-    four = stored(_four_weeks(t, weeks, profile), "four_weeks")
+    four = _four_weeks(t, weeks, profile)
     top = top_k(four, k, WEEK, [F.desc("charge_0"), F.col("account_id"), F.col("company")])
     measured = four.unpivot(list(WEEK), ["charge_0", "charge_1"], "measure", "charge")
     ranks = rank_table(measured, "charge", [*WEEK, "measure"])
@@ -165,7 +178,7 @@ def top_customers(t: Tables, weeks: Sequence[Week], profile: ServiceProfile, k:
 
 def gainers_losers(t: Tables, weeks: Sequence[Week], profile: ServiceProfile, k: int = 30) -> DataFrame:
     """The payers whose revenue rose and fell most against the week before."""
-    four = stored(_four_weeks(t, weeks, profile), "four_weeks").withColumn("diff", F.col("charge_0") - F.col("charge_1"))
+    four = _four_weeks(t, weeks, profile).withColumn("diff", F.col("charge_0") - F.col("charge_1"))
     ties = [F.col("account_id"), F.col("company")]
     gainers = top_k(four, k, WEEK, [F.desc("diff"), *ties]).withColumn("section", F.lit("gainer"))
     losers = top_k(four, k, WEEK, [F.asc("diff"), *ties]).withColumn("section", F.lit("loser"))
@@ -179,31 +192,28 @@ def gainers_losers(t: Tables, weeks: Sequence[Week], profile: ServiceProfile, k:
 # -- lists of customers ----------------------------------------------------------------------------
 
 def customer_list(t: Tables, weeks: Sequence[Week]) -> DataFrame:
-    """All charged accounts with what the directory knows, most revenue first."""
+    """All charged accounts with what the directory knows."""
     charged = account_charges(t, weeks, where=F.col("billed_amount").isNotNull())
     listed = charged.join(payer_map(t), "account_id", "left")
-    ordered = listed.orderBy("year", "week", F.desc("billed_amount"), "account_id")
-    return doubles(ordered, "billed_amount").select(
+    return doubles(listed, "billed_amount").select(
         "year", "week", "account_id", "is_internal_flag", "company", "billed_amount", "payer_account_id"
     )
 
 
 def top_by_region(t: Tables, weeks: Sequence[Week], profile: ServiceProfile) -> DataFrame:
-    """Accounts of every region by revenue, with their resources there and their support contract."""
+    """Accounts of every region, with their resources there; external ones also with each of their support contracts."""
     charged = account_charges(t, weeks, "region", "is_internal_flag", where=F.col("region").isNotNull())
     named = with_company(charged, payer_map(t))
     contracts = t.support_contracts.where(F.col("product_name") != "NULL").select("account_id", F.col("product_name").alias("contract"))
-    contracted = named.join(contracts, "account_id", "left").withColumn("service_contract", F.when(external(), F.col("contract")))
+    has_contract = (F.col("c.account_id") == F.col("n.account_id")) & (F.col("n.is_internal_flag") == "N")
+    contracted = named.alias("n").join(contracts.alias("c"), has_contract, "left").select("n.*", F.col("c.contract").alias("service_contract"))
     keys = ["year", "week", "account_id", "region", "is_internal_flag"]
     rows = in_weeks(t.weekly_metering, weeks).where(F.col("usage_type").contains(profile.instance_token))
     resources = rows.select(*keys, "usage_resource").distinct()
     # an outer join could not split an account with very many resources; an inner join can
     using = contracted.join(resources, keys)
-    idle = contracted.join(resources.select(*keys).distinct(), keys, "left_anti")
-    ordered = using.unionByName(idle, allowMissingColumns=True).orderBy(
-        "year", "week", "region", "is_internal_flag", F.desc("billed_amount"), "account_id", "usage_resource"
-    )
-    return doubles(ordered, "billed_amount").select(
+    idle = contracted.join(resources, keys, "left_anti")
+    return doubles(using.unionByName(idle, allowMissingColumns=True), "billed_amount").select(
         "year", "week", "region", "is_internal_flag", "account_id", "company", "service_contract", "usage_resource", "billed_amount"
     )
 
@@ -229,8 +239,10 @@ def new_customers(t: Tables, weeks: Sequence[Week], profile: ServiceProfile) ->
     """External accounts first seen in the week, with their resources, ranked by usage."""
     new = _lifetimes(t, weeks, "min").select("year", "week", "account_id", "company")
     rows = in_weeks(t.weekly_metering, weeks).where(F.col("usage_type").contains(profile.instance_token))
-    domains = rows.groupBy("year", "week", "account_id", "usage_resource").agg(F.sum("usage_value").alias("usage"))
+    domains = rows.groupBy("year", "week", "account_id", "usage_resource").agg(usage_total().alias("usage"))
     usage = domains.groupBy("year", "week", "account_id").agg(
-        F.count("usage_resource").alias("sum_domain_count"), F.sum("usage").alias("sum_usage_value")
+        F.count("usage_resource").alias("sum_domain_count"), F.sum(F.col("usage").cast("decimal(18,2)")).alias("sum_usage_value")
     )
-    return with_rank(new.join(usage, ["year", "week", "account_id"]), "sum_usage_value", WEEK, "rank")
+    # ranked by hundredths of an hour
+    ranked = with_rank(new.join(usage, ["year", "week", "account_id"]), "sum_usage_value", WEEK, "rank")
+    return ranked.withColumn("sum_usage_value", F.col("sum_usage_value").cast("double"))

@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 from tollhouse.functions.calendar import Week
 from tollhouse.functions.measures import as_double, count_if, external, internal, total
 from tollhouse.functions.text import account_id, head, matches, rest
-from tollhouse.operators.accounts import marked, without
-from tollhouse.operators.lookups import broadcast_if_small
+from tollhouse.operators.accounts import marked, only, without
 from tollhouse.operators.periods import in_weeks, one_row_per_week
 from tollhouse.plans.directory import lab_accounts
 from tollhouse.plans.extracts import charged_accounts, instance_type, price_list, weekly_metering
@@ -20,12 +19,10 @@ from tollhouse.profiles import SUBSCRIPTION_OFFERINGS, ServiceProfile
 from tollhouse.sources.tables import Tables
 
 SUSPENDED, ACTIVE = "Suspended", "Active"
-# Names joined into one text; an account with more of them gets several rows.
-NAMES_PER_ROW = 1000
 
 
-def account_status(t: Tables, as_of: dt.date) -> DataFrame:
-    """Current status of every account and since when it is suspended.
+def account_status(t: Tables, as_of: dt.date, accounts: DataFrame | None = None) -> DataFrame:
+    """Current status of every account, or of the given ones, and since when it is suspended.
 
     Suspended since the later of the first suspension and the end of the last active period (an
     open one counts as ending today); unknown if there was no suspension.
@@ -34,8 +31,10 @@ def account_status(t: Tables, as_of: dt.date) -> DataFrame:
     active_end = F.when(status == ACTIVE, F.coalesce("end_effective_date", F.lit(as_of)))
     first_stop = F.when(status == SUSPENDED, F.col("start_effective_date"))
     current = F.when(F.col("current_record_flag") == "Y", status)
-    known = t.account_history.groupBy("account_id").agg(
-        F.max(current).alias("account_status_code"),
+    history = t.account_history if accounts is None else only(t.account_history, accounts)
+    # an account has a few statuses; the greatest text of a set needs no sorted aggregate
+    known = history.groupBy("account_id").agg(
+        F.array_max(F.collect_set(current)).alias("account_status_code"),
         F.max(active_end).alias("last_active"),
         F.min(first_stop).alias("first_suspended"),
     )
@@ -58,9 +57,9 @@ def _suspended(t: Tables, weeks: Sequence[Week], profile: ServiceProfile, as_of:
     metering = weekly_metering(t, weeks, profile).where(matches(F.col("usage_type"), profile.instance_token))
     idle = without(metering, lab_accounts(t, profile)).join(charged_accounts(t, weeks), ["year", "week", "account_id"], "left_anti")
     typed = idle.withColumn("usage_type", instance_type())
-    prices = broadcast_if_small(price_list(t.price_wide).select("usage_type", "region", "price"))
+    prices = price_list(t.price_wide).select("usage_type", "region", "price")
     priced = typed.join(prices, ["usage_type", "region"], "left").withColumn("cost", F.col("price") * F.col("sum_usage_value").cast("decimal(18,2)"))
-    stopped = account_status(t, as_of).where(F.col("account_status_code") == SUSPENDED)
+    stopped = account_status(t, as_of, idle.select("account_id").distinct()).where(F.col("account_status_code") == SUSPENDED)
     return priced.join(stopped, "account_id")
 
 
@@ -73,12 +72,15 @@ def suspended_domains(t: Tables, weeks: Sequence[Week], profile: ServiceProfile,
 def suspended_trend(t: Tables, weeks: Sequence[Week], profile: ServiceProfile, as_of: dt.date) -> DataFrame:
     """Suspended accounts' resources and their cost per week."""
     rows = _suspended(t, weeks, profile, as_of)
-    resources = rows.groupBy("year", "week", "is_internal_flag", "account_id", "usage_resource").agg(F.sum("cost").alias("cost"))
+    resources = rows.groupBy("year", "week", "is_internal_flag", "account_id", "usage_resource").agg(
+        F.sum("cost").alias("cost"), F.count_if(F.col("price").isNull()).alias("unpriced")
+    )
     weekly = resources.groupBy("year", "week").agg(
         count_if(internal()).alias("internal_count"),
         count_if(external()).alias("external_count"),
         as_double(total("cost", internal()), 4).alias("internal_cost"),
         as_double(total("cost", external()), 4).alias("external_cost"),
+        total("unpriced").alias("unpriced_rows"),
     )
     return one_row_per_week(weekly, weeks)
 
@@ -93,7 +95,7 @@ def exposed_domains(t: Tables, weeks: Sequence[Week], as_of: dt.date) -> DataFra
     flags = in_weeks(t.weekly_charges, weeks).select("account_id", "is_internal_flag").distinct()
     support = t.support_contracts.select("account_id", "product_name")
     full = (
-        found.join(account_status(t, as_of).select("account_id", "account_status_code"), "account_id", "left")
+        found.join(account_status(t, as_of, found).select("account_id", "account_status_code"), "account_id", "left")
         .join(flags, "account_id", "left")
         .join(support, "account_id", "left")
     )
@@ -122,13 +124,14 @@ def exposed_unsupported(t: Tables, weeks: Sequence[Week], as_of: dt.date) -> Dat
     return without(active, t.support_contracts).withColumn("arn", F.trim("arn"))
 
 
-def exposed_by_account(t: Tables, weeks: Sequence[Week], as_of: dt.date, per_row: int = NAMES_PER_ROW) -> DataFrame:
-    """The unsupported resources not hit yet, joined by ``|`` per account.
+def exposed_by_account(t: Tables, weeks: Sequence[Week], as_of: dt.date) -> DataFrame:
+    """The unsupported resources not hit yet, a row for each."""
+    return exposed_unsupported(t, weeks, as_of).where(F.col("impacted").isNull()).select("account_id", "arn")
 
-    An account with very many resources is spread over several rows (``part``) by a hash of the
-    name, so that no task has to hold all of them.
-    """
-    names = exposed_unsupported(t, weeks, as_of).where(F.col("impacted").isNull()).select("account_id", "arn")
-    parts = names.groupBy("account_id").agg(F.ceil(F.count(F.lit(1)) / per_row).alias("parts"))
-    split = names.join(parts, "account_id").withColumn("part", F.pmod(F.xxhash64("arn"), F.col("parts")).cast("int"))
-    return split.groupBy("account_id", "part").agg(F.array_join(F.array_sort(F.collect_list("arn")), "|").alias("arns"))
+
+def exposed_joined(t: Tables, weeks: Sequence[Week], as_of: dt.date, digits: int = 1) -> DataFrame:
+    """The same joined by ``|``: for each account 16 rows at most (for each further digit 16 times as many), told apart by
+    the first hexadecimal digits of the names' MD5 (``part``), whatever the number of names."""
+    part = F.substring(F.md5(F.col("arn").cast("binary")), 1, digits)
+    rows = exposed_by_account(t, weeks, as_of).groupBy("account_id", part.alias("part"))
+    return rows.agg(F.array_join(F.array_sort(F.collect_list("arn")), "|").alias("arns"))

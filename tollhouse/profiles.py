@@ -18,7 +18,7 @@ class ServiceProfile:
     """Tokens and rules of one metered service.
 
     ``lab_pattern`` and ``reseller_pattern`` are case-insensitive regular expressions over company
-    names; they belong to the caller's customers, so there is no useful default.
+    names; they belong to the caller's customers, so there is no default: a report that needs one that is not set says so.
     """
 
     name: str
@@ -40,8 +40,14 @@ class ServiceProfile:
     monitor_prefix: str
     # block storage, half-billed services, bandwidth and sales enter the cost
     full_cost_model: bool
-    lab_pattern: str = "TrainLab"
-    reseller_pattern: str = "MSP"
+    lab_pattern: str | None = None
+    reseller_pattern: str | None = None
+
+    def required(self, name: str) -> str:
+        value = getattr(self, name)
+        if not value:
+            raise ValueError(f"set {name} of service {self.name}, with dataclasses.replace")
+        return value
 
 
 # Usage-type tokens of service A.

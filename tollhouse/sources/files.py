@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from tollhouse.functions.text import account_id
 
+PRICE = "decimal(12,4)"
 DOMAIN_CONFIG = "client_id string, domain string, data_node_type string, data_node_count string"
 
 
-def read_price_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Wide price list: three key columns, then one price column per region."""
-    return spark.read.csv(path, header=True, inferSchema=True)
+def read_price_csv(spark: SparkSession, path: str, keys: int = 3, sep: str = ",") -> DataFrame:
+    """Wide price list: key columns, then one price column per region."""
+    df = spark.read.csv(path, header=True, sep=sep)
+    return df.withColumns({c: df[f"`{c}`"].cast(PRICE) for c in df.columns[keys:]})
 
 
 def read_account_list(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:

@@ -1,13 +1,15 @@
 """The logical tables, derived from the TPC-H-like star schema and the event table.
 
-Every line item becomes a metered and (unless its account is suspended) billed usage record; dates
-are folded into ten weeks across a year boundary. Remainders of keys below assign attributes (who
-pays, which usage type, which list an account is on); they never thin out the rows that are read.
+Every line item becomes a metered and billed usage record and every event a metered one that is not
+billed; dates are folded into ten weeks across a year boundary. Remainders of keys below assign attributes
+(who pays, which usage type, which list an account or a resource is on). Lists, such as that of the
+exposed resources, hold a part of the accounts or resources; charges and metering hold every row.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 from decimal import Decimal
 
 import pyarrow as pa
@@ -17,7 +19,8 @@ from pyspark.sql import functions as F
 from tollhouse.functions import calendar
 from tollhouse.functions.text import account_id
 from tollhouse.operators.periods import literal_rows
-from tollhouse.profiles import SERVICE_A, ServiceProfile
+from tollhouse import profiles
+from tollhouse.profiles import ServiceProfile
 from tollhouse.sources.tables import Tables
 
 # Given, so that opening a table starts no job to infer them.
@@ -34,6 +37,10 @@ SOURCE_SCHEMAS = {
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
 }
 
+# the labs and resellers among the customers below
+SERVICE_A = replace(profiles.SERVICE_A, lab_pattern="TrainLab", reseller_pattern="MSP")
+SERVICE_B = replace(profiles.SERVICE_B, lab_pattern="TrainLab", reseller_pattern="MSP")
+
 FIRST_DAY = dt.date(1995, 12, 18)
 LAST_DAY = dt.date(1996, 2, 25)
 DAYS = calendar.day_range(FIRST_DAY, LAST_DAY)
@@ -202,8 +209,9 @@ class StarSchema:
             "region_prefix",
             "region",
             "usage_type",
-            "concat('dom-', o_custkey, '-', l_suppkey % 3) AS usage_resource",
-            "l_quantity * 8 AS usage_value",
+            # some records name no resource
+            "CASE WHEN l_partkey % 23 <> 0 THEN concat('dom-', o_custkey, '-', l_suppkey % 3) END AS usage_resource",
+            "l_quantity * 8 + CAST(l_linenumber AS DOUBLE) / 10 AS usage_value",
             "CASE WHEN is_credit THEN concat('CR', l_orderkey % 7) END AS credit_id",
             # half a cent is rounded away from zero
             """CAST(CAST(CASE WHEN is_credit THEN -((cents * off + divisor div 2) div divisor)
@@ -217,30 +225,52 @@ class StarSchema:
         )
         return self._base
 
-    def _billed(self) -> DataFrame:
-        """Usage of accounts that are not suspended."""
-        return self._usage_base().where(F.col("o_custkey") % 11 != 0)
+    def _metering(self) -> DataFrame:
+        """Line items and events; an event's user is a customer, or else an external account at home."""
+        home = {"region_prefix": "''", "region": "'IAD'", "is_internal_flag": "'N'"}
+        nation = F.broadcast(self.read("nation"))
+        users = self.read("customer").join(nation, F.expr("c_nationkey = n_nationkey")).selectExpr(
+            "c_custkey",
+            "CASE WHEN c_mktsegment = 'MACHINERY' THEN 'Y' ELSE 'N' END AS is_internal_flag",
+            f"{_choose(REGION_PREFIXES, 'n_regionkey')} AS region_prefix",
+            f"{_choose(REGION_CODES, 'n_regionkey')} AS region",
+        )
+        events = self.read("events").join(users, F.expr("user_id = c_custkey"), "left")
+        events = events.withColumns({name: F.expr(f"coalesce({name}, {value})") for name, value in home.items()}).selectExpr(
+            f"date_add(DATE '{FIRST_DAY}', pmod(datediff(CAST(ts AS DATE), DATE '1995-01-01'), 70)) AS usage_date",
+            "lpad(CAST(user_id AS STRING), 12, '0') AS account_id",
+            "is_internal_flag",
+            "region",
+            f"concat(region_prefix, {_choose(USAGE_TYPES[self.profile.name], 'event_id % 7')}) AS usage_type",
+            "concat('dom-', user_id, '-e') AS usage_resource",
+            "value AS usage_value",
+            "'CSDomain:002' AS operation",
+        )
+        lines = self._usage_base().select(events.columns)
+        return lines.unionByName(events).withColumns(
+            {"year": F.year("usage_date"), "week": calendar.monday_week(F.col("usage_date"))}
+        )
 
     def _weekly_charges(self) -> DataFrame:
-        return self._billed().select(
+        return self._usage_base().select(
             "year", "week", "account_id", "is_internal_flag", "billed_amount", "usage_type", "region", "operation",
             "credit_id", "charge_item_desc", "offering_id", "usage_value", "price_per_unit",
         )
 
     def _weekly_metering(self) -> DataFrame:
-        return self._usage_base().select(
+        return self._metering().select(
             "year", "week", "account_id", "usage_value", "is_internal_flag", "usage_resource", "usage_type", "region", "operation"
         )
 
     def _daily_charges(self) -> DataFrame:
         payer = F.when(F.col("o_custkey") % 5 != 0, account_id(_payer_key("o_custkey")))
-        return self._billed().select(
+        return self._usage_base().select(
             F.col("usage_date").alias("computation_date"), "charge_item_desc", "account_id", payer.alias("payer_account_id"),
             "usage_type", "usage_value", "offering_id", "billed_amount", "price_per_unit", "region", "is_internal_flag", "credit_id",
         )
 
     def _daily_metering(self) -> DataFrame:
-        return self._usage_base().select(
+        return self._metering().select(
             F.col("usage_date").alias("request_day"), "account_id", "usage_type", "usage_value", "usage_resource", "operation"
         )
 
@@ -301,9 +331,12 @@ class StarSchema:
         )
 
     def _support_contracts(self) -> DataFrame:
-        return self.read("customer").where(F.col("c_acctbal") > 5000).select(
+        """One contract for accounts with a balance, and a second one for some of them."""
+        first = F.when(F.col("c_custkey") % 19 == 0, "NULL").otherwise("Business")
+        products = F.when(F.col("c_custkey") % 4 == 0, F.array(first, F.lit("Enterprise"))).otherwise(F.array(first))
+        return self.read("customer").where(F.col("c_acctbal") > 5000).select("c_custkey", F.explode(products).alias("product_name")).select(
             _account("c_custkey").alias("account_id"),
-            F.when(F.col("c_custkey") % 19 == 0, "NULL").otherwise("Business").alias("product_name"),
+            "product_name",
             F.lit("plan").alias("pricing_plan_name"),
             F.lit(dt.date(1995, 1, 1)).alias("begin_date"),
         )
@@ -320,7 +353,7 @@ class StarSchema:
         return grouped.agg(F.max("now").alias("now"), F.max("before").alias("before"))
 
     def _metered_weeks(self) -> DataFrame:
-        return self._usage_base().select("year", "week", "account_id", "is_internal_flag").distinct()
+        return self._metering().select("year", "week", "account_id", "is_internal_flag").distinct()
 
     def _new_active_customers(self) -> DataFrame:
         return self._presence(self._metered_weeks()).where("now = 1 and before = 0").drop("now", "before")
@@ -330,7 +363,7 @@ class StarSchema:
         return gone.where(~((F.col("year") == LAST_WEEK[0]) & (F.col("week") > LAST_WEEK[1])))
 
     def _free_weeks(self) -> DataFrame:
-        free = self._billed().where(F.col("price_per_unit") == 0)
+        free = self._usage_base().where(F.col("price_per_unit") == 0)
         return free.select("year", "week", "account_id", "is_internal_flag").distinct()
 
     def _free_tier(self) -> DataFrame:
@@ -486,12 +519,12 @@ class StarSchema:
         return literal_rows(self.spark, {"prefix": pa.string(), "region": pa.string()}, rows)
 
     def _current_products(self) -> DataFrame:
-        return self._billed().select("usage_type").distinct()
+        return self._usage_base().select("usage_type").distinct()
 
     # -- resources -----------------------------------------------------------------------------
 
     def _exposed_domains(self) -> DataFrame:
-        found = self._usage_base().where(F.col("l_partkey") % 50 == 0)
+        found = self._usage_base().where((F.col("l_partkey") % 50 == 0) & F.col("usage_resource").isNotNull())
         return found.select(F.concat_ws(":", F.col("o_custkey").cast("string"), "usage_resource").alias("domain"), "region").distinct()
 
     def _domain_configs(self) -> DataFrame:

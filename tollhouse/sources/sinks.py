@@ -6,9 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tollhouse.operators.periods import in_weeks
 
+#: Files that the rows of one week, or one region of a week, are written to at most.
+FILES_PER_KEY = 8
+
 
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, header=True)
@@ -20,18 +24,28 @@ def write_pipe(df: DataFrame, path: str) -> None:
 
 
 def write_by_region(df: DataFrame, path: str) -> None:
-    """One directory per region and internal flag."""
-    df.write.mode("overwrite").partitionBy("region", "is_internal_flag").csv(path, header=True)
+    """One directory per week, region and internal flag; those present in ``df`` replace the stored ones."""
+    _replacing(_spread(df, "year", "week", "region")).partitionBy("year", "week", "region", "is_internal_flag").csv(path, header=True)
+
+
+def write_week_lists(df: DataFrame, path: str) -> None:
+    """Lists with a header line, a directory per week; weeks present in ``df`` replace the stored ones."""
+    _replacing(_spread(df, "year", "week")).partitionBy("year", "week").csv(path, header=True)
 
 
 def write_weeks(df: DataFrame, path: str) -> None:
     """Store weekly rows by (year, week); weeks present in ``df`` replace the stored ones."""
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("year", "week")
-        .parquet(path)
-    )
+    _replacing(_spread(df, "year", "week")).partitionBy("year", "week").parquet(path)
+
+
+def _spread(df: DataFrame, *keys: str, files: int = FILES_PER_KEY) -> DataFrame:
+    """Rows of a key in at most ``files`` tasks, and so in as many files."""
+    others = [F.col(f"`{c}`").cast("string") for c in df.columns if c not in keys]
+    return df.repartition(*keys, F.pmod(F.xxhash64(*others), F.lit(files)))
+
+
+def _replacing(df: DataFrame):
+    return df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
 
 
 def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
@@ -43,6 +57,17 @@ def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything at a path of any store that Spark reads."""
+    try:
+        spark.read.text(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
 def missing_weeks(df: DataFrame, stored: DataFrame | None, keys: Sequence[str] = ("year", "week")) -> DataFrame:
     """Rows of weeks the store does not hold yet."""
     if stored is None:
@@ -61,7 +86,7 @@ def append_history(df: DataFrame, path: str) -> DataFrame:
 def read_through(spark: SparkSession, path: str, weeks: Sequence[tuple[int, int]], compute) -> DataFrame:
     """Stored rows of the weeks asked for; ``compute(weeks)`` supplies and stores those not there yet."""
     stored = read_or_none(spark, path)
-    # one row per stored week: the partition listing, not the data
+    # one row per stored week
     have = set() if stored is None else {(r.year, r.week) for r in stored.select("year", "week").distinct().collect()}
     todo = [w for w in weeks if w not in have]
     if todo:

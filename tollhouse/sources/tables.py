@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tollhouse.functions.text import account_id
+from tollhouse.sources import sinks
+from tollhouse.sources.files import read_price_csv
 
 MONEY = "decimal(18,2)"
 
@@ -41,6 +43,9 @@ SCHEMAS: dict[str, str] = {
     "is_fraud_flag string, account_status_code string",
     "accounts": "account_id string, payer_account_id string, company string, internal string, email_domain string",
     "test_accounts": "account_id string",
+    "metered_accounts": "year int, week int, account_id string",
+    "customer_directory": "account_id string, payer_account_id string, company string, is_internal_flag string",
+    "payer_map": "account_id string, payer_account_id string, company string, is_internal_flag string",
     "account_history": "account_id string, account_status_code string, start_effective_date date, "
     "end_effective_date date, current_record_flag string",
     "subscriptions": "account_id string, offering_id string, end_date date",
@@ -64,8 +69,8 @@ SCHEMAS: dict[str, str] = {
     "current_products": "usage_type string",
     "price_catalog_raw": "description string, usage_type string, price_unit decimal(12,4), usage_unit string",
 }
-# Tables whose region columns depend on the data: read with the columns they come with.
-WIDE_TABLES = ("price_wide", "price_matrix")
+# Tables whose region columns depend on the data, with the number of columns before these: read with the columns they come with.
+WIDE_TABLES = {"price_wide": 3, "price_matrix": 1}
 
 
 def schema(name: str) -> T.StructType:
@@ -75,13 +80,21 @@ def schema(name: str) -> T.StructType:
 class Tables:
     """Named DataFrames, built when first asked for.
 
-    ``source`` gives the DataFrame of a logical table. Use ``replace`` to swap single tables, for
-    example for stored copies of them.
+    ``source`` gives the DataFrame of a logical table, ``has`` tells whether there is one (needed for
+    the tables that may be stored or not). Use ``replace`` to swap single tables, for example for
+    stored copies of them.
     """
 
-    def __init__(self, spark: SparkSession, source: Callable[[str], DataFrame], given: Mapping[str, DataFrame] | None = None):
+    def __init__(
+        self,
+        spark: SparkSession,
+        source: Callable[[str], DataFrame],
+        given: Mapping[str, DataFrame] | None = None,
+        has: Callable[[str], bool] = lambda name: False,
+    ):
         self.spark = spark
         self._source = source
+        self._has = has
         self._frames: dict[str, DataFrame] = dict(given or {})
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -95,10 +108,10 @@ class Tables:
         return self[name]
 
     def __contains__(self, name: str) -> bool:
-        return name in self._frames
+        return name in self._frames or self._has(name)
 
     def replace(self, **frames: DataFrame) -> Tables:
-        return Tables(self.spark, self._source, {**self._frames, **frames})
+        return Tables(self.spark, self._source, {**self._frames, **frames}, self._has)
 
 
 def padded(df: DataFrame, columns: Iterable[str] = ("account_id", "payer_account_id")) -> DataFrame:
@@ -114,7 +127,7 @@ def parquet_tables(spark: SparkSession, root: str) -> Tables:
         reader = spark.read if name in WIDE_TABLES else spark.read.schema(SCHEMAS[name])
         return padded(reader.parquet(f"{root}/{name}"))
 
-    return Tables(spark, read)
+    return Tables(spark, read, has=lambda name: sinks.exists(spark, f"{root}/{name}"))
 
 
 def csv_tables(spark: SparkSession, root: str, sep: str = ",") -> Tables:
@@ -123,10 +136,10 @@ def csv_tables(spark: SparkSession, root: str, sep: str = ",") -> Tables:
     def read(name: str) -> DataFrame:
         reader = spark.read.option("header", True).option("sep", sep)
         if name in WIDE_TABLES:
-            return padded(reader.option("inferSchema", True).csv(f"{root}/{name}"))
+            return read_price_csv(spark, f"{root}/{name}", WIDE_TABLES[name], sep)
         return padded(reader.schema(SCHEMAS[name]).csv(f"{root}/{name}"))
 
-    return Tables(spark, read)
+    return Tables(spark, read, has=lambda name: sinks.exists(spark, f"{root}/{name}"))
 
 
 def jdbc_tables(spark: SparkSession, url: str, partitions: Mapping[str, Mapping[str, str]] | None = None, **options: str) -> Tables:
