@@ -35,6 +35,12 @@ def test_unclosed_and_broken():
     assert main_text("") == "" and main_text("   ") == "" and main_text("plain words") == "plain words"
 
 
+def test_very_deep_pages():
+    for tag in ("div", "b", "ul><li", "p><b"):
+        page = "<article>" + f"<{tag}>" * 20_000 + LONG + "<script>no</script><p>end" + "</div>" * 20_000
+        assert main_text(page) == f"{LONG} end"
+
+
 def test_pieces_of_the_stream_make_no_difference():
     page = PAGE.replace("Short.", "Short. " + "&amp;é " * CHUNK)
     assert main_text(page) == f"Head & line {LONG} Short. " + ("&é " * CHUNK).strip() + f" A <b> é xyz {LONG} End."

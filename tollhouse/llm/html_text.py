@@ -24,6 +24,8 @@ CHUNK = 1 << 16
 SIGMA, REACH = 1.0, 2
 #: A content region holds at least this share of the text of the blocks over the threshold.
 SHARE = 0.9
+#: Elements open at a time, beyond which only those are opened that are left out; browsers have such a bound as well.
+DEEPEST = 512
 
 # Names of the HTML standard, and names that pages commonly give to what is not their article.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -58,6 +60,7 @@ class Element:
     named: bool = False  # dropped for its name, not its tag
     text: int = 0  # characters of content below it
     depth: int = 0
+    in_link: bool = False
 
 
 @dataclass
@@ -94,7 +97,6 @@ class _Blocks(HTMLParser):
         self.stack = [self.top]
         self.blocks: list[Block] = []
         self.block = Block(self.top)
-        self.link = 0
 
     def cut(self) -> None:
         if self.block.parts:
@@ -103,24 +105,20 @@ class _Blocks(HTMLParser):
                 self.blocks.append(self.block)
         self.block = Block(self.stack[-1])
 
-    def pop(self, to: int) -> None:
-        del self.stack[to:]
-        self.link = sum(e.tag == "a" for e in self.stack)
-
     def handle_starttag(self, tag, attrs):
         if tag in BLOCK:
             self.cut()
             if tag in ENDS_P:
                 for i in range(len(self.stack) - 1, 0, -1):
                     if self.stack[i].tag == "p":
-                        self.pop(i)
+                        del self.stack[i:]
                         break
                     if self.stack[i].tag in REGION or self.stack[i].tag in DROPPED:
                         break
             elif tag in ("li", "dt", "dd", "tr", "td", "th", "option"):
                 for i in range(len(self.stack) - 1, 0, -1):
                     if self.stack[i].tag == tag:
-                        self.pop(i)
+                        del self.stack[i:]
                         break
                     if self.stack[i].tag in ("ul", "ol", "dl", "menu", "table", "select") or self.stack[i].tag in REGION - {"td"}:
                         break
@@ -134,28 +132,28 @@ class _Blocks(HTMLParser):
                     for e in self.stack[i:]:
                         e.dropped = False
                 else:
-                    self.pop(i)
+                    del self.stack[i:]
                 above = self.stack[-1]
         self.block.tags += 1
-        if tag in VOID:
+        dropped = named or tag in DROPPED
+        if tag in VOID or len(self.stack) > DEEPEST and not dropped:
             self.block.element = self.stack[-1]
             return
-        self.stack.append(Element(tag, above, above.dropped or tag in DROPPED or named, named, depth=above.depth + 1))
-        self.link += tag == "a"
+        self.stack.append(Element(tag, above, above.dropped or dropped, named, depth=above.depth + 1, in_link=above.in_link or tag == "a"))
         if tag in BLOCK or not self.block.parts:
             self.block.element = self.stack[-1]
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in VOID and self.stack[-1].tag == tag and tag not in BLOCK and tag not in DROPPED:
-            self.pop(len(self.stack) - 1)
+            self.stack.pop()
 
     def handle_endtag(self, tag):
         if tag in BLOCK:
             self.cut()
         for i in range(len(self.stack) - 1, 0, -1):
             if self.stack[i].tag == tag:
-                self.pop(i)
+                del self.stack[i:]
                 break
             if self.stack[i].tag in ("article", "main", "body") and tag not in ("article", "main", "body", "html"):
                 break  # a stray end tag closes nothing outside the article
@@ -166,7 +164,7 @@ class _Blocks(HTMLParser):
         if self.stack[-1].dropped:
             return
         self.block.parts.append(data)
-        if self.link:
+        if self.stack[-1].in_link:
             self.block.links += len(data)
 
 
