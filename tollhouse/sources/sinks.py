@@ -41,7 +41,7 @@ def write_weeks(df: DataFrame, path: str) -> None:
 def _spread(df: DataFrame, *keys: str, files: int = FILES_PER_KEY) -> DataFrame:
     """Rows of a key in at most ``files`` tasks, and so in as many files."""
     others = [F.col(f"`{c}`").cast("string") for c in df.columns if c not in keys]
-    return df.repartition(*keys, F.pmod(F.xxhash64(*others), F.lit(files)))
+    return df.repartition(*keys, F.pmod(F.xxhash64(F.lit(0), *others), F.lit(files)))
 
 
 def _replacing(df: DataFrame):
