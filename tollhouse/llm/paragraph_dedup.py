@@ -197,19 +197,16 @@ def similar(a: set, b: set, threshold: float) -> bool:
     return both >= threshold * (len(a) + len(b) - both)
 
 
-def _node(a: str, b: str) -> F.Column:
-    return F.struct(F.col(a).alias("d"), F.col(b).alias("c"))
-
-
 def paragraph_removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
     """(id, first int, n int, keep_id): paragraphs, as word spans of their document, that a like one of ``keep_id`` stands for."""
     texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("_id"), text_or_empty(text_col).alias("_text"))
     pars = stored(texts.mapInArrow(_paragraphs(min_words, shingle, bands_for(similarity)), _PAR))
     nodes = pars.groupBy("digest", "check").agg(F.min(F.struct("_id", "par")).alias("owner"), F.any_value("bands").alias("bands"), F.max(F.struct("_id", "par")).alias("last"))
-    nodes = stored(nodes.select(_node("digest", "check").alias("node"), "owner", "bands", (F.col("owner") != F.col("last")).alias("copied")))
-    entries = nodes.select("node", F.posexplode("bands").alias("band", "key"))
-    buckets = entries.groupBy("band", "key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = stored(entries.join(buckets, ["band", "key"]))
+    # numbered where they are stored, so that what is shuffled from here on is short
+    nodes = stored(nodes.select("digest", "check", "owner", "bands", (F.col("owner") != F.col("last")).alias("copied"), F.monotonically_increasing_id().alias("node")))
+    entries = nodes.select("node", F.explode("bands").alias("key"))
+    buckets = entries.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("size")).where("size > 1")
+    members = stored(entries.join(buckets, "key"))
     stars = members.where("node != hub").select("node", "hub").distinct()
 
     # words of the paragraphs that meet others: one copy of each
@@ -230,20 +227,20 @@ def paragraph_removals(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     # what banding brought together and the stars left apart
     placed = members.where("size > 2").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    hub_root = placed.where("node = hub").select("band", "key", F.col("root").alias("hub_root"))
-    placed = placed.join(hub_root, ["band", "key"]).withColumn("apart", F.col("root") != F.col("hub_root"))
-    apart = placed.groupBy("band", "key").agg(F.count_if("apart").alias("_apart")).where("_apart > 0")
-    placed = placed.join(apart, ["band", "key"]).where("node != hub").join(words, "node")
+    hub_root = placed.where("node = hub").select("key", F.col("root").alias("hub_root"))
+    placed = placed.join(hub_root, "key").withColumn("apart", F.col("root") != F.col("hub_root"))
+    apart = placed.groupBy("key").agg(F.count_if("apart").alias("_apart")).where("_apart > 0")
+    placed = placed.join(apart, "key").where("node != hub").join(words, "node")
     left_blocks, right_blocks = F.ceil(F.col("_apart") / BLOCK).cast("int"), F.ceil(F.col("size") / BLOCK).cast("int")
     own, other = F.xxhash64("node", F.lit(1)), F.xxhash64("node", F.lit(2))
     left = placed.where("apart").select("*", F.lit(True).alias("_left"), F.explode(F.sequence(F.lit(0), right_blocks - 1)).alias("_j")).withColumn("_i", F.pmod(own, left_blocks).cast("int"))
     right = placed.select("*", F.lit(False).alias("_left"), F.explode(F.sequence(F.lit(0), left_blocks - 1)).alias("_i")).withColumn("_j", F.pmod(other, right_blocks).cast("int"))
-    names = ["band", "key", "_i", "_j", "_left", "words", F.col("node.d").alias("d"), F.col("node.c").alias("c"), F.col("root.d").alias("root_d"), F.col("root.c").alias("root_c")]
+    names = ["key", "_i", "_j", "_left", "words", "node", "root"]
     blocks = left.select(*names).unionByName(right.select(*names))
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         sets = [_shingles(x, shingle) for x in pdf["words"]]
-        ids, roots_of = list(zip(pdf["d"], pdf["c"])), list(zip(pdf["root_d"], pdf["root_c"]))
+        ids, roots_of = pdf["node"].tolist(), pdf["root"].tolist()
         above = {r: r for r in roots_of}  # components linked in this block: one link joins them
 
         def top(r):
@@ -257,18 +254,17 @@ def paragraph_removals(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 a, b = top(roots_of[i]), top(roots_of[j])
                 if a != b and similar(sets[i], sets[j], similarity):
                     above[a] = b
-                    out.append((*ids[i], *ids[j]))
-        return pd.DataFrame(out, columns=["d", "c", "e", "f"]).astype("int64")
+                    out.append((ids[i], ids[j]))
+        return pd.DataFrame(out, columns=["node", "hub"]).astype("int64")
 
-    more = blocks.groupBy("band", "key", "_i", "_j").applyInPandas(compare, "d long, c long, e long, f long")
-    more = stored(more.select(_node("d", "c").alias("node"), _node("e", "f").alias("hub")))
+    more = stored(blocks.groupBy("key", "_i", "_j").applyInPandas(compare, "node long, hub long"))
     if not more.isEmpty():
-        roots = components(star_links.unionByName(more), "node", "hub")
+        roots = components(roots.withColumnRenamed("root", "hub").unionByName(more), "node", "hub")
 
-    classes = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    classes = nodes.drop("bands").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     heads = classes.groupBy("root").agg(F.min("owner").alias("head"), F.count(F.lit(1)).alias("_kinds"), F.max(F.col("copied").cast("int")).alias("_copied"))
     heads = heads.where("_kinds > 1 OR _copied = 1")
-    named = classes.join(heads, "root").select(F.col("node.d").alias("digest"), F.col("node.c").alias("check"), "head")
+    named = classes.join(heads, "root").select("digest", "check", "head")
     gone = pars.drop("bands").join(named, ["digest", "check"]).where(F.struct("_id", "par") != F.col("head"))
     return gone.select(F.col("_id").alias(id_col), "first", "n", F.col("head._id").alias("keep_id")).distinct()
 
