@@ -139,3 +139,32 @@ def test_texts_without_repeats(documents, corpus):
             seen.setdefault(tuple(w[i : i + 51]), set()).add(doc)
     assert all(len(x) == 1 for x in seen.values())
     assert p.substring_removals(documents([])).collect() == [] and p.without_repeats(documents([])).collect() == []
+
+
+def test_a_repeated_passage_goes_from_its_first_word_to_its_last(documents):
+    rng = random.Random(8)
+    rows, want = [], {}
+    for n in (51, 52, 60, 80, 200):
+        passage = [f"q{n}_{i}" for i in range(n)]
+        for k in range(8):
+            doc, before, after = len(rows), rng.randint(0, 60), rng.randint(0, 60)
+            rows.append((doc, " ".join([*(f"a{doc}_{i}" for i in range(before)), *passage, *(f"z{doc}_{i}" for i in range(after))])))
+            want[doc] = [(before, n)] if k else []
+    # the start of one passage, and all of it with another's end
+    shared = [f"s{i}" for i in range(140)]
+    for a, z in ((0, 100), (40, 140), (0, 140), (0, 70)):
+        rows.append((len(rows), " ".join([f"l{len(rows)}", *shared[a:z], f"r{len(rows)}"])))
+        want[len(rows) - 1] = [[], [(1, 60)], [(1, 140)], [(1, 70)]][len(rows) - 41]
+    found = {}
+    for r in p.passage_removals(documents(rows)).collect():
+        found.setdefault(r["doc_id"], []).append(r.asDict())
+    got = {doc: [(s["first"], s["n"]) for s in p.merge_spans(sorted(x, key=lambda s: s["first"]))] for doc, x in found.items()}
+    assert got == {doc: x for doc, x in want.items() if x}
+
+
+def test_marks_have_all_keys(spark):
+    keys = np.random.default_rng(6).integers(-(1 << 63), 1 << 63, 3000)
+    found = p.marks(spark.createDataFrame([(int(k),) for k in keys[:1000]], "key long"))
+    got = p.marked(found, keys.view(np.uint64))
+    assert got[:1000].all() and got[1000:].mean() < 0.02
+    assert not p.marked(p.marks(spark.createDataFrame([], "key long")), keys.view(np.uint64)).any()

@@ -7,7 +7,9 @@ bucket of very many near-equal paragraphs makes one row for each of them, not on
 
 A passage inside differing paragraphs, or over several lines, shows in no paragraph's likeness. For these, runs of
 ``RUN`` words are taken from anchors: places whose hash is the least of ``GAP`` neighbouring ones. Every repeated passage
-of RUN + GAP - 1 words (51) holds at least one such run in each of its copies, whatever stands around it.
+of RUN + GAP - 1 words (51) holds at least one such run in each of its copies, whatever stands around it. Its ends lie
+less than GAP places from such a run: where the anchors a document shares break off, all runs of those places are compared
+as well, so that a passage goes from its first word to its last.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tollhouse.llm.common import SPACE_RUN, let, stored, text_or_empty
@@ -33,6 +35,8 @@ BAND_ROWS, RECALL = 3, 0.999
 RUN, GAP = 30, 22
 #: Paragraphs on either side of a comparison in blocks.
 BLOCK = 400
+#: Places of a key in a set of marks, bits for each key, and the bits of the largest set as a power of two.
+PROBES, KEY_BITS, MOST_BITS = 4, 16, 27
 #: Words hashed at a time; a single longer text is a batch of its own.
 BATCH_WORDS = 1 << 17
 
@@ -83,8 +87,36 @@ def anchors(hashes: np.ndarray, gap: int) -> np.ndarray:
 
 
 def _hashed(words: list[bytes]) -> np.ndarray:
-    h = xxhash.xxh3_64_intdigest
-    return np.array([h(w) for w in words], np.uint64)
+    return np.frombuffer(b"".join(map(xxhash.xxh3_64_digest, words)), ">u8").astype(np.uint64)
+
+
+def _places(keys: np.ndarray, bits: int) -> np.ndarray:
+    """PROBES places of each key among 2 ** bits."""
+    factors = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3], np.uint64)[:PROBES]
+    return _mixed(keys[None, :] * factors[:, None]) >> np.uint64(64 - bits)
+
+
+def marks(keys: DataFrame) -> np.ndarray:
+    """The values of ``key`` as bits of a bounded set: it has each of them, and by chance a few others. What is chosen by
+    it must be compared exactly."""
+    bits = min(max((KEY_BITS * keys.count()).bit_length(), 10), MOST_BITS)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = _places(batch.column(0).to_numpy().view(np.uint64), bits).ravel()
+            bit = np.uint64(1) << (at & np.uint64(63))
+            yield pa.RecordBatch.from_arrays([pa.array((at >> np.uint64(6)).view(np.int64)), pa.array(bit.view(np.int64))], names=["at", "bit"])
+
+    rows = keys.select("key").mapInArrow(run, "at long, bit long").groupBy("at").agg(F.bit_or("bit").alias("bit")).toArrow()
+    out = np.zeros(1 << bits - 6, np.uint64)
+    out[rows["at"].to_numpy()] = rows["bit"].to_numpy().view(np.uint64)
+    return out
+
+
+def marked(found: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which keys are in the set."""
+    at = _places(keys, len(found).bit_length() + 5)
+    return (found[at >> np.uint64(6)] >> (at & np.uint64(63)) & np.uint64(1)).all(axis=0)
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, list[list[bytes]]]]]:
@@ -162,24 +194,40 @@ def _paragraphs(min_words: int, shingle: int, bands: int):
     return run
 
 
-def _runs(run_words: int, gap: int):
+_RUN = "_id long, first int, key long, `check` int, nth int, later int"
+
+
+def _runs(run_words: int, gap: int, shared: np.ndarray | None = None, ends: tuple[np.ndarray, np.ndarray] | None = None):
+    """Runs at the anchors and at both ends of each text, each with the number of those before and after it; with
+    ``shared``, only those of this set. With ``ends``, the runs less than ``gap`` places before a run of the one set or
+    after one of the other."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        steps = np.arange(1, gap)
         for some in _texts(batches):
-            ids, firsts, keys, checks = [], [], [], []
+            out = []
             for doc, lines in some:
                 words = [w for line in lines for w in line]
                 if len(words) < run_words:
                     continue
                 h = _hashed(words)
                 key = _run_hashes(h, run_words, 0x8BB84B93962EACC9)
-                at = anchors(key, gap)
-                ids.append(np.full(len(at), doc, np.int64))
-                firsts.append(at)
-                keys.append(key[at])
-                checks.append(_run_hashes(_mixed(h), run_words, 0x2D358DCCAA6C78A5)[at])
-            if ids:
-                columns = [np.concatenate(ids), np.concatenate(firsts).astype(np.int32), np.concatenate(keys).view(np.int64), (np.concatenate(checks) >> np.uint64(32)).view(np.int64).astype(np.int32)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["_id", "first", "key", "check"])
+                at = np.unique(np.concatenate((anchors(key, gap), [0, len(key) - 1])))
+                nth = np.arange(len(at))
+                if shared is not None:
+                    nth = np.flatnonzero(marked(shared, key[at]))
+                later = len(at) - 1 - nth
+                at = at[nth]
+                if ends is not None:
+                    left, right = (at[marked(x, key[at])] for x in ends)
+                    at = np.unique(np.concatenate((np.subtract.outer(left, steps).ravel(), np.add.outer(right, steps).ravel())))
+                    at = at[(at >= 0) & (at < len(key))]
+                    nth = later = np.zeros(len(at), np.int64)
+                if len(at):
+                    check = _run_hashes(_mixed(h), run_words, 0x2D358DCCAA6C78A5)[at]
+                    out.append((np.full(len(at), doc, np.int64), at.astype(np.int32), key[at].view(np.int64), (check >> np.uint64(32)).astype(np.uint32).view(np.int32), nth.astype(np.int32), later.astype(np.int32)))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["_id", "first", "key", "check", "nth", "later"])
 
     return run
 
@@ -273,10 +321,29 @@ def passage_removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """(id, first int, n int, keep_id): runs of words, by their place in the document, that also stand in ``keep_id``,
     the smallest document with that run. Runs that repeat in one document only are no removals."""
     texts = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("_id"), text_or_empty(text_col).alias("_text"))
-    runs = texts.mapInArrow(_runs(run, gap), "_id long, first int, key long, `check` int")
-    owners = runs.groupBy("key", "check").agg(F.min("_id").alias("keep_id"), F.max("_id").alias("_last")).where("keep_id != _last").drop("_last")
-    hits = runs.join(owners, ["key", "check"]).where("_id != keep_id")
-    return hits.select(F.col("_id").alias(id_col), "first", F.lit(run).alias("n"), "keep_id")
+    runs = texts.mapInArrow(_runs(run, gap), _RUN)
+    owners = stored(_owners(runs))
+    hits = texts.mapInArrow(_runs(run, gap, marks(owners)), _RUN).join(owners, ["key", "check"]).where("_id != keep_id")
+    hits = stored(hits.select("_id", "first", "key", "nth", "later", "keep_id"))
+    # where shared anchors break off: two that follow one another cover all words between them
+    place = Window.partitionBy("_id").orderBy("first")  # at most a document's anchors
+    breaks = hits.select(
+        "_id", "first", "key",
+        F.when(F.col("nth") > F.coalesce(F.lag("nth").over(place), F.lit(-2)) + 1, F.col("nth") > 0).alias("_left"),
+        F.when(F.coalesce(F.lead("nth").over(place), F.lit(-1)) != F.col("nth") + 1, F.col("later") > 0).alias("_right"),
+    )
+    # a copy may share the last anchor with one document and an earlier one, less than a gap away, with another
+    ends = breaks.select("key", F.max("_left").over(place.rangeBetween(1 - gap, 0)).alias("_left"), F.max("_right").over(place.rangeBetween(0, gap - 1)).alias("_right"))
+    ends = stored(ends.where("_left OR _right"))
+    near = stored(texts.mapInArrow(_runs(run, gap, ends=(marks(ends.where("_left")), marks(ends.where("_right")))), _RUN).select("_id", "first", "key", "check"))
+    more = near.join(_owners(near), ["key", "check"]).where("_id != keep_id")
+    found = hits.select("_id", "first", "keep_id").unionByName(more.select("_id", "first", "keep_id"))
+    return found.select(F.col("_id").alias(id_col), "first", F.lit(run).alias("n"), "keep_id")
+
+
+def _owners(runs: DataFrame) -> DataFrame:
+    """(key, check, keep_id): runs of several documents, with the smallest of these."""
+    return runs.groupBy("key", "check").agg(F.min("_id").alias("keep_id"), F.max("_id").alias("_last")).where("keep_id != _last").drop("_last")
 
 
 def substring_removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, shingle: int = SHINGLE, similarity: float = SIMILARITY, run: int = RUN, gap: int = GAP) -> DataFrame:
