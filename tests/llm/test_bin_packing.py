@@ -109,3 +109,13 @@ def test_packing(documents, corpus, library, capacity):
 
 def test_empty(documents):
     assert b.pack(documents([]), PATH, END_ID).collect() == []
+
+
+def test_added_tokens_are_the_files(documents):
+    plain = Tokenizer.from_file(PATH)
+    encoder = b.Encoder(PATH)
+    texts = ["a<|endoftext|>b", "<|endoftext|>", "x <|endoftext|>\n<|endoftext|> é", "漢字<|endoftext|>", "<|endoftext|" + "y" * b.LONG + "<|endoftext|>", "<|endoftext |>"]
+    for t in texts:
+        assert ids(encoder, t) == plain.encode(t, add_special_tokens=False).ids, t[:40]
+    assert len(ids(encoder, "a<|endoftext|>b")) == 3
+    check(b.pack(documents(list(enumerate(texts))), PATH, END_ID, 1024).collect(), list(enumerate(texts)), plain, 1024)

@@ -44,8 +44,9 @@ def byte_ranks(tokenizer) -> dict[bytes, int]:
 class Encoder:
     """Ids of byte-level BPE texts as little-endian 32-bit bytes.
 
-    The file is read by ``tokenizers``. Its pieces and merges are handed to the faster merging of ``tiktoken`` for texts of
-    plain characters; all others are encoded by ``tokenizers`` itself. The ids are the same.
+    The file is read by ``tokenizers`` and taken as it is: the string of an added token is that token, wherever it stands.
+    Its pieces and merges are handed to the faster merging of ``tiktoken`` for texts of plain characters without such a
+    string; all others are encoded by ``tokenizers`` itself. The ids are the same.
     """
 
     def __init__(self, tokenizer_path: str):
@@ -53,11 +54,11 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.fast = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=byte_ranks(self.tokenizer), special_tokens={}).encode_ordinary
 
     def encode(self, text: str) -> bytes:
-        if len(text) < LONG and PLAIN.fullmatch(text):
+        if len(text) < LONG and PLAIN.fullmatch(text) and not any(x in text for x in self.added):
             return array("I", self.fast(text)).tobytes()
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
