@@ -168,3 +168,17 @@ def test_marks_have_all_keys(spark):
     got = p.marked(found, keys.view(np.uint64))
     assert got[:1000].all() and got[1000:].mean() < 0.02
     assert not p.marked(p.marks(spark.createDataFrame([], "key long")), keys.view(np.uint64)).any()
+
+
+def test_short_lines_are_compared_like_long_ones(documents, corpus):
+    rng = random.Random(12)
+    rows = [(i, t) for i, t in enumerate(corpus[:48])]
+    base = [f"b{i}" for i in range(49)]
+    for k, near in enumerate((base, [*base, "x", "y", "z"], ["u", *base[1:]], base[:30], base[:20], base[:19], base[:5], base[:4])):
+        rows.append((100 + k, " ".join(f"o{k}_{i}" for i in range(rng.randint(5, 60))) + "\n" + " ".join(near)))
+    rows += [(200, "say five words right here\nfour words right here"), (201, "say five words right here\nfour words right here"), (202, rows[51][1])]
+    got = {tuple(r) for r in p.paragraph_removals(documents(rows), min_words=5).collect()}
+    assert got == brute_paragraphs(rows, min_words=5)
+    spans = {r["doc_id"]: [(s["first"], s["n"], s["keep_id"]) for s in r["spans"]] for r in p.substring_removals(documents(rows)).collect()}
+    first = len(words_of(dict(rows)[101])) - 52
+    assert spans[101] == [(first, 52, 100)] and spans[201] == [(0, 5, 200)]  # 49 words against 52; a line of five words

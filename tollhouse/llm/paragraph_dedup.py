@@ -1,6 +1,7 @@
 """Substring dedup: paragraph MinHash banding, exact Jaccard, and removal by components; then exact passages.
 
-Paragraphs are lines of at least ``MIN_WORDS`` words. Equal ones are one node. Nodes whose MinHash values agree in a band
+Paragraphs are lines of at least ``min_words`` words: by themselves ``MIN_WORDS``, in ``substring_removals`` all lines with
+a shingle. Equal ones are one node. Nodes whose MinHash values agree in a band
 meet in a bucket. In each bucket all are compared with its least node; what is left in other components after that is
 compared, in blocks, with the bucket's members of the other components. So no link is lost that banding finds, and yet a
 bucket of very many near-equal paragraphs makes one row for each of them, not one for each pair.
@@ -346,7 +347,7 @@ def _owners(runs: DataFrame) -> DataFrame:
     return runs.groupBy("key", "check").agg(F.min("_id").alias("keep_id"), F.max("_id").alias("_last")).where("keep_id != _last").drop("_last")
 
 
-def substring_removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, shingle: int = SHINGLE, similarity: float = SIMILARITY, run: int = RUN, gap: int = GAP) -> DataFrame:
+def substring_removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = SHINGLE, shingle: int = SHINGLE, similarity: float = SIMILARITY, run: int = RUN, gap: int = GAP) -> DataFrame:
     """(id, spans array<struct<first, n, keep_id>>): for each document that loses words, what it loses, as spans of its
     words that do not touch; keep_id is the smallest document that keeps a passage of the span.
 
