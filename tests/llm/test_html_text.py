@@ -52,3 +52,24 @@ def test_rows(spark):
     got = sorted((tuple(r) for r in extracted(pages).collect()), key=repr)
     assert got == sorted(((i, u, main_text(h or ""), len(main_text(h or ""))) for i, u, h in rows), key=repr)
     assert extracted(pages.limit(0)).collect() == []
+
+
+def test_names_of_the_layout_do_not_hide_the_article():
+    aside = "<div class='sidebar'><p>Side text here.</p></div>"
+    for name in ("content-sidebar-wrap", "page-with-sidebar", "share-page", "ad-free"):
+        assert main_text(f"<body><div class='{name}'><main><p>{LONG}</p><p>{LONG}</p></main>{aside}</div></body>") == f"{LONG} {LONG}"
+        assert main_text(f"<body><div class='{name}'><article><p>{LONG}</p><p>{LONG}</p></article>{aside}</div></body>") == f"{LONG} {LONG}"
+    assert main_text(f"<body><div class='menu'>a b</div><div class='content-sidebar-wrap'><p>{LONG}</p><p>{LONG}</p></div></body>") == f"{LONG} {LONG}"
+
+
+def test_sections_of_an_article_are_told_by_their_text():
+    for name in ("related-work", "market-share"):
+        links = "<div class='related'><a href=x>One more thing to read</a> <a href=y>And another</a></div><div class='share'>Share</div>"
+        page = f"<article><p>{LONG}</p><section id='{name}'><p>{LONG} Own.</p></section><p>{LONG}</p>{links}</article>"
+        assert main_text(page) == f"{LONG} {LONG} Own. {LONG}"
+
+
+def test_comments_and_teasers_stay_out():
+    comments = f"<div id='comments'><p>{LONG * 9}</p></div><div class='related'><article><p>{LONG} Teaser.</p></article></div>"
+    assert main_text(f"<body><article><p>{LONG}</p></article>{comments}</body>") == LONG
+    assert main_text(f"<body><div><p>{LONG}</p><p>{LONG}</p></div><div id='comments'><p>{LONG * 9}</p></div></body>") == f"{LONG} {LONG}"

@@ -3,7 +3,8 @@
 Events of the standard library's streaming parser become blocks ("lines" of the page): text between block-level tags, with
 the number of tags in it and the element it stands in. Each block's ratio of text to tags is smoothed with a Gaussian; a
 threshold clusters blocks into content and other; the content region is the element that holds most of the content's
-text, without what markup names as menus, notices, adverts, forms or comments.
+text, without what markup names as menus, notices, adverts, forms or comments. A class or id only raises a suspicion: an
+element so named stays if it holds the page's article or most of its text, and inside an article what reads as content.
 """
 
 from __future__ import annotations
@@ -58,6 +59,8 @@ class Element:
     parent: Element | None
     dropped: bool
     named: bool = False  # dropped for its name, not its tag
+    out: bool = False  # it or an element above is dropped whatever it holds
+    readers: bool = False  # named as comments or adverts
     text: int = 0  # characters of content below it
     depth: int = 0
     in_link: bool = False
@@ -72,20 +75,22 @@ class Block:
     text: str = ""
 
 
-def _named(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
-    """Whether the element's role, class or id names something that is not the article."""
+def _named(tag: str, attrs: list[tuple[str, str | None]]) -> set[str]:
+    """What in the element's role, class or id names something that is not the article; "hidden" for a role."""
     if tag in ("html", "body", "main"):
-        return False
+        return set()
     names = READERS if tag == "article" else NOT_ARTICLE
     for key, value in attrs:
         if key == "hidden" or key == "role" and (value or "").strip().lower() in ROLES:
-            return True
+            return {"hidden"}
+    found: set[str] = set()
+    for key, value in attrs:
         if key in ("class", "id") and value:
             for name in value.split():
                 words = [w for w in re.split(r"[^a-z0-9]+", re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "-", name).lower()) if w]
-                if words and words[0] not in LAYOUT and not names.isdisjoint(words):
-                    return True
-    return False
+                if words and words[0] not in LAYOUT:
+                    found |= names.intersection(words)
+    return found
 
 
 class _Blocks(HTMLParser):
@@ -123,14 +128,15 @@ class _Blocks(HTMLParser):
                     if self.stack[i].tag in ("ul", "ol", "dl", "menu", "table", "select") or self.stack[i].tag in REGION - {"td"}:
                         break
         above = self.stack[-1]
-        named = _named(tag, attrs)
+        names = _named(tag, attrs)
+        named = bool(names)
         if tag in ("article", "main", "body") and above.dropped and not named:
             # a menu, header or form that was never closed, or that wraps the page, does not hide an article
-            i = next((i for i, e in enumerate(self.stack) if e.dropped), 0)
+            i = next((i for i, e in enumerate(self.stack) if e.out), 0)
             if not self.stack[i].named and self.stack[i].tag in ("nav", "header", "form", "menu", "label", "title"):
                 if self.stack[i].tag == "form":
                     for e in self.stack[i:]:
-                        e.dropped = False
+                        e.dropped = e.out = e.named = False
                 else:
                     del self.stack[i:]
                 above = self.stack[-1]
@@ -139,7 +145,8 @@ class _Blocks(HTMLParser):
         if tag in VOID or len(self.stack) > DEEPEST and not dropped:
             self.block.element = self.stack[-1]
             return
-        self.stack.append(Element(tag, above, above.dropped or dropped, named, depth=above.depth + 1, in_link=above.in_link or tag == "a"))
+        out = above.out or tag in DROPPED or "hidden" in names
+        self.stack.append(Element(tag, above, above.dropped or dropped, named, out, not names.isdisjoint(READERS - {"related"}), depth=above.depth + 1, in_link=above.in_link or tag == "a"))
         if tag in BLOCK or not self.block.parts:
             self.block.element = self.stack[-1]
 
@@ -161,7 +168,7 @@ class _Blocks(HTMLParser):
             self.block.element = self.stack[-1]
 
     def handle_data(self, data):
-        if self.stack[-1].dropped:
+        if self.stack[-1].out:
             return
         self.block.parts.append(data)
         if self.stack[-1].in_link:
@@ -174,15 +181,52 @@ def _smoothed(ratio: np.ndarray) -> np.ndarray:
     return np.convolve(ratio, kernel)[REACH:-REACH] / np.convolve(np.ones(len(ratio)), kernel)[REACH:-REACH]
 
 
-def _content(blocks: list[Block]) -> np.ndarray:
+def _content(blocks: list[Block], alone: bool = False) -> np.ndarray:
     """Which blocks are content: two clusters of smoothed ratios, told apart by their standard deviation, and blocks
-    that are mostly links left out."""
+    that are mostly links left out. With ``alone`` a block's own ratio must reach the threshold as well."""
     ratio = np.array([(len(b.text) - b.links) / (1 + b.tags) for b in blocks], float)
     smooth = _smoothed(np.maximum(ratio, 0))
-    on = smooth >= min(smooth.std(), smooth.max())
+    least = min(smooth.std(), smooth.max())
+    on = (smooth >= least) & ((ratio >= least) | (not alone))
     return on & np.array([2 * b.links <= len(b.text) for b in blocks])
 
 
+def _cleared(blocks: list[Block]) -> list[Block]:
+    """The blocks without those of named elements, but for what a name alone must not hide: the page's main element,
+    its largest article if no other is left, else the elements that hold most of its content; and in an article or
+    main element what is content by its own ratio, if it is not named as comments or adverts."""
+    if not any(b.element.dropped for b in blocks):
+        return blocks
+    on = _content(blocks, alone=True)
+    held: dict[int, list] = {}  # element, its text, its text of content
+    for b, content in zip(blocks, on):
+        for e in _up(b.element):
+            x = held.setdefault(id(e), [e, 0, 0])
+            x[1] += len(b.text)
+            x[2] += len(b.text) * bool(content)
+    total = sum(len(b.text) for b, content in zip(blocks, on) if content)
+    kept: set[int] = set()
+
+    def names(e: Element | None) -> list[Element]:
+        return [x for x in _up(e) if x.named and id(x) not in kept]
+
+    articles = [x for x in held.values() if x[0].tag in ("article", "main") and not x[0].named]
+    for e, _, _ in articles:
+        if e.tag == "main":
+            kept |= {id(x) for x in names(e.parent)}
+    if all(names(e) for e, _, _ in articles):
+        if articles:
+            kept |= {id(x) for x in names(max(articles, key=lambda x: x[1])[0].parent)}
+        else:
+            kept |= {id(e) for e, _, n in held.values() if e.named and 2 * n > total and not any(x.readers for x in _up(e))}
+
+    def stays(b: Block, content: bool) -> bool:
+        suspects = names(b.element)
+        return not suspects or bool(content) and not any(x.readers for x in suspects) and any(e.tag in ("article", "main") for e in _up(suspects[-1].parent))
+
+    return [b for b, content in zip(blocks, on) if stays(b, content)]
+
+
 def main_text(html: str) -> str:
     """The page's article: its blocks in page order, white space runs as one space, joined by one space."""
     parser = _Blocks()
@@ -190,7 +234,7 @@ def main_text(html: str) -> str:
         parser.feed(html[at : at + CHUNK])
     parser.close()
     parser.cut()
-    blocks = [b for b in parser.blocks if not b.element.dropped]
+    blocks = _cleared([b for b in parser.blocks if not b.element.out])
     if not blocks:
         return ""
     on = _content(blocks)
