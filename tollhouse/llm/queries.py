@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollhouse.llm import bin_packing, exact_dedup, hilbert_shards, html_text, nbsvm, oracles, paragraph_dedup, piece_codec, quality_rules, simhash, url_rules
+from tollhouse.llm import bin_packing, exact_dedup, hilbert_shards, html_text, merkle, nbsvm, oracles, paragraph_dedup, piece_codec, quality_rules, simhash, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -80,6 +80,21 @@ def op10_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.select("doc_id", F.inline("spans")).select("doc_id", F.col("first").alias("first_word"), F.col("n").alias("n_words"), F.col("keep_id").alias("keep_doc_id"))
 
 
+#: The columns of a leaf, in order.
+LEAF = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of ``documents`` and what its proofs say of the rows after n_chars of some was raised by one."""
+    docs = table(spark, sf_dir, "documents")
+    hit = (F.crc32(F.col("doc_id").cast("string")) % 7 == 0) & F.col("n_chars").isNotNull()
+    raised = (F.col("n_chars").cast("decimal(20,0)") + 1).cast("string")
+    tampered = F.when(hit, merkle.leaf_hash([raised if c == "n_chars" else F.col(c) for c in LEAF]))
+    rows = merkle.manifest(docs, LEAF, "lang", "doc_id", fanout=2, carry={"tampered": tampered})
+    rows = rows.select("doc_id", "leaf", "subroot", "root", merkle.proof_hash().alias("proof_sha256"), merkle.folded(F.coalesce("tampered", "leaf")).alias("folded_root"))
+    return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
@@ -101,5 +116,6 @@ QUERIES: dict[str, Query] = {
         op8_html_text,
         op9_quality_classifier,
         op10_paragraph_dedup,
+        op13_merkle,
     )
 }
