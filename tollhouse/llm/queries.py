@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tollhouse.llm import bin_packing, exact_dedup, hilbert_shards, html_text, merkle, nbsvm, oracles, paragraph_dedup, piece_codec, quality_rules, simhash, token_links, url_rules
+from tollhouse.llm import bin_packing, exact_dedup, hilbert_shards, html_text, merkle, nbsvm, oracles, paragraph_dedup, piece_codec, pii_bootstrap, quality_rules, simhash, token_links, url_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -80,6 +80,13 @@ def op10_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.select("doc_id", F.inline("spans")).select("doc_id", F.col("first").alias("first_word"), F.col("n").alias("n_words"), F.col("keep_id").alias("keep_doc_id"))
 
 
+def op11_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii_bootstrap.personal_data(table(spark, sf_dir, "documents"))
+    counts = (pii_bootstrap.span_count(F.col("base"), k).alias(f"n_{k}") for k in pii_bootstrap.KINDS)
+    base = F.sha2(pii_bootstrap.spans_text(F.col("base")).cast("binary"), 256)
+    return found.select("doc_id", *counts, base.alias("base_sha256"), pii_bootstrap.spans_text(F.concat("base", "added")).alias("spans"))
+
+
 def op12_token_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_links.token_links(table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
 
@@ -120,6 +127,7 @@ QUERIES: dict[str, Query] = {
         op8_html_text,
         op9_quality_classifier,
         op10_paragraph_dedup,
+        op11_pii,
         op12_token_links,
         op13_merkle,
     )
