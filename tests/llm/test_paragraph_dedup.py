@@ -162,12 +162,119 @@ def test_a_repeated_passage_goes_from_its_first_word_to_its_last(documents):
     assert got == {doc: x for doc, x in want.items() if x}
 
 
-def test_marks_have_all_keys(spark):
-    keys = np.random.default_rng(6).integers(-(1 << 63), 1 << 63, 3000)
-    found = p.marks(spark.createDataFrame([(int(k),) for k in keys[:1000]], "key long"))
-    got = p.marked(found, keys.view(np.uint64))
-    assert got[:1000].all() and got[1000:].mean() < 0.02
-    assert not p.marked(p.marks(spark.createDataFrame([], "key long")), keys.view(np.uint64)).any()
+def test_word_hashes_do_not_depend_on_the_parts():
+    data = ("één\x0btwo  three\r\n\n" * 50 + "x" * 300 + " tail").encode()
+    starts, hashes = p.word_hashes(data)
+    assert [data[a:].split()[0] for a in starts] == data.split()
+    assert len(set(hashes.tolist())) == len(set(data.split()))
+    for part in (1, 7, 100):
+        a, h = p.word_hashes(data, part)
+        assert a.tolist() == starts.tolist() and h.tolist() == hashes.tolist()
+    assert len(p.word_hashes(b"")[0]) == len(p.word_hashes(b" \n")[0]) == 0
+
+
+def test_shared_counts(monkeypatch):
+    rng = np.random.default_rng(9)
+    sets = [np.unique(rng.integers(0, 60, n).astype(np.uint64)) for n in (1, 30, 50, 7, 40, 90)]
+    for columns in (3, 4096):
+        monkeypatch.setattr(p, "COLUMNS", columns)
+        want = [[len(set(a.tolist()) & set(b.tolist())) for b in sets[3:]] for a in sets[:3]]
+        assert p.shared(sets[:3], sets[3:]).tolist() == want
+
+
+def brute_substrings(rows, passage=51):
+    """For each document the owner of each word that goes: of its paragraph, or the smallest of its windows."""
+    texts = {i: words_of(t or "") for i, t in rows if i is not None}
+    owner = {i: {} for i in texts}
+    for doc, first, n, keep in brute_paragraphs(rows, min_words=5):
+        owner[doc].update(dict.fromkeys(range(first, first + n), keep))
+    found = {}
+    for doc, w in texts.items():
+        for k in range(len(w) - passage + 1):
+            if not any(i in owner[doc] for i in range(k, k + passage)):
+                found.setdefault(tuple(w[k : k + passage]), set()).add((doc, k))
+    for places in found.values():
+        keep = min(places)[0]
+        for doc, k in places:
+            for i in range(k, k + passage) if doc != keep else ():
+                owner[doc][i] = min(owner[doc].get(i, keep), keep)
+    return {i: x for i, x in owner.items() if x}
+
+
+def owners_of(frame):
+    got = {}
+    for r in frame.collect():
+        words = [(i, s["keep_id"]) for s in r["spans"] for i in range(s["first"], s["first"] + s["n"])]
+        got[r["doc_id"]] = dict(words)
+        assert len(got[r["doc_id"]]) == len(words)  # spans share no word
+    return got
+
+
+def mosaic(seed, n):
+    """Texts put together from parts of a few long passages, words of their own, and near copies of lines."""
+    rng = random.Random(seed)
+    sources = [[f"s{k}_{i}" for i in range(150)] for k in range(4)]
+    rows = []
+    for doc in range(n):
+        parts = []
+        for _ in range(rng.randint(1, 5)):
+            source, a = rng.choice(sources), rng.randint(0, 110)
+            parts.append(rng.choice([source[a : a + rng.randint(20, 140)], [f"o{doc}_{rng.random()}" for _ in range(rng.randint(1, 40))]]))
+        words = [w for part in parts for w in part]
+        for _ in range(rng.randint(0, 3)):
+            words[rng.randrange(len(words))] = f"e{doc}"
+        rows.append((doc, "".join(w + rng.choice(["\n"] + [" "] * 30) for w in words)))
+    return rows
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_substrings_against_brute_force(documents, corpus, seed):
+    rows = mosaic(seed, 60) + [(100 + i, t) for i, t in enumerate(corpus[:48])] + [(400, None), (None, corpus[3]), (401, "")]
+    want = brute_substrings(rows)
+    assert owners_of(p.substring_removals(documents(rows))) == want and len(want) > 20
+
+
+def test_the_last_copy_of_a_passage_stays(documents):
+    """A paragraph that goes for a similar one must not be what another text's passage goes for."""
+    base, passage = [f"w{i}" for i in range(1000)], [f"p{i}" for i in range(52)]
+    near = [*base[:400], *passage, *base[452:]]
+    other = " ".join([*(f"x{i}" for i in range(80)), *passage, *(f"y{i}" for i in range(80))])
+    out = {r["doc_id"]: r["text"] for r in p.without_repeats(documents([(0, " ".join(base)), (1, " ".join(near)), (2, other)])).collect()}
+    assert out[1] == "" and out[2] == other
+    out = {r["doc_id"]: r["text"] for r in p.without_repeats(documents([(0, " ".join(base)), (1, " ".join(near)), (2, other), (3, other.replace("x", "z"))])).collect()}
+    assert " ".join(passage) in out[2] and "p" not in out[3]
+
+
+def test_each_removed_word_stands_elsewhere(documents):
+    rows = mosaic(7, 50)
+    texts, spans = {i: words_of(t) for i, t in rows}, owners_of(p.substring_removals(documents(rows)))
+    kept = {w for i, ws in texts.items() for k, w in enumerate(ws) if k not in spans.get(i, {})}
+    lines = {(i, f) for i, f, n, _ in brute_paragraphs(rows, min_words=5) for f in range(f, f + n)}  # noqa: B020
+    # words of passages: all are kept somewhere; paragraphs may differ from what stands for them
+    assert all(texts[i][k] in kept for i, x in spans.items() for k in x if (i, k) not in lines)
+
+
+def test_ids_with_several_texts_and_clashing_names(spark, corpus):
+    twice = "one line of words that is long enough\nand some more of it"
+    rows = [(1, twice), (2, twice), (2, "another text with the same id"), (3, twice), (3, twice), (4, corpus[0]), (5, corpus[0]), (None, twice)]
+    docs = spark.createDataFrame([(i, t, i, "a", [1], "b", 2, "c", "d") for i, t in rows], "doc_id long, text string, _id long, _new string, _spans array<int>, `row` string, id long, spans string, _text string")
+    assert {r["doc_id"] for r in p.substring_removals(docs).collect()} == {3, 5}
+    out = p.without_repeats(docs)
+    assert out.columns == docs.columns and sorted((r["doc_id"] or 0, r["text"]) for r in out.collect() if r["doc_id"] in (2, 3, 5)) == [(2, "another text with the same id"), (2, twice), (3, ""), (3, ""), (5, "")]
+    assert all(r["_new"] == "a" and r["_spans"] == [1] and r["row"] == "b" and r["spans"] == "c" and r["_text"] == "d" for r in out.collect())
+
+
+def test_sides_beyond_a_broadcast(documents, corpus, monkeypatch):
+    monkeypatch.setattr(p, "BROADCAST_ROWS", 0)
+    rows = mosaic(3, 20) + [(100 + i, t) for i, t in enumerate(corpus[:48])]
+    assert owners_of(p.substring_removals(documents(rows))) == brute_substrings(rows)
+
+
+def test_sets_of_few_shingles(documents):
+    lines = ["a a a a a", "a a a a a a a a a", "b a a a a a", "a a a a a a a b", "a b a b a b a b a b", "b a b a b a", "c d e f g h i", "c d e f g h i j", "c d e f g h", "x c d e f g h i j"]
+    rows = list(enumerate(lines))
+    got = {tuple(r) for r in p.paragraph_removals(documents(rows), min_words=5).collect()}
+    assert got == brute_paragraphs(rows, min_words=5) and (1, 0, 9, 0) in got
 
 
 def test_short_lines_are_compared_like_long_ones(documents, corpus):
