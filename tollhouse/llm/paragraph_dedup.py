@@ -384,7 +384,7 @@ def _paragraph_spans(known: DataFrame, texts: DataFrame, shingle: int, similarit
     blocks = left.select(*names).unionByName(right.select(*names))
 
     def compare(table: pa.Table) -> pa.Table:
-        """Links between components of one block: one for each two that meet in it."""
+        """Links between components of one block: fewer than there are components in it."""
         table = table.combine_chunks()
         is_left, nodes, above = np.array(table["_left"].to_pylist(), bool), table["node"].to_numpy(), table["root"].to_numpy()
         sets = _arrays(table["shingles"].chunk(0)) if len(table) else []
@@ -397,7 +397,16 @@ def _paragraph_spans(known: DataFrame, texts: DataFrame, shingle: int, similarit
             yes &= above[left][:, None] != above[right][None, :]
             i, j = np.nonzero(yes)
             _, one = np.unique(np.stack((above[left[i]], above[right[j]])), axis=1, return_index=True)
-            out = [(int(nodes[left[i[k]]]), int(nodes[right[j[k]]])) for k in one]
+            top = {r: r for r in above.tolist()}  # a link joins two components: at most one less than there are
+            for a, b in ((left[i[k]], right[j[k]]) for k in one):
+                x, y = int(above[a]), int(above[b])
+                while top[x] != x:
+                    top[x] = x = top[top[x]]
+                while top[y] != y:
+                    top[y] = y = top[top[y]]
+                if x != y:
+                    top[x] = y
+                    out.append((int(nodes[a]), int(nodes[b])))
         return pa.table([pa.array([a for a, _ in out], pa.int64()), pa.array([b for _, b in out], pa.int64())], names=["node", "hub"])
 
     more = stored(blocks.groupBy("bucket", "_i", "_j").applyInArrow(compare, "node long, hub long"))
