@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tollhouse.llm import bin_packing, exact_dedup, paragraph_dedup, quality_rules, simhash
-from tollhouse.llm.common import shared_folder
+from tollhouse.llm.common import removed, shared_folder
 from tollhouse.llm.queries import END_ID, SEQUENCE_TOKENS, tokenizer_path
 
 #: No SQL: fingerprints, banding and packing can't be expressed. tests/llm holds the stages against brute force.
@@ -50,12 +50,15 @@ STAGES = [("quality_rules", quality), ("exact_dedup", exact), ("simhash_dedup",
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what each keeps is written to the shared folder and read again."""
+    """All stages over ``documents``; what each keeps is written to the shared folder and read again, and goes from there
+    once the next stage is written. What the last stage reads stays, as its rows are not computed yet."""
     docs, folder = spark.read.parquet(f"{sf_dir}/documents.parquet"), f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for i, (name, stage) in enumerate(STAGES):
         kept = stage(spark, docs, sf_dir)
         if i == len(STAGES) - 1:
             return kept
         kept.write.parquet(f"{folder}/{i}-{name}")
+        if i:
+            removed(spark, f"{folder}/{i - 1}-{STAGES[i - 1][0]}")
         docs = spark.read.schema(kept.schema).parquet(f"{folder}/{i}-{name}")
     return docs

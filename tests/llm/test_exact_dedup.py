@@ -52,3 +52,9 @@ def test_kept_rows_and_empty_table(documents):
     kept = without_copies(docs)
     assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [2, 4]
     assert exact_dedup(documents([])).collect() == [] and without_copies(documents([])).collect() == []
+
+
+def test_clashing_names_stay_as_they_are(spark):
+    docs = spark.createDataFrame([(1, "a", "k", 7, "r", 3), (2, "a", "l", 8, "s", 4), (None, "b", "m", 9, "t", 5)], "doc_id long, text string, _key string, _copy int, `row` string, id int")
+    out = without_copies(docs)
+    assert out.columns == docs.columns and sorted(tuple(r)[1:] for r in out.collect()) == [("a", "l", 8, "s", 4), ("b", "m", 9, "t", 5)]

@@ -44,3 +44,31 @@ def test_empty_and_written(spark, tmp_path):
     write_shards(docs, str(tmp_path / "out"), 4)
     back = spark.read.parquet(str(tmp_path / "out"))
     assert back.drop("shard").exceptAll(docs).isEmpty() and [r["count"] for r in back.groupBy("shard").count().collect()] == [25] * 4
+
+
+def test_cells_against_brute_force(spark):
+    """Strings by their place among the whole distinct values, all at their quantiles, then the curve."""
+    rows = [(i, "x" * (i * 13 % 101), f"https://common-prefix/{i % 90:03d}", None if i % 9 == 0 else f"s{i % 5}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
+    got = {r["doc_id"]: r["curve"] for r in shards(docs).collect()}
+    cells = []
+    for column in (2, 3, 1):
+        value = [len(r[1]) + 1 if column == 1 else r[column] for r in rows]
+        distinct = sorted(set(value), key=lambda v: (v is not None, v))
+        code = [v if column == 1 else distinct.index(v) for v in value]
+        # the least value that so many rows do not exceed
+        cuts = sorted({sorted(code)[max(-(-k * len(code) // 64) - 1, 0)] for k in range(1, 64)})
+        cells.append([sum(c < x for c in cuts) for x in code])
+    want = hilbert_index(np.array(cells).T, 6)
+    assert [got[i] for i in range(400)] == want.tolist()
+
+
+def test_written_columns_keep_their_names(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"t{i}", "l", "s", i, "x", i) for i in range(20)], "doc_id long, text string, lang string, source string, slot long, shard string, id long")
+    write_shards(docs, str(tmp_path / "out"), 4)
+    assert spark.read.parquet(str(tmp_path / "out")).drop("shard_").exceptAll(docs).isEmpty()
+
+
+def test_very_long_text(spark):
+    docs = spark.createDataFrame([(1, "é" * 2_000_000, "l" * 100_000, "s"), (2, None, "l" * 100_001, None)], "doc_id long, text string, lang string, source string")
+    assert sorted((r["doc_id"], r["size"]) for r in shards(docs, 2).collect()) == [(1, 4_000_001), (2, 1)]

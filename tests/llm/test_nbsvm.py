@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 
 from tollhouse.llm import nbsvm
 from tollhouse.llm.queries import op9_quality_classifier
@@ -29,9 +30,45 @@ def test_dual_descent_reaches_the_primal_optimum():
     x = np.zeros((60, 12))
     for i, p in enumerate(rows):
         x[i, p] = values[p] / math.sqrt(len(p))
-    slack = np.maximum(1 - signs * (x @ w), 0)
-    gradient = w - 2 * nbsvm.COST * (x * (signs * slack)[:, None]).sum(axis=0)
-    assert np.abs(gradient).max() < 2e-2
+
+    def loss(w):
+        return w @ w / 2 + nbsvm.COST * np.maximum(1 - signs * (x @ w), 0).sum()
+
+    best, v = np.inf, np.zeros(12)
+    for t in range(1, 40_001):  # subgradient steps on the primal
+        v -= (v - nbsvm.COST * (x * (signs * (signs * (x @ v) < 1))[:, None]).sum(axis=0)) / t
+        best = min(best, loss(v))
+    assert loss(w) <= best * (1 + 1e-3)
+
+
+def test_scores_against_brute_force(spark, documents, corpus):
+    """Counts, log ratios, the fitted weights and the scores, with dicts over the indicators."""
+    texts = [f"{'good' if i % 2 else 'bad'} word{i % 7} {corpus[i % 40][:60]}" for i in range(80)]
+    labels = [(i, i % 2) for i in range(80) if zlib.crc32(str(i).encode()) % 5]
+    model = nbsvm.trained(documents(list(enumerate(texts))), spark.createDataFrame(labels, "doc_id long, quality int"), "quality")
+    places = {i: set(nbsvm.Features().of(texts[i]).tolist()) for i, _ in labels}
+    order = sorted(labels, key=lambda r: xxhash.xxh64_intdigest(str(r[0])))
+    held = {i for y in (0, 1) for i in [i for i, q in order if q == y][nbsvm.CALIBRATION - 1 :: nbsvm.CALIBRATION]}
+    counts = [dict.fromkeys(range(nbsvm.DIMENSIONS), nbsvm.SMOOTHING) for _ in range(2)]
+    for i, y in labels:
+        for p in places[i] - (places[i] if i in held else set()):
+            counts[y][p] += 1
+    totals = [sum(c.values()) for c in counts]
+    seen = sorted(set().union(*(places[i] for i, _ in labels if i not in held)))
+    ratio = {p: math.log(counts[1][p] / totals[1]) - math.log(counts[0][p] / totals[0]) for p in seen}
+    assert all(model.weights[p] == 0 for p in set(range(5000)) - set(seen))
+    # the weights are of the span of the rows, scaled by the ratios twice
+    scaled = {p: model.weights[p] / ratio[p] for p in seen if abs(ratio[p]) > 1e-9}
+    rows = [{p: ratio[p] / math.sqrt(len(places[i])) for p in places[i]} for i, _ in labels if i not in held]
+    matrix = np.array([[r.get(p, 0.0) for p in scaled] for r in rows])
+    signs = np.array([2 * y - 1 for i, y in labels if i not in held])
+    w = np.array(list(scaled.values()))
+    alpha, *_ = np.linalg.lstsq(matrix.T, w, rcond=None)
+    assert np.abs(matrix.T @ alpha - w).max() < 1e-4 and (alpha * signs > -1e-2).all() and (alpha * signs < nbsvm.COST + 1e-2).all()
+    for r in nbsvm.scored(documents(list(enumerate(texts))), model).collect():
+        p = set(nbsvm.Features().of(texts[r["doc_id"]]).tolist())
+        margin = sum(model.weights[k] for k in p) / math.sqrt(len(p))
+        assert abs(r["score"] - 1 / (1 + math.exp(-(model.slope * margin + model.shift)))) < 1e-6
 
 
 def test_held_out_accuracy(spark):

@@ -1,6 +1,6 @@
 import corpus_pipeline
 from tests.llm.test_bin_packing import check, library  # noqa: F401
-from tests.llm.test_paragraph_dedup import words_of
+from tests.llm.test_paragraph_dedup import brute_substrings, words_of
 from tests.llm.test_quality_rules import brute as quality
 from tests.llm.test_simhash import brute_groups
 
@@ -24,6 +24,9 @@ def test_stages_against_brute_force(spark, library, tmp_path):  # noqa: F811
         largest[t] = max(largest.get(t, i), i)
     assert sorted(after_exact) == sorted((i, t) for t, i in largest.items())
     assert sorted(i for i, _ in after_near) == sorted(i for i, _, c in brute_groups(after_exact, 2) if i == c)
+    gone = brute_substrings(after_near)
+    near = dict(after_near)
+    assert all(words_of(t) == [w for k, w in enumerate(words_of(near[i])) if k not in gone.get(i, {})] for i, t in after_cut if i is not None)
     seen = {}
     for i, t in after_cut:
         w = words_of(t)

@@ -1,7 +1,7 @@
 import random
 import re
 
-from tollhouse.llm.queries import URL_GLOBS, URL_RULES
+from tollhouse.llm.queries import URL_GLOBS, URL_RULES, URL_WORDS
 from tollhouse.llm.url_rules import GlobAutomaton, judged
 
 
@@ -31,12 +31,13 @@ def brute(url):
         host = "".join(c.lower() if "A" <= c <= "Z" else c for c in host)
     fit = [r for r in URL_RULES if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
     best = max(fit, key=lambda r: len(r.name), default=None)
-    blocked = any(glob_regex(g).fullmatch(host + path) for g in URL_GLOBS)
+    blocked = any(glob_regex(g).fullmatch(host + (path or (host and "/"))) for g in URL_GLOBS)
+    assert blocked == bool(re.search("(^|[.-])(" + "|".join(URL_WORDS) + ")([-.:]|$)", host, re.DOTALL)), url
     return host, path, best.name if best else None, best.verdict if best else "block" if blocked else "allow"
 
 
 def test_judged(spark):
-    hosts = ["example.com", "www.example.com", "m.www.example.com", "xexample.com", "com", "a.net", "net", "b.org", "casino-win.org", "WWW.Example.COM", "É.com", "a.com:80", "u@b.com", ""]
+    hosts = ["example.com", "www.example.com", "m.www.example.com", "xexample.com", "com", "a.net", "net", "b.org", "casino-win.org", "casino.org", "my-casino", "a.porn.b:8", "adulteducation.edu", "spam", "xads.org", "WWW.Example.COM", "É.com", "a.com:80", "u@b.com", ""]
     paths = ["", "/", "/en", "/en/", "/en/1?x=/es/", "/es/x", "/fr/", "#top", "?q=://c.com/", "/de/adult/", "/x.com/"]
     urls = [f"{s}{h}{p}" for s in ("http://", "", "a://b://") for h in hosts for p in paths] + [None, "", "x", "http://" + "a" * 5000 + ".com/", "line\n://a.net/es/\nx"]
     pages = spark.createDataFrame([(i, u, "clash", "clash") for i, u in enumerate(urls)] + [(0, urls[0], "", "")], "page_id long, url string, host string, verdict string").repartition(3)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -25,13 +26,22 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in ``spark.checkpoint.dir``; one is made only where none is set, as in tests."""
+    """The folder that the cluster names in ``spark.checkpoint.dir``; one is made only for a local session without one."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not re.match(r"local(\[|$)", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors and the driver share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
     return context.getCheckpointDir()
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that this package has written, on whatever file system it lies."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """The rows of ``df`` written to the shared folder, with the lineage cut there."""
     shared_folder(df.sparkSession)

@@ -228,8 +228,9 @@ def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """The rows of ``docs`` that stay, with their columns as they were."""
     from pyspark.sql import Window
 
-    flags = exact_dedup(docs, id_col, text_col, keep).where("kept").select(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha"))
-    keyed = docs.withColumn("_key", F.sha2(text_or_empty(text_col).cast("binary"), 256))
-    stay = keyed.join(flags, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_sha")), "left_semi")
-    one = Window.partitionBy(F.col(id_col), F.col("_key")).orderBy(F.lit(0))
-    return stay.withColumn("_copy", F.row_number().over(one)).where("_copy = 1").select(*docs.columns)
+    flags = exact_dedup(docs, id_col, text_col, keep).where("kept").select(F.col(id_col).alias("kept_id"), F.col("text_sha256").alias("sha"))
+    # the row as one struct, so that none of its names can clash
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).cast("long").alias("id"), F.sha2(text_or_empty(text_col).cast("binary"), 256).alias("key"))
+    stay = keyed.join(flags, F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("key") == F.col("sha")), "left_semi")
+    one = Window.partitionBy("id", "key").orderBy(F.lit(0))
+    return stay.withColumn("copy", F.row_number().over(one)).where("copy = 1").select("row.*")

@@ -5,15 +5,15 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tollhouse.llm.common import ranked, text_or_empty
+from tollhouse.llm.common import ranked, stored, text_or_empty
 
 #: Grid cells in each dimension: 2 ** GRID_BITS.
 GRID_BITS = 6
-#: Bytes of a string that its place in the order of strings is read from.
-CODE_BYTES = 7
+#: Distinct values of a dimension up to which their cells are broadcast; beyond, they are joined by shuffling.
+BROADCAST_VALUES = 100_000
 
 
 def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -43,14 +43,12 @@ def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
     return out
 
 
-def string_code(value: Column) -> Column:
-    """A number in the order of the strings' first bytes; -1 for null."""
-    first = F.rpad(F.substring(value.cast("string").cast("binary"), 1, CODE_BYTES), CODE_BYTES, F.lit(b"\0"))
-    return F.coalesce(F.conv(F.hex(first), 16, 10).cast("long"), F.lit(-1).cast("long"))
-
-
-def number_code(value: Column) -> Column:
-    return F.coalesce(value.cast("long"), F.lit(-1).cast("long"))
+def with_places(rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` with the string column ``name`` replaced by its place among all distinct values in bytewise order, null first."""
+    values = stored(rows.groupBy(name).agg(F.count(F.lit(1)).alias("_n")).select(name))
+    places = ranked(values, [name], rank="_place").select(F.col(name).alias("_value"), "_place")
+    places = F.broadcast(places) if values.count() <= BROADCAST_VALUES else places
+    return rows.join(places, F.col(name).eqNullSafe(F.col("_value"))).drop("_value", name).withColumnRenamed("_place", name)
 
 
 def curve_place(codes: DataFrame, dims: list[str], bits: int = GRID_BITS) -> DataFrame:
@@ -84,8 +82,10 @@ def shards(docs: DataFrame, n: int = 8, dims: tuple[str, ...] = ("lang", "source
         F.col(id_col).cast("long").alias(id_col),
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text.cast("binary")).cast("long").alias("text_crc32"),
-        *(string_code(F.col(c)).alias(x) for c, x in zip(dims, names)),
+        *(F.col(c).cast("string").alias(x) for c, x in zip(dims, names)),
     )
+    for x in names:
+        codes = with_places(codes, x)
     placed = curve_place(codes, [*names, "size"]).drop(*names)
     rows = ranked(placed, ["curve", "text_crc32", id_col], rank="_rank")
     small, more = divmod(rows.count(), n)  # the first `more` shards hold one row more
@@ -98,7 +98,13 @@ def shards(docs: DataFrame, n: int = 8, dims: tuple[str, ...] = ("lang", "source
 
 def write_shards(docs: DataFrame, path: str, n: int = 8, dims: tuple[str, ...] = ("lang", "source"), id_col: str = "doc_id", text_col: str = "text") -> None:
     """Writes all columns of ``docs`` as Parquet, a folder for each shard, rows in the order of the curve, so that
-    the files' column statistics prune in every dimension. Ids must be unique and not null."""
-    plan = shards(docs, n, dims, id_col, text_col).select(F.col(id_col).alias("_id"), "shard", "slot")
-    rows = docs.drop("shard", "slot").join(plan, F.col(id_col).cast("long") == F.col("_id")).drop("_id")
-    rows.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").drop("slot").write.partitionBy("shard").parquet(path)
+    the files' column statistics prune in every dimension. Ids must be unique and not null. The folders are called ``shard``,
+    or ``shard_`` (with as many marks as it takes) where ``docs`` has a column of that name."""
+    plan = shards(docs, n, dims, id_col, text_col).select(F.col(id_col).alias("id"), "shard", "slot")
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    rows = rows.join(plan, F.col("row").getField(id_col).cast("long") == F.col("id"))
+    folder, taken = "shard", {c.lower() for c in docs.columns}
+    while folder in taken:
+        folder += "_"
+    rows = rows.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
+    rows.select(*(F.col("row").getField(c).alias(c) for c in docs.columns), F.col("shard").alias(folder)).write.partitionBy(folder).parquet(path)

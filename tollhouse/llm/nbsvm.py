@@ -2,7 +2,7 @@
 
 Features are indicators of n-grams over a text's words and over the words' shapes (runs of small letters, capitals, digits
 and single marks, and whether a word or line repeats). Each indicator is scaled by the log ratio of its smoothed counts in
-the two classes, and a linear model with squared hinge loss is fitted to them by dual coordinate descent. A part of the
+the two classes, and a linear model with hinge loss is fitted to them by dual coordinate descent. A part of the
 sample that the fit does not see turns margins into probabilities.
 """
 
@@ -55,7 +55,7 @@ class Features:
         self.cached, self.known = cached, {}
 
     def _hashes(self, word: str) -> tuple[int, int]:
-        found = xxhash.xxh3_64_intdigest(word), xxhash.xxh3_64_intdigest(shape(word[:200]))
+        found = xxhash.xxh3_64_intdigest(word), xxhash.xxh3_64_intdigest(shape(word))
         if len(self.known) < self.cached:
             self.known[word] = found
         return found
@@ -102,17 +102,17 @@ def log_ratios(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
 
 
 def dual_descent(rows: list[np.ndarray], signs: np.ndarray, values: np.ndarray, epochs: int = EPOCHS, cost: float = COST) -> np.ndarray:
-    """Weights of the L2-regularised squared hinge loss, one dual variable at a time in a random order."""
+    """Weights of the L2-regularised hinge loss, one dual variable, from 0 to ``cost``, at a time in a random order."""
     rng, weights, alpha = np.random.default_rng(9), np.zeros(DIMENSIONS), np.zeros(len(rows))
     x = [values[p] / math.sqrt(len(p)) for p in rows]
-    own = np.array([float(v @ v) for v in x]) + 0.5 / cost
+    own = np.maximum([float(v @ v) for v in x], 1e-12)
     for _ in range(epochs):
         most = 0.0
         for i in rng.permutation(len(rows)):
-            gradient = signs[i] * float(weights[rows[i]] @ x[i]) - 1 + alpha[i] * 0.5 / cost
-            if alpha[i] == 0 and gradient >= 0:
+            gradient = signs[i] * float(weights[rows[i]] @ x[i]) - 1
+            if alpha[i] == 0 and gradient >= 0 or alpha[i] == cost and gradient <= 0:
                 continue
-            new = max(alpha[i] - gradient / own[i], 0.0)
+            new = min(max(alpha[i] - gradient / own[i], 0.0), cost)
             weights[rows[i]] += (new - alpha[i]) * signs[i] * x[i]
             alpha[i], most = new, max(most, abs(gradient))
         if most < 1e-3:

@@ -40,7 +40,7 @@ best AS (
   SELECT page_id, arg_max(h || p, length(h || p)) AS rule, arg_max(verdict, length(h || p)) AS verdict
   FROM u JOIN r ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id)
 SELECT page_id, host, path, rule,
-       coalesce(best.verdict, CASE WHEN path LIKE '/%' AND regexp_matches(host, 'adult|casino|cheap-pills|free-bets|spam|ads-track|porn|malware') THEN 'block' ELSE 'allow' END) AS verdict
+       coalesce(best.verdict, CASE WHEN regexp_matches(host, '(^|[.-])(ads|adserver|adult|casino|cheap-pills|free-bets|malware|phishing|porn|spam|tracker|xxx)([-.:]|$)') THEN 'block' ELSE 'allow' END) AS verdict
 FROM u LEFT JOIN best USING (page_id)
 """
 

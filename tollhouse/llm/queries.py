@@ -19,8 +19,10 @@ URL_RULES = (
     url_rules.UrlRule("block", "net", "/es/"),
     url_rules.UrlRule("block", "net", "/fr/"),
 )
-#: Globs over the canonical URL that block where no rule speaks.
-URL_GLOBS = ("*adult*/**", "*casino*/**", "*cheap-pills*/**", "*free-bets*/**", "*spam*/**", "*ads-track*/**", "*porn*/**", "*malware*/**")
+#: Parts of host names that block where no rule speaks: whole labels, or whole between hyphens.
+URL_WORDS = ("ads", "adserver", "adult", "casino", "cheap-pills", "free-bets", "malware", "phishing", "porn", "spam", "tracker", "xxx")
+#: The same as globs over the canonical URL.
+URL_GLOBS = tuple(f"{before}{word}{after}" for word in URL_WORDS for before in ("", "*.", "*-") for after in ("/**", ".*/**", "-*/**", ":*/**"))
 SEQUENCE_TOKENS, END_ID = 1024, 2
 
 

@@ -102,7 +102,8 @@ def judged(pages: DataFrame, rules: Sequence[UrlRule], blocked: Sequence[str] =
     """One row per input row: the id, host, path, rule (the longest that fits; else null), verdict, glob (the first of
     ``blocked`` that fits; else null).
 
-    ``blocked`` are globs over the canonical URL (host and path). The verdict is the rule's; without a rule it is block
+    ``blocked`` are globs over the canonical URL: the host and the path, of which an empty one is read as ``/``; rules are held
+    against the path as it stands. The verdict is the rule's; without a rule it is block
     if a glob fits, else allow. A null URL and one without ``://`` have an empty host and path, so that only a glob of
     stars fits. Of equally long rules the first given wins. Repeated rows stay; other columns are not read.
     """
@@ -110,12 +111,15 @@ def judged(pages: DataFrame, rules: Sequence[UrlRule], blocked: Sequence[str] =
     machine = [g for r in rules for g in r.globs] + list(blocked)
 
     @F.pandas_udf("struct<rule:string, verdict:string, glob:string>")
-    def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def judge(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         automaton = GlobAutomaton(machine)
         ranks = sorted(range(len(rules)), key=lambda i: -len(rules[i].name))
-        for urls in batches:
+        below = np.array([r.path != "" for r in rules], bool)
+        for hosts, paths in batches:
+            empty = (paths == "").to_numpy()
+            urls = hosts + paths.mask(empty & (hosts != "").to_numpy(), "/")
             hit = automaton.matches(urls.tolist())
-            fits = hit[:, : 2 * len(rules)].reshape(len(urls), len(rules), 2).any(axis=2)
+            fits = hit[:, : 2 * len(rules)].reshape(len(urls), len(rules), 2).any(axis=2) & ~(empty[:, None] & below[None, :])
             globs = hit[:, 2 * len(rules) :]
             rule, glob = np.full(len(urls), -1), np.where(globs.any(axis=1), globs.argmax(axis=1), -1) if blocked else np.full(len(urls), -1)
             for i in reversed(ranks):
@@ -130,5 +134,5 @@ def judged(pages: DataFrame, rules: Sequence[UrlRule], blocked: Sequence[str] =
 
     url = F.col(url_col).cast("string")
     parts = pages.select(F.col(id_col).alias(id_col), host_of(url).alias("host"), path_of(url).alias("path"))
-    found = parts.withColumn("_judged", judge(F.concat("host", "path")))
+    found = parts.withColumn("_judged", judge("host", "path"))
     return found.select(id_col, "host", "path", "_judged.rule", "_judged.verdict", "_judged.glob")
