@@ -23,6 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,7 +40,7 @@ BLOCK, COLUMNS = 400, 4096
 #: Rows up to which a side of a join is broadcast; beyond, both sides are shuffled.
 BROADCAST_ROWS = 400_000
 #: Bytes hashed at a time; a single longer text is a batch of its own, hashed in parts that end with a word.
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 18
 
 _M64 = (1 << 64) - 1
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -69,9 +70,9 @@ _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first ``n`` or more powers of an odd number and of its inverse, kept for the next call."""
     if base not in _POWERS or len(_POWERS[base][0]) < n:
-        size = max(n, 1 << 18)
+        size = max(n, 1 << 16)
         up, down = (np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(size - 1, x, np.uint64)))) for x in (base, pow(base, -1, 1 << 64)))
-        if size > 1 << 22:
+        if size > 1 << 20:
             return up, down
         _POWERS[base] = up, down
     up, down = _POWERS[base]
@@ -167,12 +168,12 @@ class Hashed:
 def _batched(batches: Iterator[pa.RecordBatch], column: int = 1) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Rows with their texts as bytes, some at a time."""
     for batch in batches:
-        texts = [x.encode("utf-8", "surrogatepass") for x in batch.column(column).to_pylist()]
-        ends, at = np.cumsum([len(x) + 1 for x in texts]), 0
-        while at < len(texts):
+        texts = batch.column(column).cast(pa.binary())
+        ends, at = np.cumsum(pc.binary_length(texts).to_numpy().astype(np.int64) + 1), 0
+        while at < len(batch):
             before = int(ends[at - 1]) if at else 0
             n = max(1, int(np.searchsorted(ends, before + BATCH_BYTES, "right")) - at)
-            yield batch.slice(at, n), texts[at : at + n]
+            yield batch.slice(at, n), texts.slice(at, n).to_pylist()
             at += n
 
 
