@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tollhouse.llm.common import partitions, text_or_empty
+from tollhouse.llm.common import handing_back, partitions, text_or_empty
 
 #: Bytes that a trie may hold before it spills or, in the first pass, is handed on.
 TRIE_BYTES = 96 << 20
@@ -188,9 +188,9 @@ def text_owners(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     ids = F.col(id_col).cast("long")
     rows = docs.select(text_or_empty(text_col).cast("binary").alias("_bytes"), F.coalesce(ids, F.lit(_NO_LOW)).alias("_low"), F.coalesce(ids, F.lit(_NO_HIGH)).alias("_high"), F.lit(1).cast("long").alias("_n"))
-    parts = rows.mapInArrow(_owned(budget, True), _PART_DDL)
+    parts = rows.mapInArrow(handing_back(_owned(budget, True)), _PART_DDL)
     dealt = parts.repartition(partitions(docs.sparkSession), F.length("_bytes"), F.xxhash64("_bytes"))
-    owners = dealt.mapInArrow(_owned(budget, False), _PART_DDL)
+    owners = dealt.mapInArrow(handing_back(_owned(budget, False)), _PART_DDL)
     return owners.select(
         F.col("_bytes").alias("text_bytes"),
         F.when(F.col("_low") != _NO_LOW, F.col("_low")).alias("smallest_id"),

@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tollhouse.llm.common import stored, text_or_empty, written
+from tollhouse.llm.common import handing_back, stored, text_or_empty, written
 from tollhouse.llm.components import components
 
 MIN_WORDS, SHINGLE, SIMILARITY = 50, 5, 0.8
@@ -274,7 +274,7 @@ def facts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_w
     """What both steps read of the texts, as a table. Ids with several different texts are left out."""
     if not shingle <= min_words or not 0 < run <= passage:
         raise ValueError("a paragraph has a shingle, a passage a run")
-    found = written(_texts(docs, id_col, text_col).mapInArrow(_facts(min_words, shingle, similarity, passage, run), _FACTS))
+    found = written(_texts(docs, id_col, text_col).mapInArrow(handing_back(_facts(min_words, shingle, similarity, passage, run)), _FACTS))
     clash = found.groupBy("_id").agg(F.min("tag").alias("_a"), F.max("tag").alias("_z")).where("_a != _z").select("_id")
     clash = stored(clash)
     return found if clash.isEmpty() else found.join(clash, "_id", "left_anti")
@@ -359,7 +359,7 @@ def _paragraph_spans(known: DataFrame, texts: DataFrame, shingle: int, similarit
     wanted = stars.select("node").union(stars.select("hub")).distinct().join(nodes.select("node", "owner"), "node")
     wanted = wanted.groupBy(F.col("owner._id").alias("_id")).agg(F.collect_list(F.struct("owner.first", "owner.n", "node")).alias("_want"))  # at most a document's lines
     found = texts.select("_id", "_text").join(_few(stored(wanted)), "_id").select("_text", "_want")
-    sets = stored(found.mapInArrow(_shingles_of(shingle), "node long, shingles array<long>").dropDuplicates(["node"]))
+    sets = stored(found.mapInArrow(handing_back(_shingles_of(shingle)), "node long, shingles array<long>").dropDuplicates(["node"]))
 
     def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -490,12 +490,12 @@ def _passage_spans(known: DataFrame, texts: DataFrame, gone: DataFrame, passage:
     lost = gone.groupBy("_id").agg(F.collect_list(F.struct("first", "n")).alias("_gone"))  # at most a document's lines
     lost = stored(lost)
     rows = known.where(F.size("a_key") > 0).select("_id", "a_first", "a_key").join(_few(lost), "_id", "left")
-    left = written(rows.mapInArrow(_left_over(run), "_id long, first int, key long"))
+    left = written(rows.mapInArrow(handing_back(_left_over(run)), "_id long, first int, key long"))
     several = stored(_owners(left, "key").select("key"))
     hits = left.join(_few(several), "key").groupBy("_id").agg(F.collect_set("first").alias("_want"))  # at most a document's anchors
     wanted = stored(hits.join(lost, "_id", "left"))
     found = texts.select("_id", "_text").join(_few(wanted), "_id").select("_id", "_text", "_want", "_gone")
-    windows = written(found.mapInArrow(_windows(passage, run), "_id long, first int, key long, `check` int"))
+    windows = written(found.mapInArrow(handing_back(_windows(passage, run)), "_id long, first int, key long, `check` int"))
     owners = stored(_owners(windows, "key", "check"))
     repeated = windows.join(_few(owners), ["key", "check"]).where("_id != keep_id")
     per_doc = repeated.groupBy("_id").agg(F.collect_set(F.struct("first", "keep_id")).alias("_found"))  # at most a document's words
