@@ -303,6 +303,12 @@ CUSTOMER_DIFF = """
     WHERE q.company IS NOT NULL GROUP BY ALL"""
 
 
+LIFETIMES = """
+    SELECT account_id, is_internal_flag, arg_min(year, (year, week)) AS first_year, arg_min(week, (year, week)) AS first_week,
+           arg_max(year, (year, week)) AS last_year, arg_max(week, (year, week)) AS last_week, count(DISTINCT (year, week)) AS weeks
+    FROM weekly_metering GROUP BY account_id, is_internal_flag"""
+
+
 def domain_usage(p):
     return f"SELECT year, week, usage_resource, usage_type, sum(usage_value) AS hours, {KIND} AS instance_type FROM weekly_metering WHERE usage_type LIKE '%{p.instance_token}%' GROUP BY ALL"
 
@@ -564,7 +570,7 @@ DAILY = {
               WHERE request_day <= DATE '{fx.LAST_DAY}' GROUP BY ALL) LEFT JOIN {PLAN.format(2)} USING (usage_type) JOIN payers USING (account_id) WHERE payer_account_id IS NOT NULL""",
     "account_daily_charge": f"SELECT computation_date, account_id, {_dbl('b')} AS billed_amount, company FROM (SELECT computation_date, account_id, sum(billed_amount) AS b FROM daily_charges WHERE {EXT} GROUP BY ALL) LEFT JOIN payers USING (account_id)",
     "payer_family_charges": f"SELECT computation_date, charge_item_desc, account_id, payer_account_id, usage_type, usage_value, offering_id, {_dbl('billed_amount')} AS billed_amount, {_dbl('price_per_unit', 4)} AS price_per_unit, region, is_internal_flag, credit_id FROM daily_charges WHERE computation_date >= {SINCE} AND account_id IN {FAMILY}",
-    "payer_family_usage": f"SELECT request_day, account_id, usage_type, usage_value, usage_resource, operation FROM daily_metering WHERE request_day >= {SINCE} AND account_id IN {FAMILY}",
+    "payer_family_usage": f", family AS MATERIALIZED {FAMILY} SELECT request_day, account_id, usage_type, usage_value, usage_resource, operation FROM daily_metering WHERE request_day >= {SINCE} AND account_id IN (SELECT account_id FROM family)",
     "reprice": f"""SELECT computation_date, account_id, usage_type, usage_value, {_dbl('billed_amount', 4)} AS billed_amount, {_dbl('price', 4)} AS price_unit_custom,
         {_dbl('price * CAST(usage_value AS DECIMAL(18,2))', 4)} AS custom_billed_amount, {_dbl('billed_amount - price * CAST(usage_value AS DECIMAL(18,2))', 4)} AS diff FROM daily_charges LEFT JOIN {PLAN.format(5)} USING (usage_type)""",
     "daily_revenue_check": f"""
@@ -590,8 +596,8 @@ CONFIG = f"""
 DAILY["domain_config"] = CONFIG + " SELECT * FROM config"
 DAILY["ephemeral_trend"] = CONFIG + f" SELECT request_day, coalesce(sum(storage_size), 0) AS storage_size FROM config WHERE storage_type <> 'EBS' AND date_diff('day', request_day, DATE '{fx.LAST_DAY}') % 7 = 0 GROUP BY ALL"
 DAILY["domain_config_cost"] = f"""
-    SELECT account_id, domain, data_node_type, data_node_count, {_dbl('price', 4)} AS price, {_dbl('price * 24 * data_node_count', 4)} AS cost, company, payer_account_id, is_internal_flag
-    FROM domain_configs c JOIN payers USING (account_id) JOIN {PLAN.format(2)} p ON p.usage_type = 'ESInstance:' || data_node_type"""
+    SELECT account_id, domain, data_node_type, data_node_count, {_dbl('price', 4)} AS price, {_dbl('price * 24 * data_node_count', 4)} AS cost, price IS NULL AS unpriced, company, payer_account_id, is_internal_flag
+    FROM domain_configs c JOIN payers USING (account_id) LEFT JOIN {PLAN.format(2)} p ON p.usage_type = 'ESInstance:' || data_node_type"""
 
 # -- suspended and exposed resources ---------------------------------------------------------------
 
@@ -775,6 +781,13 @@ def texts() -> dict[str, str]:
         "region_revenue": REGION_REVENUE,
         "domain_diff": DOMAIN_DIFF,
         "customer_diff": CUSTOMER_DIFF,
+        "presence_joined": "SELECT * FROM new_active_customers",
+        "presence_left": "SELECT * FROM new_inactive_customers",
+        "presence_converted": "SELECT * FROM free_to_pay",
+        "presence_lifetimes": LIFETIMES,
+        "presence_new_domains": new_domains(a),
+        "presence_domain_diff": DOMAIN_DIFF,
+        "presence_customer_diff": CUSTOMER_DIFF,
         "domain_usage": domain_usage(a),
         "new_domains": new_domains(a),
         "new_domain_mix": new_domain_mix(a, fx.WEEKS[2:]),

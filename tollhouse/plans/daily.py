@@ -202,16 +202,17 @@ def ephemeral_trend(t: Tables, last: dt.date, profile: ServiceProfile, n: int =
 
 
 def domain_config_cost(t: Tables, configs: DataFrame, profile: ServiceProfile, plan: int = PUBLIC_PLAN) -> DataFrame:
-    """Configured resources of known accounts with the daily cost of their data nodes."""
+    """Configured resources of known accounts with the daily cost of their data nodes; those of a type without a price stay,
+    without a cost and marked ``unpriced``."""
     priced = (
         configs.withColumn("account_id", account_id(F.col("client_id")))
         .withColumn("usage_type", F.concat(F.lit(profile.instance_token + ":"), "data_node_type"))
         .withColumn("nodes", head(F.col("data_node_count"), "x ").cast("int"))
-        .join(price_plan(t, plan), "usage_type")
+        .join(price_plan(t, plan), "usage_type", "left")
         .join(payer_map(t), "account_id")
     )
     cost = F.col("price") * 24 * F.col("nodes")
     return doubles(priced.withColumn("cost", cost), "price", "cost", scale=4).select(
         "account_id", "domain", "data_node_type", F.col("nodes").alias("data_node_count"), "price", "cost",
-        "company", "payer_account_id", "is_internal_flag",
+        F.col("price").isNull().alias("unpriced"), "company", "payer_account_id", "is_internal_flag",
     )
