@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as entry
 import check
 from tests.conftest import SF_DIR
-from tollhouse.plans import credits, customers, directory, domains, freetier, status
+from tollhouse.plans import credits, customers, directory, domains, freetier, revenue, status
 from tollhouse.sources.fixtures import AS_OF, SERVICE_A, WEEKS
 from tollhouse.sources.tables import parquet_tables
 
@@ -96,6 +96,14 @@ def test_no_sorted_aggregates_over_the_history(partitioned):
         assert "SortAggregate" not in plan_of(report)
 
 
+@pytest.mark.parametrize("report, charges", [(revenue.four_week_revenue, 1), (revenue.top_customers, 3), (revenue.gainers_losers, 3)])
+def test_lists_are_planned_few_times(partitioned, report, charges):
+    """The list, its cuts, and the count of all payers between them."""
+    plan = plan_of(report(partitioned, [(1996, 6)], SERVICE_A))
+    scans = [line for line in plan.split("\n") if "FileScan" in line and "billed_amount" in line]
+    assert len(scans) == charges
+
+
 @pytest.mark.parametrize("name", SAMPLE)
 def test_same_as_sql(spark, name):
     result = check.compare(spark, check.oracle(SF_DIR), name, SF_DIR)

@@ -63,3 +63,17 @@ def test_top_and_rest_add_up(spark):
 def test_top_k_cuts_before_the_shuffle(spark):
     plan = ranking.top_k(frame(spark, random_rows(50)), 5, ["week"], [F.desc("value")])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
+
+
+def test_ranks_among_all_rows_in_one_pass(spark):
+    rows = [(w, a, v, v if v is None else -v) for w, a, v in random_rows(400, hot=Decimal("0.00"))] + [(w, f"n{i}", None, None) for w in (1, 2) for i in range(3)]
+    df = spark.createDataFrame(rows, "week int, account string, value decimal(20,2), other decimal(20,2)").repartition(4)
+    few = df.where("abs(hash(account)) % 5 = 0 OR value IS NULL").limit(150)
+    got = ranking.ranks_among(few, df, {"value": "r", "other": "s"}, ["week"]).collect()
+    up, down = ranks_by_hand([(w, a, v) for w, a, v, _ in rows]), ranks_by_hand([(w, a, o) for w, a, _, o in rows])
+    nulls = {w: [v for x, _, v, _ in rows if x == w and v is None] for w in (1, 2, 3)}
+    size = {w: sum(x == w for x, *_ in rows) for w in (1, 2, 3)}
+    assert len(got) == 150 or len(got) == few.count()
+    for g in got:
+        last = size[g.week] - (len(nulls[g.week]) - 1) / 2
+        assert (g.r, g.s) == ((last, last) if g.value is None else (up[g.week, g.value], down[g.week, g.other]))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -73,6 +73,36 @@ def rank_of(few: DataFrame, ranks: DataFrame, value: str, by: Sequence[str], nam
     return joined.select(*[F.col(f"f.{c}") for c in few.columns], F.col("_rank").alias(name))
 
 
+def ranks_among(few: DataFrame, df: DataFrame, values: Mapping[str, str], by: Sequence[str]) -> DataFrame:
+    """Adds to a bounded number of rows, such as a top-k list, their mean ranks among all rows of ``df``.
+
+    ``values`` maps columns, of one type, to the names of their ranks. The rows' own values cut each group into a bounded
+    number of intervals; the rows of ``df`` are counted per interval and value, all columns in one pass. Ties share the mean
+    rank, NULL is last; values may have any number of decimals.
+    """
+    by, names = list(by), list(values)
+    cuts = few.groupBy(*by).agg(*(F.sort_array(F.collect_set(v), asc=False).alias(f"_cuts_{v}") for v in names))
+    placed = df.select(*by, *names).join(F.broadcast(cuts), by)
+
+    def place(v: str) -> Column:
+        x, edges = F.col(v), F.col(f"_cuts_{v}")
+        above = F.when(x.isNull(), F.size(edges) + 1).otherwise(F.size(F.filter(edges, lambda e: e > x)))
+        equal = x.isNull() | F.coalesce(F.array_contains(edges, x), F.lit(False))
+        return F.struct(F.lit(v).alias("_of"), above.alias("_above"), equal.alias("_equal"), x.alias("_value"))
+
+    at = placed.select(*by, F.inline(F.array(*map(place, names)))).groupBy(*by, "_of", "_above", "_equal")
+    counts = at.agg(F.count(F.lit(1)).alias("_n"), F.max("_value").alias("_value"))  # at most two for each row of few
+    # the rows between two cuts are above those at the lower one
+    order = Window.partitionBy(*by, "_of").orderBy("_above", "_equal").rowsBetween(Window.unboundedPreceding, -1)
+    rank = F.coalesce(F.sum("_n").over(order), F.lit(0)) + (F.col("_n") + 1) / 2
+    ranks = counts.withColumn("_rank", rank.cast("double")).where("_equal").select(*by, "_of", "_value", "_rank")
+    asked = F.inline(F.array(*(F.struct(F.lit(v).alias("_of"), F.col(v).alias("_value")) for v in names)))
+    a, r = few.select("*", asked).alias("a"), ranks.alias("r")
+    found = a.join(F.broadcast(r), _same("a", "r", [*by, "_of", "_value"])).select("a.*", "_rank")
+    mine = [F.max(F.when(F.col("_of") == v, F.col("_rank"))).alias(n) for v, n in values.items()]
+    return found.groupBy(*few.columns).agg(*mine)
+
+
 def top_k(df: DataFrame, k: int, by: Sequence[str], order: Sequence[Column], position: str = "position") -> DataFrame:
     """The first ``k`` rows of each group; Spark cuts every partition to ``k`` rows before the shuffle."""
     window = Window.partitionBy(*by).orderBy(*order)

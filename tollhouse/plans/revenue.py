@@ -12,7 +12,7 @@ from tollhouse.functions.measures import WEEKS_PER_MONTH, as_double, count_if, d
 from tollhouse.functions.text import matches
 from tollhouse.operators.accounts import to_payer, with_company, without
 from tollhouse.operators.periods import earlier_weeks, in_weeks, one_row_per_week, spread_weeks
-from tollhouse.operators.ranking import rank_of, rank_table, top_k, with_rank
+from tollhouse.operators.ranking import ranks_among, top_k, with_rank
 from tollhouse.plans.credits import credit_totals
 from tollhouse.plans.directory import payer_map
 from tollhouse.plans.extracts import account_charges
@@ -128,14 +128,11 @@ def top_internal(t: Tables, weeks: Sequence[Week]) -> DataFrame:
 
 def reseller_label(t: Tables, profile: ServiceProfile) -> DataFrame:
     """Paying resellers labelled with the first client (by account id) that is not a reseller itself."""
-    payers = payer_map(t)
-    clients = payers.where(
-        F.col("payer_account_id").isNotNull()
-        & F.col("company").isNotNull()
-        & ~matches(F.col("company"), profile.required("reseller_pattern"), ignore_case=True)
-    )
+    payers = payer_map(t).where(F.col("company").isNotNull())
+    is_reseller = matches(F.col("company"), profile.required("reseller_pattern"), ignore_case=True)
+    clients = payers.where(F.col("payer_account_id").isNotNull() & ~is_reseller)
     first = clients.groupBy("payer_account_id").agg(F.min_by("company", "account_id").alias("client"))
-    resellers = payers.where(matches(F.col("company"), profile.required("reseller_pattern"), ignore_case=True))
+    resellers = payers.where(is_reseller)
     return resellers.join(first.withColumnRenamed("payer_account_id", "account_id"), "account_id").select(
         "account_id", "company", "client", F.concat("company", F.lit(" - "), "client").alias("label")
     )
@@ -149,8 +146,9 @@ def _four_weeks(t: Tables, weeks: Sequence[Week], profile: ServiceProfile) -> Da
     weekly = paid.groupBy("year", "week", "account_id").agg(F.sum("billed_amount").alias("billed_amount"))
     spread = spread_weeks(weekly, weeks, offsets).groupBy("year", "week", "account_id")
     four = spread.agg(*[total("billed_amount", F.col("back") == k).alias(f"charge_{k}") for k in offsets])
-    # the payer's own payer, under the payer's company
-    named = to_payer(with_company(four, payers).where(F.col("company").isNotNull()), payers)
+    # the payer's own payer, under the payer's company: both from one look-up
+    own = payers.where(F.col("company").isNotNull()).select("account_id", "company", F.coalesce("payer_account_id", "account_id").alias("payer"))
+    named = four.join(own, "account_id").drop("account_id").withColumnRenamed("payer", "account_id")
     sums = named.groupBy("year", "week", "account_id", "company").agg(*[F.sum(c).alias(c) for c in CHARGES])
     clients = reseller_label(t, profile).select("account_id", "client")
     is_reseller = matches(F.col("company"), profile.required("reseller_pattern"), ignore_case=True) & F.col("client").isNotNull()
@@ -167,12 +165,7 @@ def top_customers(t: Tables, weeks: Sequence[Week], profile: ServiceProfile, k:
     """The largest payers with their rank this week and last; ranks are over all payers."""
     four = _four_weeks(t, weeks, profile)
     top = top_k(four, k, WEEK, [F.desc("charge_0"), F.col("account_id"), F.col("company")])
-    measured = four.unpivot(list(WEEK), ["charge_0", "charge_1"], "measure", "charge")
-    ranks = rank_table(measured, "charge", [*WEEK, "measure"])
-    for back in (0, 1):
-        charge = f"charge_{back}"
-        of_charge = ranks.where(F.col("measure") == charge).withColumnRenamed("charge", charge)
-        top = rank_of(top, of_charge, charge, WEEK, f"rank_{back}")
+    top = ranks_among(top, four, {"charge_0": "rank_0", "charge_1": "rank_1"}, WEEK)
     return doubles(top, *CHARGES).select("year", "week", "position", "rank_0", "rank_1", "account_id", "company", *reversed(CHARGES))
 
 
@@ -180,9 +173,10 @@ def gainers_losers(t: Tables, weeks: Sequence[Week], profile: ServiceProfile, k:
     """The payers whose revenue rose and fell most against the week before."""
     four = _four_weeks(t, weeks, profile).withColumn("diff", F.col("charge_0") - F.col("charge_1"))
     ties = [F.col("account_id"), F.col("company")]
-    gainers = top_k(four, k, WEEK, [F.desc("diff"), *ties]).withColumn("section", F.lit("gainer"))
-    losers = top_k(four, k, WEEK, [F.asc("diff"), *ties]).withColumn("section", F.lit("loser"))
-    both = rank_of(gainers.unionByName(losers), rank_table(four, "diff", WEEK), "diff", WEEK, "rank")
+    # both ends in one pass: a loser's fall is its order
+    sides = F.array(F.struct(F.lit("gainer").alias("section"), (-F.col("diff")).alias("_order")), F.struct(F.lit("loser").alias("section"), F.col("diff").alias("_order")))
+    ends = top_k(four.select("*", F.inline(sides)), k, [*WEEK, "section"], [F.asc("_order"), *ties]).drop("_order")
+    both = ranks_among(ends, four, {"diff": "rank"}, WEEK)
     return doubles(both, "diff", *CHARGES).select(
         "year", "week", "section", "position", "rank", "account_id", "company",
         "charge_1", "charge_0", "diff", "charge_3", "charge_2",
