@@ -137,6 +137,11 @@ def test_many_exposed_resources_have_one_shape_and_no_loss(tables):
     assert len(names) == 1500 and "arn:aws:es:IAD:000000000001:domain/d7" in names
     joined = status.exposed_joined(t, [WEEK], day).collect()
     assert len(joined) == 16 and sorted(n for r in joined for n in r.arns.split("|")) == sorted(names)
+    # values within the bound, whatever the number of names
+    small = status.exposed_joined(t, [WEEK], day, most=500).collect()
+    assert len(small) > 64 and sorted(n for r in small for n in r.arns.split("|")) == sorted(names)
+    longest = max(map(len, names))
+    assert all(len(r.arns) <= 500 + longest for r in small) and len({(r.part, r.piece) for r in small}) == len(small)
     few = t.replace(exposed_domains=t.exposed_domains.limit(2))
     assert sum(len(r.arns.split("|")) for r in status.exposed_joined(few, [WEEK], day).collect()) == 2
 

@@ -1,6 +1,8 @@
+import csv
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from tollhouse.sources.fixtures import SERVICE_A
 from tollhouse.plans import report
@@ -123,6 +125,11 @@ def test_report_run_writes_every_output(spark, star, tmp_path):
     lists = spark.read.csv(f"{tmp_path}/top_customers", header=True)
     assert "company" in lists.columns and lists.count() > 0
     assert list((tmp_path / "top_by_region").glob("year=1996/week=6/region=*/is_internal_flag=*/*.csv"))
+    positions = []
+    for file in sorted((tmp_path / "top_customers").glob("year=1996/week=6/*.csv")):
+        with file.open() as f:
+            positions += [int(r["position"]) for r in csv.DictReader(f)]
+    assert positions == list(range(1, len(positions) + 1)) and len(positions) == lists.count()
     n = lists.count()
     report.report_run(star, [(1996, 6)], SERVICE_A, str(tmp_path))  # again: nothing twice
     assert spark.read.csv(f"{tmp_path}/top_customers", header=True).count() == n
@@ -133,6 +140,24 @@ def test_report_run_writes_every_output(spark, star, tmp_path):
     assert again.count() == metrics.count()  # nothing computed twice
 
 
+def test_ordered_lists_in_many_files(spark, tmp_path):
+    rows = [(1996, w, (i * 37) % 1000, f"a{i}") for w in (5, 6) for i in range(1000)]
+    df = spark.createDataFrame(rows, "year int, week int, position int, account_id string").repartition(7)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sinks.write_ordered_lists(df, str(tmp_path / "out"), [F.desc("position")])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    for w in (5, 6):
+        files = sorted((tmp_path / "out").glob(f"year=1996/week={w}/*.csv"))
+        got = []
+        for file in files:
+            with file.open() as f:
+                got += [int(r["position"]) for r in csv.DictReader(f)]
+        assert len(files) > 1 and got == list(range(999, -1, -1))
+
+
 def test_in_days_uses_a_range_only_when_it_may(spark):
     from tollhouse.operators.periods import in_days
 

@@ -642,7 +642,10 @@ STATUSES = {
     "exposed_stats": f"SELECT count(*) AS exposed, count(CASE WHEN account_status_code = 'Suspended' THEN 1 END) AS suspended, count(CASE WHEN account_status_code = 'Active' AND {EXT} THEN 1 END) AS active_external FROM {EXPOSED}",
     "exposed_unsupported": f"SELECT * FROM {UNSUPPORTED}",
     "exposed_by_account": f"SELECT account_id, arn FROM {UNSUPPORTED} WHERE impacted IS NULL",
-    "exposed_joined": f"SELECT account_id, substr(md5(arn), 1, 1) AS part, string_agg(arn, '|' ORDER BY arn) AS arns FROM {UNSUPPORTED} WHERE impacted IS NULL GROUP BY ALL",
+    "exposed_joined": f"""SELECT account_id, part, CAST(coalesce(so_far, 0) // 65536 AS BIGINT) AS piece, string_agg(arn, '|' ORDER BY arn) AS arns
+        FROM (SELECT account_id, arn, substr(md5(arn), 1, 1) AS part,
+                     sum(strlen(arn) + 1) OVER (PARTITION BY account_id, substr(md5(arn), 1, 1) ORDER BY md5(arn), arn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS so_far
+              FROM {UNSUPPORTED} WHERE impacted IS NULL) GROUP BY ALL""",
 }
 
 # -- free tier and catalogues ----------------------------------------------------------------------

@@ -127,6 +127,17 @@ def lists(t: Tables, weeks: Sequence[Week], profile: ServiceProfile) -> dict[str
     }
 
 
+#: The order of the rows in a list's files; falling where there is a minus.
+ORDER = {
+    "gainer_loser": ("section", "position"),
+    "top_customers": ("position",),
+    "credits": ("kind", "position", "account_id"),
+    "new_customers": ("rank", "account_id"),
+    "dropped_customers": ("rank", "account_id"),
+    "customer_list": ("-billed_amount", "account_id", "is_internal_flag"),
+}
+
+
 def report_manifest(t: Tables, weeks: Sequence[Week], profile: ServiceProfile) -> DataFrame:
     """Rows each output of a run has."""
     outputs = lists(t, weeks, profile) | {
@@ -150,7 +161,8 @@ def report_run(t: Tables, weeks: Sequence[Week], profile: ServiceProfile, path:
     inputs = stored_inputs(t, weeks, f"{path}/inputs")
     written = lists(inputs, weeks, profile)
     for name, df in written.items():
-        sinks.write_week_lists(df, f"{path}/{name}")
+        order = [F.desc_nulls_last(c[1:]) if c[0] == "-" else F.col(c) for c in ORDER[name]]
+        sinks.write_ordered_lists(df, f"{path}/{name}", order)
     sinks.write_by_region(revenue.top_by_region(inputs, weeks, profile), f"{path}/top_by_region")
     sinks.append_history(weekly_metrics(inputs, weeks, profile), f"{path}/weekly_metrics")
     sinks.append_history(customers.compute_adoption(inputs, weeks), f"{path}/compute_adoption")

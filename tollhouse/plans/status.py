@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tollhouse.functions.calendar import Week
@@ -129,9 +129,27 @@ def exposed_by_account(t: Tables, weeks: Sequence[Week], as_of: dt.date) -> Data
     return exposed_unsupported(t, weeks, as_of).where(F.col("impacted").isNull()).select("account_id", "arn")
 
 
-def exposed_joined(t: Tables, weeks: Sequence[Week], as_of: dt.date, digits: int = 1) -> DataFrame:
-    """The same joined by ``|``: for each account 16 rows at most (for each further digit 16 times as many), told apart by
-    the first hexadecimal digits of the names' MD5 (``part``), whatever the number of names."""
-    part = F.substring(F.md5(F.col("arn").cast("binary")), 1, digits)
-    rows = exposed_by_account(t, weeks, as_of).groupBy("account_id", part.alias("part"))
-    return rows.agg(F.array_join(F.array_sort(F.collect_list("arn")), "|").alias("arns"))
+#: Bytes of one value of joined names, about: the last name of a value may go beyond.
+JOINED_BYTES = 1 << 16
+
+
+def exposed_joined(t: Tables, weeks: Sequence[Week], as_of: dt.date, digits: int = 1, most: int = JOINED_BYTES) -> DataFrame:
+    """The same joined by ``|``, in values of bounded size: an account's names are told apart by the first hexadecimal digits of
+    their MD5 (``part``) and, in its order, cut where the bytes so far reach a multiple of ``most`` (``piece``, from 0).
+
+    The bytes before a name are those of the buckets before its own, of which a part has 4,096, and of the names before it in
+    its bucket, so that no group holds more than a small share of a large account.
+    """
+    names = exposed_by_account(t, weeks, as_of).withColumn("_hash", F.md5(F.col("arn").cast("binary")))
+    names = names.withColumns(
+        {"part": F.substring("_hash", 1, digits), "_bucket": F.substring("_hash", digits + 1, 3), "_bytes": (F.octet_length("arn") + 1).cast("long")}
+    )
+    so_far = (Window.unboundedPreceding, -1)
+    part = ["account_id", "part"]
+    buckets = names.groupBy(*part, "_bucket").agg(F.sum("_bytes").alias("_all"))
+    before = F.sum("_all").over(Window.partitionBy(*part).orderBy("_bucket").rowsBetween(*so_far))
+    starts = buckets.select(*part, "_bucket", F.coalesce(before, F.lit(0)).alias("_start"))
+    inside = F.sum("_bytes").over(Window.partitionBy(*part, "_bucket").orderBy("_hash", "arn").rowsBetween(*so_far))
+    placed = names.withColumn("_inside", F.coalesce(inside, F.lit(0))).join(starts, [*part, "_bucket"])
+    pieces = placed.groupBy(*part, F.floor((F.col("_start") + F.col("_inside")) / most).cast("long").alias("piece"))
+    return pieces.agg(F.array_join(F.array_sort(F.collect_list("arn")), "|").alias("arns"))
