@@ -784,6 +784,8 @@ def texts() -> dict[str, str]:
         "region_revenue": REGION_REVENUE,
         "domain_diff": DOMAIN_DIFF,
         "customer_diff": CUSTOMER_DIFF,
+        "account_estimates": """SELECT w.year, w.week, is_internal_flag, count(DISTINCT account_id) AS exact, true AS within
+            FROM week_map w JOIN weekly_metering m ON m.year = w.src_year AND m.week = w.src_week WHERE w.back < 4 GROUP BY ALL""",
         "presence_joined": "SELECT * FROM new_active_customers",
         "presence_left": "SELECT * FROM new_inactive_customers",
         "presence_converted": "SELECT * FROM free_to_pay",
