@@ -7,8 +7,8 @@ import pytest
 import __spark_entry__ as entry
 import check
 from tests.conftest import SF_DIR
-from tollhouse.plans import credits, customers, directory, domains, freetier, revenue, status
-from tollhouse.sources.fixtures import AS_OF, SERVICE_A, WEEKS
+from tollhouse.plans import credits, customers, daily, directory, domains, freetier, revenue, status
+from tollhouse.sources.fixtures import AS_OF, DAYS, SERVICE_A, WEEKS
 from tollhouse.sources.tables import parquet_tables
 
 SAMPLE = ["size_bands", "top_customers", "customer_counts_trial", "credits_legacy", "domain_config", "exposed_by_account", "price_matrix_new"]
@@ -96,6 +96,11 @@ def test_no_sorted_aggregates_over_the_history(partitioned):
         assert "SortAggregate" not in plan_of(report)
 
 
+def test_no_sorted_aggregates_over_the_usage(star):
+    plan = plan_of(daily.domain_config(star, DAYS, SERVICE_A))
+    assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+
+
 @pytest.mark.parametrize("report, charges", [(revenue.four_week_revenue, 1), (revenue.top_customers, 3), (revenue.gainers_losers, 3)])
 def test_lists_are_planned_few_times(partitioned, report, charges):
     """The list, its cuts, and the count of all payers between them."""

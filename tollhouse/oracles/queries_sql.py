@@ -116,6 +116,28 @@ def weekly_metering(p: ServiceProfile) -> str:
     return f"SELECT {keys}, sum(usage_value) AS sum_usage_value FROM metering {like} GROUP BY ALL"
 
 
+def weekly_grains(p: ServiceProfile) -> str:
+    """One select per grain, each over the weeks and the one before them."""
+    dimensions = {"usage_type": "VARCHAR", "region": "VARCHAR", "operation": "VARCHAR", "is_credit": "BOOLEAN", "usage_resource": "VARCHAR"}
+    inside = "(year, week) IN (SELECT (src_year, src_week) FROM week_map WHERE back < 2)"
+    charges = f"(SELECT *, credit_id IS NOT NULL AS is_credit FROM weekly_charges WHERE {inside})"
+    metering = f"(SELECT * FROM weekly_metering WHERE {inside} AND usage_type LIKE '%{p.instance_token}%')"
+    amount, usage = f"{_dbl('sum(billed_amount)')} AS billed_amount, CAST(NULL AS DOUBLE) AS usage_value", "CAST(NULL AS DOUBLE) AS billed_amount, sum(usage_value) AS usage_value"
+    selects = []
+    for grain, source, sums, kept in (
+        ("charge_account", charges, amount, ("operation", "is_credit")),
+        ("charge_type", charges, amount, ("usage_type", "operation", "is_credit")),
+        ("charge_region", charges, amount, ("region",)),
+        ("usage_resource", metering, usage, ("usage_resource",)),
+        ("usage_type", metering, usage, ("usage_type",)),
+        ("usage_region", metering, usage, ("region",)),
+    ):
+        columns = ", ".join(d if d in kept else f"CAST(NULL AS {kind}) AS {d}" for d, kind in dimensions.items())
+        keys = ", ".join(("year", "week", "account_id", "is_internal_flag", *kept))
+        selects.append(f"SELECT '{grain}' AS grain, year, week, account_id, is_internal_flag, {columns}, {sums} FROM {source} GROUP BY {keys}")
+    return " UNION ALL ".join(selects)
+
+
 GOALS = "LEFT JOIN goals g USING (year, week)"
 
 ACCOUNT_WEEKS = """
@@ -824,6 +846,7 @@ def texts() -> dict[str, str]:
         "suspended_trend": suspended_trend(a),
         **FREE,
         "weekly_metrics": weekly_metrics(a),
+        "weekly_grains": weekly_grains(a),
         "weekly_metrics_history": weekly_metrics_history(a, fx.WEEKS),
         "report_run": report_manifest(a),
     }
@@ -838,6 +861,7 @@ def texts() -> dict[str, str]:
         "cost_margin_b": cost_margin(b),
         "suspended_domains_b": suspended_domains(b),
         "weekly_metrics_b": weekly_metrics(b),
+        "weekly_grains_b": weekly_grains(b),
         "top_customers_b": TOP_CUSTOMERS,
         "gainers_losers_b": GAINERS,
         "credits_refunds_b": credits_refunds(b.product_code),

@@ -161,13 +161,17 @@ def domain_config(t: Tables, days: Sequence[dt.date], profile: ServiceProfile, p
     # rows without a resource configure nothing; what is left is summed per type before prices are looked up
     rows = daily_metering(t, days).dropna(subset=["account_id", "usage_resource", "usage_type", "usage_value"])
     by_type = rows.groupBy("request_day", "account_id", "usage_resource", "usage_type").agg(usage_total().alias("usage"))
-    priced = by_type.join(price_plan(t, plan).where(F.col("price").isNotNull()), "usage_type", "left")
+    # prices are numbered by price and type: the greatest number needs no sort of the usage, as the greatest pair would
+    dearer = Window.partitionBy("plan_id").orderBy("price_unit", "usage_type")
+    listed = t.price_plan.where((F.col("plan_id") == plan) & F.col("price_unit").isNotNull()).withColumn("number", F.row_number().over(dearer))
+    prices = listed.select("usage_type", "number", F.col("price_unit").alias("price"))
+    priced = by_type.join(prices, "usage_type", "left")
     is_instance = matches(usage, profile.instance_token) & F.col("price").isNotNull()
     is_storage = matches(usage, profile.categories["storage"])
     sums = priced.groupBy("request_day", "account_id", "usage_resource").agg(
         usage_total("usage", is_instance).alias("hours"),
         usage_total("usage", is_storage).alias("stored"),
-        F.max(F.when(is_instance, F.struct("price", "usage_type"))).alias("dearest"),
+        F.max(F.when(is_instance, F.col("number"))).alias("number"),
     )
     charged = daily_charges(t, days).select(F.col("computation_date").alias("request_day"), "account_id", "is_internal_flag").distinct()
     # by now a resource has one row per account that owns it
@@ -176,8 +180,8 @@ def domain_config(t: Tables, days: Sequence[dt.date], profile: ServiceProfile, p
         {"instance_hour": _over("hours", resource), "stored": _over("stored", resource)}
     )
     configured = (
-        owned.where(F.col("dearest").isNotNull())
-        .withColumn("instance_type", rest(F.col("dearest.usage_type"), ":"))
+        owned.join(prices.select("number", "usage_type"), "number")
+        .withColumn("instance_type", rest(F.col("usage_type"), ":"))
         .withColumn("node_count", F.bround(F.col("instance_hour") / 24))
     )
     built_in = _built_in(F.col("instance_type")) * F.col("node_count")

@@ -12,7 +12,7 @@ from tollhouse.functions.calendar import Week
 from tollhouse.functions.text import matches
 from tollhouse.operators.periods import in_weeks
 from tollhouse.profiles import CUSTOMER_OFFERINGS, SUBSCRIPTION_OFFERINGS, ServiceProfile
-from tollhouse.sources import sinks
+from tollhouse.sources import runs
 from tollhouse.sources.tables import Tables
 
 
@@ -28,10 +28,10 @@ def metered_accounts(t: Tables) -> DataFrame:
 
 def store_metered_accounts(t: Tables, weeks: Sequence[Week], path: str) -> Tables:
     """Adds the weeks that ``path`` lacks to its lists of metered accounts, reading the metering of these weeks only, and
-    returns the tables with the whole of the lists."""
+    returns the tables with the whole of the lists. Weeks without metering are known, too, and not read twice."""
     lists = lambda todo: in_weeks(t.weekly_metering, todo).select("year", "week", "account_id").distinct()
-    sinks.read_through(t.spark, path, weeks, lists)
-    return t.replace(metered_accounts=t.spark.read.parquet(path))
+    runs.read_through(t.spark, path, "metered_accounts", weeks, lists)
+    return t.replace(metered_accounts=runs.published(t.spark, path, "metered_accounts"))
 
 
 def customer_directory(t: Tables) -> DataFrame:

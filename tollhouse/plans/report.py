@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from tollhouse.functions import calendar
 from tollhouse.functions.calendar import Week
 from tollhouse.functions.measures import usage_total
-from tollhouse.plans import cost, credits, customers, directory, domains, revenue
+from tollhouse.plans import cost, credits, customers, directory, domains, grains, revenue
 from tollhouse.profiles import ServiceProfile
 from tollhouse.operators.periods import earlier_weeks, in_weeks
-from tollhouse.sources import sinks
+from tollhouse.sources import runs, sinks
 from tollhouse.sources.tables import Tables
 
 KEYS = ["year", "week", "metric"]
@@ -73,25 +73,34 @@ def _positions(df: DataFrame, prefix: str) -> DataFrame:
     return _named(df, name, "billed_amount", "label")
 
 
-def weekly_metrics(t: Tables, weeks: Sequence[Week], profile: ServiceProfile) -> DataFrame:
-    """Every metric of every week as (year, week, metric, value, text)."""
+def weekly_metrics(t: Tables, weeks: Sequence[Week], profile: ServiceProfile, sums: DataFrame | None = None) -> DataFrame:
+    """Every metric of every week as (year, week, metric, value, text).
+
+    With ``sums`` (see ``grains``) neither charges nor metering are read, but the sums at the grain of each metric.
+    """
+
+    def at(charges: str, usage: str | None = None) -> Tables:
+        return t if sums is None else grains.at_grain(t, sums, profile, charges, usage)
+
+    accounts, types = at("charge_account"), at("charge_type", "usage_type")
     if profile.domains_per_account:
-        counts = customers.customer_counts_trial(t, weeks, profile)
+        counts = customers.customer_counts_trial(accounts, weeks, profile)
     else:
-        counts = customers.customer_counts(t, weeks, profile)
+        counts = customers.customer_counts(accounts, weeks, profile)
+    by_region = at("charge_account", "usage_region")
     parts = [
-        _tall(domains.domain_counts(t, weeks, profile)),
+        _tall(domains.domain_counts(at("charge_account", "usage_resource"), weeks, profile)),
         _tall(counts),
-        _tall(revenue.revenue_metrics(t, weeks, profile)),
-        _tall(revenue.size_bands(t, weeks)),
-        _positions(revenue.top_external(t, weeks), "top_external_customer"),
-        _positions(revenue.top_internal(t, weeks), "top_internal_customer"),
-        _named(domains.instance_hours(t, weeks, profile), _suffixed("instance_type", "_hours"), "hours"),
-        _named(domains.instance_revenue(t, weeks, profile), _suffixed("instance_type", "_revenue"), "revenue"),
-        _named(domains.region_customers(t, weeks, profile), _suffixed("region", "_customer_count"), "customer_count"),
-        _named(domains.region_revenue(t, weeks), _suffixed("region", "_revenue"), "revenue"),
-        _tall(customers.compute_adoption(t, weeks)),
-        _tall(cost.cost_margin(t, weeks, profile)),
+        _tall(revenue.revenue_metrics(types, weeks, profile)),
+        _tall(revenue.size_bands(accounts, weeks)),
+        _positions(revenue.top_external(accounts, weeks), "top_external_customer"),
+        _positions(revenue.top_internal(accounts, weeks), "top_internal_customer"),
+        _named(domains.instance_hours(at("charge_account", "usage_type"), weeks, profile), _suffixed("instance_type", "_hours"), "hours"),
+        _named(domains.instance_revenue(types, weeks, profile), _suffixed("instance_type", "_revenue"), "revenue"),
+        _named(domains.region_customers(by_region, weeks, profile), _suffixed("region", "_customer_count"), "customer_count"),
+        _named(domains.region_revenue(at("charge_region"), weeks), _suffixed("region", "_revenue"), "revenue"),
+        _tall(customers.compute_adoption(accounts, weeks)),
+        _tall(cost.cost_margin(accounts, weeks, profile)),
     ]
     return reduce(DataFrame.unionByName, parts)
 
@@ -149,21 +158,72 @@ def report_manifest(t: Tables, weeks: Sequence[Week], profile: ServiceProfile) -
     return reduce(DataFrame.union, counts)
 
 
+def _write_outputs(t: Tables, weeks: Sequence[Week], profile: ServiceProfile, inputs_path: str, write) -> None:
+    """Computes the outputs of a run one after another and hands each to ``write`` as (name, rows, kind)."""
+    inputs = stored_inputs(t, weeks, inputs_path)
+    sums = grains.store_grains(inputs, weeks, profile, f"{inputs_path}/grains")
+    for name, df in lists(inputs, weeks, profile).items():
+        write(name, df, "list")
+    write("top_by_region", revenue.top_by_region(inputs, weeks, profile), "by_region")
+    write("weekly_metrics", weekly_metrics(inputs, weeks, profile, sums), "history")
+    accounts = grains.at_grain(inputs, sums, profile, "charge_account")
+    write("compute_adoption", customers.compute_adoption(accounts, weeks), "history")
+
+
+def _order(name: str) -> list:
+    return [F.desc_nulls_last(c[1:]) if c[0] == "-" else F.col(c) for c in ORDER[name]]
+
+
+#: Outputs of a run.
+OUTPUTS = [*ORDER, "top_by_region", "weekly_metrics", "compute_adoption"]
+
+
 def report_run(t: Tables, weeks: Sequence[Week], profile: ServiceProfile, path: str, as_of: dt.date | None = None) -> list[str]:
     """Write every output of the weeks under ``path``: lists as CSV by week, accounts by region and flag, and the metrics
     and the adoption counts added to their histories.
 
     Running a week again replaces its lists and leaves its history as it is, so a run that was interrupted is simply
-    started again. With ``as_of`` given, weeks more than 500 days away from it are refused.
+    started again. With ``as_of`` given, weeks more than 500 days away from it are refused. ``committed_run`` puts all
+    outputs in force together.
+    """
+    if as_of is not None:
+        calendar.check_near([calendar.tuesday(w) for w in weeks], as_of, 500)
+
+    def write(name: str, df: DataFrame, kind: str) -> None:
+        if kind == "list":
+            sinks.write_ordered_lists(df, f"{path}/{name}", _order(name))
+        elif kind == "by_region":
+            sinks.write_by_region(df, f"{path}/{name}")
+        else:
+            sinks.append_history(df, f"{path}/{name}")
+
+    _write_outputs(t, weeks, profile, f"{path}/inputs", write)
+    return [f"{path}/{name}" for name in OUTPUTS]
+
+
+def committed_run(
+    t: Tables, weeks: Sequence[Week], profile: ServiceProfile, path: str, as_of: dt.date | None = None, again: bool = False
+) -> list[Week]:
+    """The outputs of ``report_run``, put in force together; gives the weeks that were computed.
+
+    Weeks that have all their outputs, be it without rows, are not computed twice, unless ``again`` asks for it. A run that
+    dies leaves what was in force before; ``runs.published(spark, path, name, weeks)`` reads an output.
     """
     if as_of is not None:
         calendar.check_near([calendar.tuesday(w) for w in weeks], as_of, 500)
-    inputs = stored_inputs(t, weeks, f"{path}/inputs")
-    written = lists(inputs, weeks, profile)
-    for name, df in written.items():
-        order = [F.desc_nulls_last(c[1:]) if c[0] == "-" else F.col(c) for c in ORDER[name]]
-        sinks.write_ordered_lists(df, f"{path}/{name}", order)
-    sinks.write_by_region(revenue.top_by_region(inputs, weeks, profile), f"{path}/top_by_region")
-    sinks.append_history(weekly_metrics(inputs, weeks, profile), f"{path}/weekly_metrics")
-    sinks.append_history(customers.compute_adoption(inputs, weeks), f"{path}/compute_adoption")
-    return [f"{path}/{name}" for name in (*written, "top_by_region", "weekly_metrics", "compute_adoption")]
+    todo = sorted(set(weeks)) if again else runs.missing(t.spark, path, OUTPUTS, weeks)
+    if not todo:
+        return []
+    run = runs.Run(t.spark, path, todo)
+
+    def write(name: str, df: DataFrame, kind: str) -> None:
+        if kind == "list":
+            run.stage(name, df, "csv", lambda rows, place: sinks.write_ordered_lists(rows, place, _order(name)))
+        elif kind == "by_region":
+            run.stage(name, df, "csv", sinks.write_by_region)
+        else:
+            run.stage(name, df, "parquet", sinks.write_weeks)
+
+    _write_outputs(t, todo, profile, run.folder("inputs"), write)
+    run.publish()
+    return todo
