@@ -1,3 +1,8 @@
+import math
+
+import numpy as np
+
+from tollhouse.llm import html_text
 from tollhouse.llm.html_text import CHUNK, extracted, main_text
 
 LONG = "This paragraph is long enough to be the text that somebody came to read on this page, and then some more of it."
@@ -73,3 +78,43 @@ def test_comments_and_teasers_stay_out():
     comments = f"<div id='comments'><p>{LONG * 9}</p></div><div class='related'><article><p>{LONG} Teaser.</p></article></div>"
     assert main_text(f"<body><article><p>{LONG}</p></article>{comments}</body>") == LONG
     assert main_text(f"<body><div><p>{LONG}</p><p>{LONG}</p></div><div id='comments'><p>{LONG * 9}</p></div></body>") == f"{LONG} {LONG}"
+
+
+def test_names_and_tags_count_at_any_depth():
+    inner = f"<p>{LONG}</p><div class='ad'>Buy this.</div><b><i hidden>no</i></b><form>Sign up</form><div id='comments'><p>{LONG}</p></div>"
+    for depth in (3, 700, 5_000):
+        assert main_text("<article>" + "<div>" * depth + inner + "</div>" * depth + "<p>end</article>") == f"{LONG} end"
+        assert main_text("<div>" * depth + f"<main><p>{LONG}</p></main><p>outside</p>" + "</div>" * depth) == LONG
+
+
+def blocks_of(page):
+    parser = html_text._Blocks()
+    parser.feed(page)
+    parser.close()
+    parser.cut()
+    return parser.blocks
+
+
+PLAIN = f"<body><div>a <b>b</b> <i>c</i></div><div><a href=x>one</a> <a href=y>two</a></div><div id=content><h2>Top</h2><p>{LONG}</p><p>Be.</p><p>{LONG}</p></div><div><a href=1>p</a><a href=2>q</a></div></body>"
+
+
+def test_ratios_against_plain_loops():
+    for page in (PAGE, PLAIN, f"<p>{LONG}<p>x<p><b>y</b><i>z</i>"):
+        blocks = blocks_of(page)
+        ratio = [max(len(b.text) - b.links, 0) / (1 + b.tags) for b in blocks]
+        smooth = []
+        for i in range(len(ratio)):
+            near = [(math.exp(-0.5 * (i - j) ** 2), ratio[j]) for j in range(len(ratio)) if abs(i - j) <= 2]
+            smooth.append(sum(w * r for w, r in near) / sum(w for w, _ in near))
+        mean = sum(smooth) / len(smooth)
+        least = min(math.sqrt(sum((s - mean) ** 2 for s in smooth) / len(smooth)), max(smooth))
+        want = [s >= least - 1e-9 and 2 * b.links <= len(b.text) for s, b in zip(smooth, blocks)]
+        assert html_text._content(blocks).tolist() == want
+
+
+def test_ratios_decide_without_an_article(monkeypatch):
+    tags = "<div><b>tag</b> <i>word</i></div>" * 30
+    page = f"<body>{tags}<div id=content><h2>Top</h2><p>{LONG}</p><p>Be.</p><p>{LONG}</p></div>{tags}</body>"
+    assert main_text(page) == f"Top {LONG} Be. {LONG}"
+    monkeypatch.setattr(html_text, "_content", lambda blocks, alone=False: np.ones(len(blocks), bool))
+    assert main_text(page).startswith("tag word tag word")

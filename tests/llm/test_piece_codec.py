@@ -69,3 +69,14 @@ def test_rows(spark, documents, corpus, library):
     back = decoded(out.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"]), PATH)
     assert {r["doc_id"]: r["text"] for r in back.collect()} == {i: t or "" for i, t in rows if i is not None}
     assert encoded(documents([]), PATH).collect() == []
+
+
+def test_every_word_goes_through_the_streaming_search(library):
+    model, asked = PieceModel(PATH), []
+    search = model.search
+    model.search = lambda text: asked.append(text) or search(text)
+    text = "The quick brown fox and the quick brown dog"
+    assert model.encode(text).tolist() == library.encode(text)
+    assert "".join(asked) == "▁The▁quick▁brown▁fox▁and▁the▁dog"  # each word once
+    asked.clear()
+    assert model.encode(text).tolist() == library.encode(text) and not asked

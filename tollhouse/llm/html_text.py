@@ -10,7 +10,8 @@ element so named stays if it holds the page's article or most of its text, and i
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
@@ -25,8 +26,6 @@ CHUNK = 1 << 16
 SIGMA, REACH = 1.0, 2
 #: A content region holds at least this share of the text of the blocks over the threshold.
 SHARE = 0.9
-#: Elements open at a time, beyond which only those are opened that are left out; browsers have such a bound as well.
-DEEPEST = 512
 
 # Names of the HTML standard, and names that pages commonly give to what is not their article.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -41,6 +40,8 @@ DROPPED = frozenset(
     "object script search select style svg template textarea title video".split()
 )
 REGION = frozenset("article main section div td body center".split())
+ARTICLE = frozenset("article main".split())
+LISTS = frozenset("ul ol dl menu table select".split())
 NOT_ARTICLE = frozenset(
     "ad ads adbox adsense advert advertisement advertising adverts banner banners promo promotion sponsor sponsored menu menus nav navbar "
     "navigation breadcrumb breadcrumbs sidebar sidebars aside header masthead footer cookie cookies consent gdpr notice notices alert popup "
@@ -53,7 +54,7 @@ ROLES = frozenset("navigation banner contentinfo complementary search alert aler
 LAYOUT = frozenset("has with no without is".split())
 
 
-@dataclass
+@dataclass(eq=False)
 class Element:
     tag: str
     parent: Element | None
@@ -61,7 +62,6 @@ class Element:
     named: bool = False  # dropped for its name, not its tag
     out: bool = False  # it or an element above is dropped whatever it holds
     readers: bool = False  # named as comments or adverts
-    text: int = 0  # characters of content below it
     depth: int = 0
     in_link: bool = False
 
@@ -100,6 +100,9 @@ class _Blocks(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.top = Element("", None, False)
         self.stack = [self.top]
+        #: Where in the stack the open elements of a tag are, and those that an end tag left out is not looked for beyond.
+        self.open: dict[str, list[int]] = {}
+        self.walls: dict[str, list[int]] = {"p": [], "list": [], "article": []}
         self.blocks: list[Block] = []
         self.block = Block(self.top)
 
@@ -110,60 +113,77 @@ class _Blocks(HTMLParser):
                 self.blocks.append(self.block)
         self.block = Block(self.stack[-1])
 
+    @staticmethod
+    def _walls(tag: str) -> Iterator[str]:
+        if tag in REGION or tag in DROPPED:
+            yield "p"
+        if tag in LISTS or tag in REGION and tag != "td":
+            yield "list"
+        if tag in ARTICLE or tag == "body":
+            yield "article"
+
+    def push(self, element: Element) -> None:
+        at = len(self.stack)
+        self.open.setdefault(element.tag, []).append(at)
+        for wall in self._walls(element.tag):
+            self.walls[wall].append(at)
+        self.stack.append(element)
+
+    def drop(self, at: int) -> None:
+        """Closes the elements from this place of the stack on; each is closed once, however deep a page is."""
+        while len(self.stack) > at:
+            tag = self.stack.pop().tag
+            self.open[tag].pop()
+            for wall in self._walls(tag):
+                self.walls[wall].pop()
+
+    def close_tag(self, tag: str, wall: str | None) -> None:
+        """Closes the innermost open element of the tag, unless a wall stands within it."""
+        places = self.open.get(tag)
+        if places and (wall is None or not self.walls[wall] or self.walls[wall][-1] <= places[-1]):
+            self.drop(places[-1])
+
     def handle_starttag(self, tag, attrs):
         if tag in BLOCK:
             self.cut()
             if tag in ENDS_P:
-                for i in range(len(self.stack) - 1, 0, -1):
-                    if self.stack[i].tag == "p":
-                        del self.stack[i:]
-                        break
-                    if self.stack[i].tag in REGION or self.stack[i].tag in DROPPED:
-                        break
+                self.close_tag("p", "p")
             elif tag in ("li", "dt", "dd", "tr", "td", "th", "option"):
-                for i in range(len(self.stack) - 1, 0, -1):
-                    if self.stack[i].tag == tag:
-                        del self.stack[i:]
-                        break
-                    if self.stack[i].tag in ("ul", "ol", "dl", "menu", "table", "select") or self.stack[i].tag in REGION - {"td"}:
-                        break
+                self.close_tag(tag, "list")
         above = self.stack[-1]
         names = _named(tag, attrs)
         named = bool(names)
         if tag in ("article", "main", "body") and above.dropped and not named:
             # a menu, header or form that was never closed, or that wraps the page, does not hide an article
-            i = next((i for i, e in enumerate(self.stack) if e.out), 0)
+            # what stands below an element that is out is out as well
+            i = bisect_left(self.stack, True, key=lambda e: e.out) % len(self.stack)
             if not self.stack[i].named and self.stack[i].tag in ("nav", "header", "form", "menu", "label", "title"):
                 if self.stack[i].tag == "form":
                     for e in self.stack[i:]:
                         e.dropped = e.out = e.named = False
                 else:
-                    del self.stack[i:]
+                    self.drop(i)
                 above = self.stack[-1]
         self.block.tags += 1
         dropped = named or tag in DROPPED
-        if tag in VOID or len(self.stack) > DEEPEST and not dropped:
+        if tag in VOID:
             self.block.element = self.stack[-1]
             return
         out = above.out or tag in DROPPED or "hidden" in names
-        self.stack.append(Element(tag, above, above.dropped or dropped, named, out, not names.isdisjoint(READERS - {"related"}), depth=above.depth + 1, in_link=above.in_link or tag == "a"))
+        self.push(Element(tag, above, above.dropped or dropped, named, out, not names.isdisjoint(READERS - {"related"}), depth=above.depth + 1, in_link=above.in_link or tag == "a"))
         if tag in BLOCK or not self.block.parts:
             self.block.element = self.stack[-1]
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in VOID and self.stack[-1].tag == tag and tag not in BLOCK and tag not in DROPPED:
-            self.stack.pop()
+            self.drop(len(self.stack) - 1)
 
     def handle_endtag(self, tag):
         if tag in BLOCK:
             self.cut()
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i].tag == tag:
-                del self.stack[i:]
-                break
-            if self.stack[i].tag in ("article", "main", "body") and tag not in ("article", "main", "body", "html"):
-                break  # a stray end tag closes nothing outside the article
+        # a stray end tag closes nothing outside the article
+        self.close_tag(tag, None if tag in ("article", "main", "body", "html") else "article")
         if tag in BLOCK:
             self.block.element = self.stack[-1]
 
@@ -191,6 +211,42 @@ def _content(blocks: list[Block], alone: bool = False) -> np.ndarray:
     return on & np.array([2 * b.links <= len(b.text) for b in blocks])
 
 
+def _elements(blocks: list[Block]) -> tuple[list[Element], list[Element]]:
+    """The elements that blocks stand in, each once: as met from the blocks upwards, and every one after those around it."""
+    seen: set[Element] = set()
+    met: list[Element] = []
+    outer_first: list[Element] = []
+    for b in blocks:
+        chain, e = [], b.element
+        while e is not None and e not in seen:
+            seen.add(e)
+            chain.append(e)
+            e = e.parent
+        met += chain
+        outer_first += reversed(chain)
+    return met, outer_first
+
+
+def _below(blocks: list[Block], sizes: Iterable[int], outer_first: list[Element]) -> dict[Element, int]:
+    """For each element the sizes of the blocks in it and in the elements below it."""
+    held = dict.fromkeys(outer_first, 0)
+    for b, n in zip(blocks, sizes):
+        held[b.element] += n
+    for e in reversed(outer_first):
+        if e.parent is not None:
+            held[e.parent] += held[e]
+    return held
+
+
+def _within(outer_first: list[Element], mark: Callable[[Element], bool]) -> set[Element]:
+    """The elements that are marked or stand in one that is."""
+    found: set[Element] = set()
+    for e in outer_first:
+        if e.parent in found or mark(e):
+            found.add(e)
+    return found
+
+
 def _cleared(blocks: list[Block]) -> list[Block]:
     """The blocks without those of named elements, but for what a name alone must not hide: the page's main element,
     its largest article if no other is left, else the elements that hold most of its content; and in an article or
@@ -198,33 +254,30 @@ def _cleared(blocks: list[Block]) -> list[Block]:
     if not any(b.element.dropped for b in blocks):
         return blocks
     on = _content(blocks, alone=True)
-    held: dict[int, list] = {}  # element, its text, its text of content
-    for b, content in zip(blocks, on):
-        for e in _up(b.element):
-            x = held.setdefault(id(e), [e, 0, 0])
-            x[1] += len(b.text)
-            x[2] += len(b.text) * bool(content)
-    total = sum(len(b.text) for b, content in zip(blocks, on) if content)
-    kept: set[int] = set()
-
-    def names(e: Element | None) -> list[Element]:
-        return [x for x in _up(e) if x.named and id(x) not in kept]
-
-    articles = [x for x in held.values() if x[0].tag in ("article", "main") and not x[0].named]
-    for e, _, _ in articles:
-        if e.tag == "main":
-            kept |= {id(x) for x in names(e.parent)}
-    if all(names(e) for e, _, _ in articles):
+    met, outer_first = _elements(blocks)
+    text = _below(blocks, (len(b.text) for b in blocks), outer_first)
+    content = _below(blocks, (len(b.text) * bool(c) for b, c in zip(blocks, on)), outer_first)
+    total = sum(len(b.text) for b, c in zip(blocks, on) if c)
+    articles = [e for e in met if e.tag in ARTICLE and not e.named]
+    # what is around a main element
+    around: set[Element] = set()
+    for e in reversed(outer_first):
+        if e.parent is not None and (e in around or e.tag == "main" and not e.named):
+            around.add(e.parent)
+    kept = {e for e in around if e.named}
+    suspected = _within(outer_first, lambda e: e.named and e not in kept)
+    if all(e in suspected for e in articles):
         if articles:
-            kept |= {id(x) for x in names(max(articles, key=lambda x: x[1])[0].parent)}
+            kept |= {e for e in _up(max(articles, key=text.__getitem__).parent) if e.named}
         else:
-            kept |= {id(e) for e, _, n in held.values() if e.named and 2 * n > total and not any(x.readers for x in _up(e))}
-
-    def stays(b: Block, content: bool) -> bool:
-        suspects = names(b.element)
-        return not suspects or bool(content) and not any(x.readers for x in suspects) and any(e.tag in ("article", "main") for e in _up(suspects[-1].parent))
-
-    return [b for b, content in zip(blocks, on) if stays(b, content)]
+            readers = _within(outer_first, lambda e: e.readers)
+            kept |= {e for e in met if e.named and 2 * content[e] > total and e not in readers}
+        suspected = _within(outer_first, lambda e: e.named and e not in kept)
+    by_readers = _within(outer_first, lambda e: e.readers and e.named and e not in kept)
+    in_article = _within(outer_first, lambda e: e.tag in ARTICLE)
+    # suspected elements, the outermost of which stands in an article
+    excused = _within(outer_first, lambda e: e in suspected and e.parent not in suspected and e.parent in in_article)
+    return [b for b, c in zip(blocks, on) if b.element not in suspected or c and b.element in excused and b.element not in by_readers]
 
 
 def main_text(html: str) -> str:
@@ -240,25 +293,21 @@ def main_text(html: str) -> str:
     on = _content(blocks)
     if not on.any():
         on[:] = True
-    total = 0
-    for b, content in zip(blocks, on):
-        if content:
-            total += len(b.text)
-            e = b.element
-            while e is not None:
-                e.text += len(b.text)
-                e = e.parent
+    met, outer_first = _elements(blocks)
+    sizes = [len(b.text) * bool(c) for b, c in zip(blocks, on)]
+    held, total = _below(blocks, sizes, outer_first), sum(sizes)
     # the region: an article or main element, else the innermost element, that holds most of the content
-    chains = {id(e): e for b, c in zip(blocks, on) if c for e in _up(b.element) if e.tag in REGION and e.text >= SHARE * total}
-    marked = [e for e in chains.values() if e.tag in ("article", "main")]
-    region = max(marked or chains.values(), key=lambda e: e.depth, default=parser.top)
+    most = [e for e in met if e.tag in REGION and held[e] >= SHARE * total]
+    marked = [e for e in most if e.tag in ARTICLE]
+    region = max(marked or most, key=lambda e: e.depth, default=parser.top)
     if not marked:
         # several articles of one page: all that are not inside one another
-        several = {id(e): e for b in blocks for e in _up(b.element) if e.tag in ("article", "main")}
-        if several and sum(e.text for e in several.values() if not any(x.tag in ("article", "main") for x in _up(e.parent))) >= SHARE * total:
-            return " ".join(b.text for b in blocks if any(id(e) in several for e in _up(b.element)))
-    inside = [i for i, b in enumerate(blocks) if any(e is region for e in _up(b.element))]
-    if region.tag not in ("article", "main"):
+        several = _within(outer_first, lambda e: e.tag in ARTICLE)
+        if several and sum(held[e] for e in several if e.parent not in several) >= SHARE * total:
+            return " ".join(b.text for b in blocks if b.element in several)
+    inner = _within(outer_first, lambda e: e is region)
+    inside = [i for i, b in enumerate(blocks) if b.element in inner]
+    if region.tag not in ARTICLE:
         # without an article's own element: from the first block of content to the last, without lists of links
         core = [i for i in inside if on[i]]
         inside = [i for i in inside if core and core[0] <= i <= core[-1] and (on[i] or 2 * blocks[i].links <= len(blocks[i].text))]

@@ -157,28 +157,6 @@ class PieceModel:
         if n > base:
             yield self._way(begins, pieces, base, n)
 
-    def _short(self, word: str) -> list[int]:
-        """The same search for merging in a word that fits the window. From each place, pieces lead to places; a place
-        keeps the first that fits, which is the only one."""
-        tree, pairs, longest, size, n = self.tree, self.pairs, self.longest, self.size, len(word)
-        begins, pieces = [-1] * (n + 1), [-1] * (n + 1)
-        for start in range(n):
-            node, end, before = tree, start, pieces[start]
-            for c in word[start : start + longest]:
-                node, end = node.get(c), end + 1
-                if node is None:
-                    break
-                i = node.get("")
-                if i is not None and begins[end] < 0:
-                    fits = before == -1 or pairs.get(before << 22 | i)
-                    if fits is None:
-                        fits = self.joins(before, i)
-                    if fits:
-                        begins[end], pieces[end] = start, i
-            if begins[start + 1] < 0:  # a character that is no piece
-                begins[start + 1], pieces[start + 1] = start, size + ord(word[start])
-        return self._way(begins, pieces, 0, n)
-
     def _word(self, word: str) -> bytes:
         """The ids of a word that is not remembered: of its parts, cut where no piece reaches over."""
         if len(word) > 4 * self.longest or self.kind != "bpe":
@@ -190,7 +168,7 @@ class PieceModel:
             part = word[a:b]
             ids = known.get(part)
             if ids is None:
-                ids = array("i", self.ids_of([self._short(part)])).tobytes()
+                ids = array("i", self.ids_of(self.search(part))).tobytes()
                 if len(known) < self.cached:
                     known[part] = ids
             out.append(ids)
