@@ -1,6 +1,7 @@
 import random
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from tollhouse.operators import ranking
@@ -77,3 +78,61 @@ def test_ranks_among_all_rows_in_one_pass(spark):
     for g in got:
         last = size[g.week] - (len(nulls[g.week]) - 1) / 2
         assert (g.r, g.s) == ((last, last) if g.value is None else (up[g.week, g.value], down[g.week, g.other]))
+
+
+@pytest.fixture
+def many_ranges(spark):
+    """Small ranges stay ranges of their own."""
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    yield
+    spark.conf.set(key, before)
+
+
+def ranges_of(spark, path, week, value):
+    """Ranges in which rows of a value were written."""
+    rows = spark.read.parquet(path).where((F.col("week") == week) & F.col("value").eqNullSafe(F.lit(value)))
+    return {r._at >> 33 for r in rows.collect()}
+
+
+def test_ranks_by_ranges_against_brute_force(spark, tmp_path, many_ranges):
+    hot = Decimal("0.00")
+    rows = random_rows(2000, hot=hot)
+    path, want = str(tmp_path / "ranges"), ranks_by_hand(rows)
+    got = ranking.with_rank_by_ranges(frame(spark, rows).repartition(3), "value", ["week"], "rank", path).collect()
+    assert sorted((r.week, r.account) for r in got) == sorted((w, a) for w, a, _ in rows)
+    assert all(r.rank == want[r.week, r.value] for r in got)
+    # one value is shared by rows on both sides of a border, in at least one week
+    assert max(len(ranges_of(spark, path, w, hot)) for w in (1, 2, 3)) > 1
+
+
+def test_ranks_by_ranges_of_any_number(spark, tmp_path, many_ranges):
+    # decimals beyond two places, differences below those of doubles, and repeated rows
+    rng = random.Random(5)
+    close = [Decimal(10) ** 15 + Decimal(i) / 10**12 for i in range(40)]
+    rows = [(rng.randint(1, 2), f"a{i % 90}", rng.choice([*close, None])) for i in range(300)]
+    df, want = spark.createDataFrame(rows, "week int, account string, value decimal(38,12)"), ranks_by_hand(rows)
+    got = ranking.with_rank_by_ranges(df, "value", ["week"], "rank", str(tmp_path / "d")).collect()
+    nulls = {w: sum(x == w and v is None for x, _, v in rows) for w in (1, 2)}
+    size = {w: sum(x == w for x, *_ in rows) for w in (1, 2)}
+    assert len(got) == len(rows)
+    assert all(r.rank == (size[r.week] - (nulls[r.week] - 1) / 2 if r.value is None else want[r.week, r.value]) for r in got)
+    doubles = [(1, "a", 1e-9), (1, "b", 2e-9), (1, "c", float("-inf")), (1, "d", 1e300), (1, "e", 2e-9), (None, "f", 1.0), (None, "g", 2.0)]
+    df = spark.createDataFrame(doubles, "week int, account string, value double")
+    got = ranking.with_rank_by_ranges(df, "value", ["week"], "rank", str(tmp_path / "f")).collect()
+    assert {r.account: r.rank for r in got} == {"a": 4.0, "b": 2.5, "c": 5.0, "d": 1.0, "e": 2.5, "f": 2.0, "g": 1.0}
+
+
+def test_ranks_by_ranges_of_no_rows(spark, tmp_path):
+    assert ranking.with_rank_by_ranges(frame(spark, []), "value", ["week"], "rank", str(tmp_path / "r")).collect() == []
+
+
+def test_ranks_by_ranges_plan_the_input_once(spark, tmp_path):
+    source, path = str(tmp_path / "source"), str(tmp_path / "ranges")
+    frame(spark, random_rows(50)).write.parquet(source)
+    ranked = ranking.with_rank_by_ranges(spark.read.parquet(source), "value", ["week"], "rank", path)
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert source not in plan and path in plan
+    # each window sees the ranges of one group, not its rows
+    assert plan.count("Window [") == 1 and "SinglePartition" not in plan

@@ -1,6 +1,7 @@
 """Reports over a handful of literal rows: the cases the generated data does not contain."""
 
 import datetime as dt
+from dataclasses import replace
 from decimal import Decimal as D
 
 import pytest
@@ -126,6 +127,28 @@ def test_suspension_dates(tables):
     }
 
 
+def test_greatest_of_several_current_statuses(tables):
+    """Ties go to the greatest text; NULL is none, and an account without any status is left out."""
+    day = dt.date(1996, 1, 1)
+    t = tables(account_history=[
+        record(1, "Suspended", day, None, "Y"), record(1, "Active", day, None, "Y"), record(1, "Zombie", day),
+        record(2, None, day, None, "Y"), record(2, "Closed", day, None, "Y"), record(2, "", day, None, "Y"),
+        record(3, None, day, None, "Y"), record(4, "Active", day, None, "N"),
+    ])
+    assert {int(r.account_id): r.account_status_code for r in status.account_status(t, day).collect()} == {1: "Suspended", 2: "Closed"}
+    assert status.account_status(tables(), day).collect() == []
+
+
+def test_first_client_of_a_reseller(tables):
+    profile = replace(SERVICE_A, reseller_pattern="reseller")
+    of = {1: (None, "Big Reseller"), 2: (1, None), 3: (1, "Third"), 4: (1, "Other reseller"), 5: (1, "Fifth"), 6: (4, "Sixth"), 7: (8, "Seventh"), 8: (None, "Plain"), 9: (None, "Lone reseller")}
+    directory_rows = [dict(account_id=acct(n), payer_account_id=p and acct(p), company=c, is_internal_flag="N") for n, (p, c) in of.items()]
+    t = tables()
+    stored = t.spark.createDataFrame([tuple(r.values()) for r in directory_rows], "account_id string, payer_account_id string, company string, is_internal_flag string")
+    got = sorted((int(r.account_id), r.label) for r in revenue.reseller_label(t.replace(payer_map=stored), profile).collect())
+    assert got == [(1, "Big Reseller - Third"), (4, "Other reseller - Sixth")]
+
+
 def test_many_exposed_resources_have_one_shape_and_no_loss(tables):
     day = dt.date(1996, 1, 1)
     t = tables(

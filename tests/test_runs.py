@@ -85,6 +85,10 @@ def test_a_killed_report_run_leaves_the_old_one(spark, star, tmp_path, monkeypat
     assert before["top_customers"] and before["weekly_metrics"] and before["top_by_region"]
     plain = report.revenue.top_customers(star, [W6], SERVICE_A)
     assert runs.published(spark, path, "top_customers", [W6]).count() == plain.count()
+    # lists ranked by ranges are those that ranks without a write give
+    for name, df in (("new_customers", report.revenue.new_customers(star, [W6], SERVICE_A)), ("dropped_customers", report.revenue.dropped_customers(star, [W6]))):
+        listed = ["account_id", "rank"]
+        assert rows(runs.published(spark, path, name, [W6]).select(listed)) == rows(df.select(listed))
     # the week without any data has been done as well
     assert report.committed_run(star, [W6, none], SERVICE_A, path) == []
     assert runs.published(spark, path, "top_customers", [none]).collect() == []

@@ -1,0 +1,20 @@
+"""Numbers for the texts of an enumeration."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+
+def text_codes(df: DataFrame, text: Column) -> tuple[Column, Callable[[Column], Column]]:
+    """The place of a text among the sorted distinct texts of ``df``, NULL for NULL, and what turns a place into its text.
+
+    The greatest place is that of the greatest text, but is kept in a hash aggregate, where the text itself would sort the
+    rows. The distinct texts are one array in every task: for columns of a fixed set of values, such as a status. They
+    are found in a pass of its own over this one column.
+    """
+    listed = df.select(text.alias("text")).where("text IS NOT NULL").distinct()
+    texts = listed.agg(F.sort_array(F.collect_list("text")).alias("texts")).scalar()
+    return F.array_position(texts, text), lambda place: F.get(texts, (place - 1).cast("int"))

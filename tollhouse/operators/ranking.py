@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 BUCKET_WIDTH = 10_000
 BUCKETS_PER_BLOCK = 100_000
 
+#: Adds ranks to all rows: of (rows, value, by, name of the rank), as ``with_rank`` does.
+Ranked = Callable[[DataFrame, str, Sequence[str], str], DataFrame]
+
 
 def _above(by: Sequence[str], order: str) -> Column:
     """Rows ranked above, given one row per ``order`` with its row count ``_n``."""
@@ -24,7 +27,8 @@ def rank_table(df: DataFrame, value: str, by: Sequence[str]) -> DataFrame:
 
     Rows are first counted per distinct value, so no value is too frequent. Ranks are running counts
     over blocks, then over the buckets of a block, then over the values of a bucket: each window
-    sees a bounded group, whatever the number of rows. Values must have two decimals at most.
+    sees a bounded group, whatever the number of rows. Values must have two decimals at most; others are ranked by
+    ``with_rank_by_ranges``.
     """
     by = list(by)
     bucket = F.floor(F.col(value).cast("double") / BUCKET_WIDTH)
@@ -66,6 +70,34 @@ def with_rank(df: DataFrame, value: str, by: Sequence[str], name: str) -> DataFr
     return joined.select(*[F.col(f"d.{c}") for c in df.columns], F.col("_rank").alias(name))
 
 
+def with_rank_by_ranges(df: DataFrame, value: str, by: Sequence[str], name: str, path: str) -> DataFrame:
+    """Add the mean rank of every row, from one write of the rows in ranges of (group, value) to ``path``, which replaces what
+    is there; ``df`` is computed once and not part of the result's plan.
+
+    A row's place is its place in its range plus the rows of its group in the ranges before; ties share the mean of their
+    first and last place, also where they fill several ranges, as rows of a frequent value are dealt by their other columns.
+    NULL is last. Values may be of any type that can be sorted. Only the first rows and counts of each range and group
+    are gathered: as many as there are ranges, plus groups.
+    """
+    by, spark = list(by), df.sparkSession
+    order = [*map(F.col, by), F.desc_nulls_last(value)]
+    dealt = df.repartitionByRange(*order, F.xxhash64(*df.columns)).sortWithinPartitions(*order)
+    placed = dealt.withColumn("_at", F.monotonically_increasing_id())
+    placed.write.mode("overwrite").parquet(path)
+    rows = spark.read.schema(placed.schema).parquet(path).withColumn("_range", F.shiftright("_at", 33))
+    runs = rows.groupBy(*by, "_range").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    # what to add to the number of a row in a range to have its place in its group
+    shift = F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first")
+    runs = runs.select(*by, "_range", shift.alias("_shift")).alias("s")
+    ends = rows.groupBy(*by, "_range", value).agg(F.min("_at").alias("_from"), F.max("_at").alias("_to")).alias("e")
+    ends = ends.join(F.broadcast(runs), _same("e", "s", [*by, "_range"])).select("e.*", "_shift")
+    first, last = F.min(F.col("_from") + F.col("_shift")), F.max(F.col("_to") + F.col("_shift"))
+    ranks = ends.groupBy(*by, value).agg(((first + last) / 2 + 1).cast("double").alias("_rank"))
+    joined = rows.alias("d").join(ranks.alias("r"), _same("d", "r", [*by, value]))
+    return joined.select(*[F.col(f"d.{c}") for c in df.columns], F.col("_rank").alias(name))
+
+
 def rank_of(few: DataFrame, ranks: DataFrame, value: str, by: Sequence[str], name: str) -> DataFrame:
     """Look up ranks for a bounded number of rows, such as a top-k list."""
     by = list(by)

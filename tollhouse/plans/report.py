@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +15,7 @@ from tollhouse.functions.measures import usage_total
 from tollhouse.plans import cost, credits, customers, directory, domains, grains, revenue
 from tollhouse.profiles import ServiceProfile
 from tollhouse.operators.periods import earlier_weeks, in_weeks
+from tollhouse.operators.ranking import Ranked, with_rank, with_rank_by_ranges
 from tollhouse.sources import runs, sinks
 from tollhouse.sources.tables import Tables
 
@@ -124,14 +125,18 @@ def weeks_side_by_side(metrics: DataFrame, weeks: Sequence[Week]) -> DataFrame:
     return labelled.groupBy("metric").pivot("label", labels).agg(F.max("value"))
 
 
-def lists(t: Tables, weeks: Sequence[Week], profile: ServiceProfile) -> dict[str, DataFrame]:
-    """The lists of a run, by name."""
+def lists(t: Tables, weeks: Sequence[Week], profile: ServiceProfile, ranks_path: str | None = None) -> dict[str, DataFrame]:
+    """The lists of a run, by name. With ``ranks_path`` rows to be ranked are written there, each list's once."""
+
+    def ranked(name: str) -> Ranked:
+        return with_rank if ranks_path is None else partial(with_rank_by_ranges, path=f"{ranks_path}/{name}")
+
     return {
         "gainer_loser": revenue.gainers_losers(t, weeks, profile),
         "top_customers": revenue.top_customers(t, weeks, profile),
         "credits": credits.credits_refunds(t, weeks, profile.product_code),
-        "new_customers": revenue.new_customers(t, weeks, profile),
-        "dropped_customers": revenue.dropped_customers(t, weeks),
+        "new_customers": revenue.new_customers(t, weeks, profile, ranked("new_customers")),
+        "dropped_customers": revenue.dropped_customers(t, weeks, ranked("dropped_customers")),
         "customer_list": revenue.customer_list(t, weeks),
     }
 
@@ -162,7 +167,7 @@ def _write_outputs(t: Tables, weeks: Sequence[Week], profile: ServiceProfile, in
     """Computes the outputs of a run one after another and hands each to ``write`` as (name, rows, kind)."""
     inputs = stored_inputs(t, weeks, inputs_path)
     sums = grains.store_grains(inputs, weeks, profile, f"{inputs_path}/grains")
-    for name, df in lists(inputs, weeks, profile).items():
+    for name, df in lists(inputs, weeks, profile, f"{inputs_path}/ranks").items():
         write(name, df, "list")
     write("top_by_region", revenue.top_by_region(inputs, weeks, profile), "by_region")
     write("weekly_metrics", weekly_metrics(inputs, weeks, profile, sums), "history")

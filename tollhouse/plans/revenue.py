@@ -12,7 +12,7 @@ from tollhouse.functions.measures import WEEKS_PER_MONTH, as_double, count_if, d
 from tollhouse.functions.text import matches
 from tollhouse.operators.accounts import to_payer, with_company, without
 from tollhouse.operators.periods import earlier_weeks, in_weeks, one_row_per_week, spread_weeks
-from tollhouse.operators.ranking import ranks_among, top_k, with_rank
+from tollhouse.operators.ranking import Ranked, ranks_among, top_k, with_rank
 from tollhouse.plans.credits import credit_totals
 from tollhouse.plans.directory import payer_map
 from tollhouse.plans.extracts import account_charges
@@ -130,12 +130,11 @@ def reseller_label(t: Tables, profile: ServiceProfile) -> DataFrame:
     """Paying resellers labelled with the first client (by account id) that is not a reseller itself."""
     payers = payer_map(t).where(F.col("company").isNotNull())
     is_reseller = matches(F.col("company"), profile.required("reseller_pattern"), ignore_case=True)
-    clients = payers.where(F.col("payer_account_id").isNotNull() & ~is_reseller)
-    first = clients.groupBy("payer_account_id").agg(F.min_by("company", "account_id").alias("client"))
-    resellers = payers.where(is_reseller)
-    return resellers.join(first.withColumnRenamed("payer_account_id", "account_id"), "account_id").select(
-        "account_id", "company", "client", F.concat("company", F.lit(" - "), "client").alias("label")
-    )
+    clients = payers.where(~is_reseller).select(F.col("payer_account_id").alias("account_id"), F.struct("account_id", "company").alias("of"))
+    # a least text is found by sorting: of the clients of resellers only
+    theirs = clients.join(payers.where(is_reseller).select("account_id", "company"), "account_id")
+    first = theirs.groupBy("account_id", "company").agg(F.min_by("of.company", "of.account_id").alias("client"))
+    return first.select("account_id", "company", "client", F.concat("company", F.lit(" - "), "client").alias("label"))
 
 
 def _four_weeks(t: Tables, weeks: Sequence[Week], profile: ServiceProfile) -> DataFrame:
@@ -218,19 +217,22 @@ def _lifetimes(t: Tables, weeks: Sequence[Week], end: str) -> DataFrame:
     return without(in_weeks(lives, weeks), t.test_accounts)
 
 
-def dropped_customers(t: Tables, weeks: Sequence[Week]) -> DataFrame:
-    """External accounts last seen in the week, ranked by what they were billed in all."""
+def dropped_customers(t: Tables, weeks: Sequence[Week], ranked: Ranked = with_rank) -> DataFrame:
+    """External accounts last seen in the week, ranked by what they were billed in all.
+
+    A run that may write hands in ``ranked`` (see ``ranking.with_rank_by_ranges``); the default only plans.
+    """
     lost = _lifetimes(t, weeks, "max").where(F.col("company").isNotNull())
     sums = lost.groupBy("year", "week", "account_id", "company").agg(
         F.sum("billed_amount").alias("billed_amount"),
         F.min("min_request_day").alias("min_request_day"),
         F.max("max_request_day").alias("max_request_day"),
     )
-    return doubles(with_rank(sums, "billed_amount", WEEK, "rank"), "billed_amount")
+    return doubles(ranked(sums, "billed_amount", WEEK, "rank"), "billed_amount")
 
 
-def new_customers(t: Tables, weeks: Sequence[Week], profile: ServiceProfile) -> DataFrame:
-    """External accounts first seen in the week, with their resources, ranked by usage."""
+def new_customers(t: Tables, weeks: Sequence[Week], profile: ServiceProfile, ranked: Ranked = with_rank) -> DataFrame:
+    """External accounts first seen in the week, with their resources, ranked by usage; for ``ranked`` see ``dropped_customers``."""
     new = _lifetimes(t, weeks, "min").select("year", "week", "account_id", "company")
     rows = in_weeks(t.weekly_metering, weeks).where(F.col("usage_type").contains(profile.instance_token))
     domains = rows.groupBy("year", "week", "account_id", "usage_resource").agg(usage_total().alias("usage"))
@@ -238,5 +240,5 @@ def new_customers(t: Tables, weeks: Sequence[Week], profile: ServiceProfile) ->
         F.count("usage_resource").alias("sum_domain_count"), F.sum(F.col("usage").cast("decimal(18,2)")).alias("sum_usage_value")
     )
     # ranked by hundredths of an hour
-    ranked = with_rank(new.join(usage, ["year", "week", "account_id"]), "sum_usage_value", WEEK, "rank")
-    return ranked.withColumn("sum_usage_value", F.col("sum_usage_value").cast("double"))
+    both = ranked(new.join(usage, ["year", "week", "account_id"]), "sum_usage_value", WEEK, "rank")
+    return both.withColumn("sum_usage_value", F.col("sum_usage_value").cast("double"))

@@ -12,6 +12,7 @@ from tollhouse.functions.calendar import Week
 from tollhouse.functions.measures import as_double, count_if, external, internal, total
 from tollhouse.functions.text import account_id, head, matches, rest
 from tollhouse.operators.accounts import marked, only, without
+from tollhouse.operators.codes import text_codes
 from tollhouse.operators.periods import in_weeks, one_row_per_week
 from tollhouse.plans.directory import lab_accounts
 from tollhouse.plans.extracts import charged_accounts, instance_type, price_list, weekly_metering
@@ -32,9 +33,9 @@ def account_status(t: Tables, as_of: dt.date, accounts: DataFrame | None = None)
     first_stop = F.when(status == SUSPENDED, F.col("start_effective_date"))
     current = F.when(F.col("current_record_flag") == "Y", status)
     history = t.account_history if accounts is None else only(t.account_history, accounts)
-    # an account has a few statuses; the greatest text of a set needs no sorted aggregate
+    code, text_of = text_codes(t.account_history, current)
     known = history.groupBy("account_id").agg(
-        F.array_max(F.collect_set(current)).alias("account_status_code"),
+        text_of(F.max(code)).alias("account_status_code"),
         F.max(active_end).alias("last_active"),
         F.min(first_stop).alias("first_suspended"),
     )
