@@ -1,6 +1,6 @@
 from decimal import Decimal
 
-from tollhouse.sources import quarantine
+from tollhouse.sources import files, quarantine
 
 PRICES = "usage_type string, price decimal(12,4), sold_on date"
 
@@ -36,3 +36,56 @@ def test_bars_and_no_rows(spark, tmp_path):
     path.write_text("account_id|n\n")
     found = quarantine.checked_csv(spark, str(path), "account_id string, n int", sep="|")
     assert found.rows.isEmpty() and found.bad.isEmpty()
+
+
+def broken(checked):
+    return sorted((r["file"].rsplit("/", 1)[1], r["record"]) for r in checked.bad.collect())
+
+
+def rows(df):
+    return sorted(df.collect(), key=str)
+
+
+def test_price_list(spark, tmp_path):
+    path = tmp_path / "prices.csv"
+    path.write_text("family,type,unit,IAD,EU.1\nm3,m3.large,h,0.5,\nm3,m3.huge,h,1.0,n/a\nm3,short,h\n,none,h,1,2\n\"m, 4\",m4.large,h,.25,2\n")
+    got = files.checked_price_csv(spark, str(path))
+    assert [tuple(r) for r in rows(got.rows)] == [("m, 4", "m4.large", "h", Decimal("0.25"), Decimal(2)), ("m3", "m3.large", "h", Decimal("0.5"), None)]
+    assert [r for _, r in broken(got)] == [",none,h,1,2", "m3,m3.huge,h,1.0,n/a", "m3,short,h"]
+    path.write_text("family,type,unit,IAD,EU.1\nm3,m3.large,h,0.5,\n\"m, 4\",m4.large,h,.25,2\n")
+    # without broken rows both readers give the same
+    assert rows(files.checked_price_csv(spark, str(path)).rows) == rows(files.read_price_csv(spark, str(path)))
+
+
+def test_account_lists(spark, tmp_path):
+    path = tmp_path / "accounts.txt"
+    path.write_text("account_id|why\n7|test\n |blank\n8\n9|a|b\n")
+    got = files.checked_account_list(spark, str(path), "|")
+    assert [tuple(r) for r in got.rows.collect()] == [("000000000007", "test")]
+    assert [r for _, r in broken(got)] == [" |blank", "8", "9|a|b"]
+
+
+def test_regions(spark, tmp_path):
+    (tmp_path / "IAD.csv").write_text("domain\n1/a\n2/b,c\n")
+    (tmp_path / "DUB.csv").write_text("domain\n1/a\n")
+    got = files.checked_by_region(spark, str(tmp_path))
+    assert [tuple(r) for r in rows(got.rows)] == [("1/a", "DUB"), ("1/a", "IAD")] == [tuple(r) for r in rows(files.read_by_region(spark, str(tmp_path)).where("domain = '1/a'"))]
+    assert broken(got) == [("IAD.csv", "2/b,c")]
+    counts = quarantine.set_aside(got.bad, str(tmp_path / "bad"))
+    assert [(r["file"].rsplit("/", 1)[1], r["records"]) for r in counts.collect()] == [("IAD.csv", 1)]
+
+
+def test_configurations(spark, tmp_path):
+    path = tmp_path / "c.json"
+    path.write_text('{"client_id": "1", "domain": "a", "data_node_type": "m3.large", "data_node_count": "2x m3"}\n{"client_id": "2"}\n[oops\n')
+    got = files.checked_domain_configs(spark, str(path))
+    assert [tuple(r) for r in got.rows.collect()] == [("1", "a", "m3.large", "2x m3")]
+    assert [r for _, r in broken(got)] == ['[oops', '{"client_id": "2"}']
+
+
+def test_price_plans(spark, tmp_path):
+    (tmp_path / "p1.csv").write_text("Usage.Type,Price.Unit,note\nsmall,0.1,x\nlarge,1;2,y\n")
+    (tmp_path / "p2.csv").write_text("Price.Unit,Usage.Type\n3,small\n,large\n4,\n")
+    got = files.checked_price_plan(spark, {1: str(tmp_path / "p1.csv"), 2: str(tmp_path / "p2.csv")})
+    assert {tuple(r) for r in got.rows.collect()} == {(1, "small", Decimal("0.1")), (2, "small", Decimal(3)), (2, "large", None)}
+    assert broken(got) == [("p1.csv", "large,1;2,y"), ("p2.csv", "4,")]

@@ -7,7 +7,9 @@ lines: a quoted field does not go over several.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,17 +30,27 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
     return lines.where(F.trim("record") != "")
 
 
-def _split(lines: DataFrame, parsed: Column, required: Column | None) -> Checked:
+def _split(lines: DataFrame, parsed: Column, required: Column | None, file_col: str | None = None) -> Checked:
     both = lines.withColumn("_row", parsed)
     wrong = F.col(f"_row.{_BAD}").isNotNull()
     if required is not None:
         wrong = wrong | ~F.coalesce(required, F.lit(False))
-    good = both.where(~wrong).select("_row.*").drop(_BAD)
+    more = [] if file_col is None else [F.col("file").alias(file_col)]
+    good = both.where(~wrong).select("_row.*", *more).drop(_BAD)
     return Checked(good, both.where(wrong).select("file", "record"))
 
 
-def checked_csv(spark: SparkSession, path: str, schema: str, sep: str = ",", header: bool = True) -> Checked:
-    """Delimited lines; with ``header``, lines that are the columns' names are left out (each file may begin with one)."""
+def _there(names: Sequence[str]) -> Column:
+    """All of these fields are there and not empty."""
+    filled = [F.coalesce(F.trim(F.col(f"_row.`{n}`").cast("string")) != "", F.lit(False)) for n in names]
+    return reduce(Column.__and__, filled, F.lit(True))
+
+
+def checked_csv(
+    spark: SparkSession, path: str, schema: str, sep: str = ",", header: bool = True, required: Sequence[str] = (), file_col: str | None = None
+) -> Checked:
+    """Delimited lines; with ``header``, lines that are the columns' names are left out (each file may begin with one). A row
+    without one of the ``required`` fields is bad too; ``file_col`` adds each good row's file."""
     names = [f.name for f in spark.createDataFrame([], schema).schema]
     lines = _lines(spark, path)
     if header:
@@ -46,17 +58,13 @@ def checked_csv(spark: SparkSession, path: str, schema: str, sep: str = ",", hea
     options = {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
     # the parser takes a row with too many fields as it is: it is known by its separators outside quotes
     fields = F.size(F.split(F.regexp_replace("record", '"([^"]|"")*"', ""), f"\\Q{sep}\\E", -1))
-    return _split(lines, F.from_csv("record", f"{schema}, {_BAD} string", options), fields == len(names))
+    return _split(lines, F.from_csv("record", f"{schema}, {_BAD} string", options), (fields == len(names)) & _there(required), file_col)
 
 
-def checked_json(spark: SparkSession, path: str, schema: str, required: tuple[str, ...] = ()) -> Checked:
+def checked_json(spark: SparkSession, path: str, schema: str, required: Sequence[str] = ()) -> Checked:
     """A JSON object on each line; a row without one of the ``required`` fields is bad too."""
-    there = None
-    for name in required:
-        has = F.col(f"_row.{name}").isNotNull()
-        there = has if there is None else there & has
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
-    return _split(_lines(spark, path), F.from_json("record", f"{schema}, {_BAD} string", options), there)
+    return _split(_lines(spark, path), F.from_json("record", f"{schema}, {_BAD} string", options), _there(required))
 
 
 def set_aside(bad: DataFrame, path: str) -> DataFrame:
