@@ -89,7 +89,12 @@ def suspended_trend(t: Tables, weeks: Sequence[Week], profile: ServiceProfile, a
 # -- exposed resources -----------------------------------------------------------------------------
 
 def exposed_domains(t: Tables, weeks: Sequence[Week], as_of: dt.date) -> DataFrame:
-    """Exposed resources with the account's status, flag, support contract and whether it was hit."""
+    """Exposed resources with the account's status, flag, support contract and whether it was hit.
+
+    A stored copy is taken from the tables, under the name ``exposed_found``.
+    """
+    if "exposed_found" in t:
+        return t["exposed_found"]
     found = t.exposed_domains.select(
         account_id(head(F.col("domain"), ":")).alias("account_id"), rest(F.col("domain"), ":").alias("domain_name"), "region"
     )

@@ -33,12 +33,12 @@ def write_week_lists(df: DataFrame, path: str) -> None:
     _replacing(_spread(df, "year", "week")).partitionBy("year", "week").csv(path, header=True)
 
 
-def write_ordered_lists(df: DataFrame, path: str, order: Sequence[Column | str]) -> None:
-    """Lists with a header line, a directory per week, in order: read by their names, a week's files give its rows in the order
-    asked for. Rows are dealt by ranges of (year, week, order), so a week of any size lies in several files and nothing is
-    sorted in one place; weeks present in ``df`` replace the stored ones."""
-    keys = [F.col("year"), F.col("week"), *order]
-    _replacing(df.repartitionByRange(*keys).sortWithinPartitions(*keys)).partitionBy("year", "week").csv(path, header=True)
+def write_ordered_lists(df: DataFrame, path: str, order: Sequence[Column | str], by: Sequence[str] = ("year", "week")) -> None:
+    """Lists with a header line, a directory per week (or other ``by``), in order: read by their names, a week's files give its
+    rows in the order asked for. Rows are dealt by ranges of (year, week, order), so a week of any size lies in several files
+    and nothing is sorted in one place; weeks present in ``df`` replace the stored ones."""
+    keys = [*map(F.col, by), *order]
+    _replacing(df.repartitionByRange(*keys).sortWithinPartitions(*keys)).partitionBy(*by).csv(path, header=True)
 
 
 def write_weeks(df: DataFrame, path: str) -> None:
