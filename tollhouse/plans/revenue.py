@@ -137,7 +137,7 @@ def reseller_label(t: Tables, profile: ServiceProfile) -> DataFrame:
     return first.select("account_id", "company", "client", F.concat("company", F.lit(" - "), "client").alias("label"))
 
 
-def _four_weeks(t: Tables, weeks: Sequence[Week], profile: ServiceProfile) -> DataFrame:
+def _payer_weeks(t: Tables, weeks: Sequence[Week]) -> DataFrame:
     payers = payer_map(t)
     offsets = range(4)
     rows = external() & F.col("billed_amount").isNotNull()
@@ -148,33 +148,38 @@ def _four_weeks(t: Tables, weeks: Sequence[Week], profile: ServiceProfile) -> Da
     # the payer's own payer, under the payer's company: both from one look-up
     own = payers.where(F.col("company").isNotNull()).select("account_id", "company", F.coalesce("payer_account_id", "account_id").alias("payer"))
     named = four.join(own, "account_id").drop("account_id").withColumnRenamed("payer", "account_id")
-    sums = named.groupBy("year", "week", "account_id", "company").agg(*[F.sum(c).alias(c) for c in CHARGES])
+    return named.groupBy("year", "week", "account_id", "company").agg(*[F.sum(c).alias(c) for c in CHARGES])
+
+
+def _labelled(sums: DataFrame, t: Tables, profile: ServiceProfile) -> DataFrame:
+    """The same rows with resellers under their label."""
     clients = reseller_label(t, profile).select("account_id", "client")
     is_reseller = matches(F.col("company"), profile.required("reseller_pattern"), ignore_case=True) & F.col("client").isNotNull()
     label = F.when(is_reseller, F.concat("company", F.lit(" - "), "client")).otherwise(F.col("company"))
-    return sums.join(clients, "account_id", "left").select("year", "week", "account_id", label.alias("company"), *CHARGES)
+    others = [c for c in sums.columns if c not in ("year", "week", "account_id", "company")]
+    return sums.join(clients, "account_id", "left").select("year", "week", "account_id", label.alias("company"), *others)
 
 
 def four_week_revenue(t: Tables, weeks: Sequence[Week], profile: ServiceProfile) -> DataFrame:
     """External revenue per payer in the week and the three before it."""
-    return doubles(_four_weeks(t, weeks, profile), *CHARGES)
+    return doubles(_labelled(_payer_weeks(t, weeks), t, profile), *CHARGES)
 
 
 def top_customers(t: Tables, weeks: Sequence[Week], profile: ServiceProfile, k: int = 100) -> DataFrame:
     """The largest payers with their rank this week and last; ranks are over all payers."""
-    four = _four_weeks(t, weeks, profile)
-    top = top_k(four, k, WEEK, [F.desc("charge_0"), F.col("account_id"), F.col("company")])
+    four = _payer_weeks(t, weeks)
+    top = top_k(_labelled(four, t, profile), k, WEEK, [F.desc("charge_0"), F.col("account_id"), F.col("company")])
     top = ranks_among(top, four, {"charge_0": "rank_0", "charge_1": "rank_1"}, WEEK)
     return doubles(top, *CHARGES).select("year", "week", "position", "rank_0", "rank_1", "account_id", "company", *reversed(CHARGES))
 
 
 def gainers_losers(t: Tables, weeks: Sequence[Week], profile: ServiceProfile, k: int = 30) -> DataFrame:
     """The payers whose revenue rose and fell most against the week before."""
-    four = _four_weeks(t, weeks, profile).withColumn("diff", F.col("charge_0") - F.col("charge_1"))
+    four = _payer_weeks(t, weeks).withColumn("diff", F.col("charge_0") - F.col("charge_1"))
     ties = [F.col("account_id"), F.col("company")]
     # both ends in one pass: a loser's fall is its order
     sides = F.array(F.struct(F.lit("gainer").alias("section"), (-F.col("diff")).alias("_order")), F.struct(F.lit("loser").alias("section"), F.col("diff").alias("_order")))
-    ends = top_k(four.select("*", F.inline(sides)), k, [*WEEK, "section"], [F.asc("_order"), *ties]).drop("_order")
+    ends = top_k(_labelled(four, t, profile).select("*", F.inline(sides)), k, [*WEEK, "section"], [F.asc("_order"), *ties]).drop("_order")
     both = ranks_among(ends, four, {"diff": "rank"}, WEEK)
     return doubles(both, "diff", *CHARGES).select(
         "year", "week", "section", "position", "rank", "account_id", "company",
