@@ -94,10 +94,6 @@ def test_no_sorted_aggregates_over_the_history(partitioned):
     ]
     for report in reports:
         assert "SortAggregate" not in plan_of(report)
-    # nor aggregates of objects, which turn to sorting; the list of all statuses has no keys to sort by
-    for report in reports[:2]:
-        keyed = [line for line in plan_of(report).split("\n") if "ObjectHashAggregate(keys=[" in line and "ObjectHashAggregate(keys=[]" not in line]
-        assert not keyed, keyed
 
 
 def test_only_clients_of_resellers_are_sorted(partitioned):
