@@ -14,7 +14,7 @@ from tollhouse.functions.text import account_id, head, matches, rest
 from tollhouse.operators.accounts import marked, only, without
 from tollhouse.operators.periods import in_weeks, one_row_per_week
 from tollhouse.plans.directory import lab_accounts
-from tollhouse.plans.extracts import charged_accounts, instance_type, price_list, weekly_metering
+from tollhouse.plans.extracts import charged_accounts, instance_type, metering_lines, price_list
 from tollhouse.profiles import SUBSCRIPTION_OFFERINGS, ServiceProfile
 from tollhouse.sources.tables import Tables
 
@@ -54,8 +54,10 @@ def subscription_status(t: Tables, as_of: dt.date, offerings: Sequence[str] = SU
 
 
 def _suspended(t: Tables, weeks: Sequence[Week], profile: ServiceProfile, as_of: dt.date) -> DataFrame:
-    metering = weekly_metering(t, weeks, profile).where(matches(F.col("usage_type"), profile.instance_token))
-    idle = without(metering, lab_accounts(t, profile)).join(charged_accounts(t, weeks), ["year", "week", "account_id"], "left_anti")
+    metering = metering_lines(t, weeks, profile).where(matches(F.col("usage_type"), profile.instance_token))
+    # few accounts are not charged: the others go first
+    idle = metering.join(charged_accounts(t, weeks), ["year", "week", "account_id"], "left_anti")
+    idle = t.shared(without(without(idle, t.test_accounts), lab_accounts(t, profile)))
     typed = idle.withColumn("usage_type", instance_type())
     prices = price_list(t.price_wide).select("usage_type", "region", "price")
     priced = typed.join(prices, ["usage_type", "region"], "left").withColumn("cost", F.col("price") * F.col("sum_usage_value").cast("decimal(18,2)"))
