@@ -8,8 +8,8 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.conftest import SF_DIR
-from tollhouse.plans import credits, revenue, status
-from tollhouse.sources.fixtures import AS_OF, SERVICE_A, WEEKS
+from tollhouse.plans import credits, grains, revenue, status
+from tollhouse.sources.fixtures import AS_OF, SERVICE_A, SERVICE_B, WEEKS, StarSchema
 from tollhouse.sources.tables import Tables
 
 
@@ -52,3 +52,27 @@ def test_a_report_built_again_reads_the_files_again(spark, tmp_path):
         return [r.amount for r in t.shared(t.charges).collect()]
 
     assert written("1") == [1] and written("2") == [2]
+
+
+@pytest.mark.parametrize("profile", [SERVICE_A, SERVICE_B], ids=["A", "B"])
+def test_grains_one_by_one_are_those_of_tagged_rows(spark, profile):
+    t = Tables(spark, StarSchema(spark, SF_DIR, profile).table)
+    sums = grains.grain_sums(t.sharing(), WEEKS[-2:], profile)
+    # no row is repeated for each grain, and the facts are read once
+    plan = sums._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and not [c for n, c in leaves(sums) if n != "InMemoryRelation"]
+    tagged = grains.grain_sums(t, WEEKS[-2:], profile)
+    assert sums.dtypes == tagged.dtypes
+    assert sorted(map(str, sums.collect())) == sorted(map(str, tagged.collect()))
+
+
+def test_grains_one_by_one_of_rows_without_values(tables):
+    charge = {"year": 1996, "week": 6, "account_id": "a", "is_internal_flag": "N", "usage_type": "x", "region": "IAD"}
+    use = {**charge, "usage_type": "ESInstance:m3", "usage_resource": None, "usage_value": 1.5}
+    t = tables(
+        weekly_charges=[{**charge, "billed_amount": None}, {**charge, "account_id": None, "region": None, "billed_amount": Decimal(2)}],
+        weekly_metering=[use, use, {**use, "usage_type": None}, {**use, "usage_value": None, "usage_resource": "r"}],
+    )
+    got, want = (sorted(map(str, grains.grain_sums(x, [(1996, 6)], SERVICE_A).collect())) for x in (t.sharing(), t))
+    assert got == want and len(got) == 10
+    assert grains.grain_sums(tables().sharing(), [(1996, 6)], SERVICE_A).collect() == []
