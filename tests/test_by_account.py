@@ -57,6 +57,15 @@ def test_rows_are_exchanged_for_orders_and_for_accounts_only(spark, profile):
     assert not by_rows and not [e for e in exchanges(revenue.top_customers(t, WEEKS, profile)) if "usage" in e], by_rows
 
 
+@pytest.mark.parametrize("profile", [SERVICE_A], ids=["A"])
+def test_lists_of_accounts_exchange_nothing(spark, profile):
+    """Of a run's lists: charges per account meet companies and payers where they lie."""
+    t = kept(spark, profile)
+    assert exchanges(revenue.customer_list(t, WEEKS)) == []
+    charged = extracts.account_charges(t, WEEKS)
+    assert exchanges(charged.join(t.payer_map.select("account_id", "payer_account_id"), "account_id", "left")) == []
+
+
 def test_small_sums_are_computed_once(spark):
     t = kept(spark)
     assert exchanges(domains.instance_revenue(t, WEEKS, SERVICE_A))[0].startswith("hashpartitioning(year")
