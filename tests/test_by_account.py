@@ -66,6 +66,12 @@ def test_lists_of_accounts_exchange_nothing(spark, profile):
     assert exchanges(charged.join(t.payer_map.select("account_id", "payer_account_id"), "account_id", "left")) == []
 
 
+def test_history_exchanges_no_resources_by_account(spark):
+    history = report.weekly_metrics_history(kept(spark), WEEKS[-1], SERVICE_A, 2)
+    found = exchanges(history)
+    assert found and not [e for e in found if "account_id" in e and "usage_resource" in e]
+
+
 def test_small_sums_are_computed_once(spark):
     t = kept(spark)
     assert exchanges(domains.instance_revenue(t, WEEKS, SERVICE_A))[0].startswith("hashpartitioning(year")
